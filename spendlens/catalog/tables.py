@@ -42,24 +42,27 @@ class Tables:
             "amount", F.when(F.col("l_returnflag") == "R", -price).otherwise(price)
         )
 
-    def raw_expenses(self) -> DataFrame:
+    def kinds(self) -> DataFrame:
+        return self.raw("part").select(
+            F.col("p_partkey").alias("l_partkey"), F.concat_ws(" ", "p_type", "p_name").alias("kind")
+        )
+
+    def raw_expenses(self, kinds: DataFrame | None = None) -> DataFrame:
         """Expense rows as they arrive, with the line's own keys. Large joins carry no hint: Spark
         broadcasts by size and splits skewed partitions at run time."""
         lines = self.signed_lines().select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "amount", F.year("l_shipdate").alias("yr")
         )
         orders = self.raw("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("entity_id"))
-        parts = self.raw("part").select(
-            F.col("p_partkey").alias("l_partkey"), F.concat_ws(" ", "p_type", "p_name").alias("kind")
-        )
-        return lines.join(orders, "l_orderkey").join(parts, "l_partkey")
+        return lines.join(orders, "l_orderkey").join(self.kinds() if kinds is None else kinds, "l_partkey")
 
     def expenses(self) -> DataFrame:
-        """Clean, categorised expenses."""
-        rows = self.raw_expenses().select("entity_id", "yr", "amount", "kind").withColumns({
+        """Clean, categorised expenses. The text is an attribute of the part, so it is classified there,
+        once per part, and only the category travels with the lines."""
+        kinds = categorise_expenses(self.kinds(), RULES, DEFAULT)
+        return self.raw_expenses(kinds).select("entity_id", "yr", "amount", "kind", "category").withColumns({
             "amount_pos": clip_floor(F.col("amount")), "is_refund": flag_refund(F.col("amount")),
         })
-        return categorise_expenses(rows, RULES, DEFAULT)
 
     def items(self) -> DataFrame:
         return self.raw("orders").select(

@@ -19,6 +19,7 @@ FEATURES = ["spend_per_km", "activity"]
 SWEEP = (2, 3, 4, 5)
 RESTARTS = 10
 SEED = 42
+MAX_ITERATIONS = 300
 
 
 def scaled_features(df: DataFrame, features: list[str] = FEATURES) -> DataFrame:
@@ -44,7 +45,9 @@ def kmeans_sweep(df: DataFrame, features: list[str] = FEATURES, ks=SWEEP, restar
 
     def fit(task):
         k, turn = task
-        return KMeans(k=k, seed=seed + turn, featuresCol="__x", predictionCol="cluster").fit(vectors)
+        return KMeans(
+            k=k, seed=seed + turn, maxIter=MAX_ITERATIONS, featuresCol="__x", predictionCol="cluster"
+        ).fit(vectors)
 
     tasks = [(k, turn) for k in ks for turn in range(restarts)]
     with ThreadPoolExecutor(max_workers=parallel) as pool:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import replace_values, sum_money
 from ..functions.text import categories_of, fill_unknown
+from ..session import materialize
 from .filters import drop_null_key, drop_zero_rows, in_top_groups, year_range
 from .order_stats import quantiles
 from .ranking import group_totals
@@ -20,15 +21,15 @@ GROUP_RENAMES = {"PSL": "UNIÃO"}
 
 def group_cells(expenses: DataFrame, entities: DataFrame, dims: list[str],
                 columns: tuple[str, ...] = ("grp",)) -> DataFrame:
-    """Spend by group (and name) and the given dimensions, over all groups.
+    """Spend by group (and name) and the given dimensions, over all groups; stored.
 
-    Facts are summed per entity before the join. Rankings and matrices both branch from this small
-    result, so the facts are scanned and shuffled once.
+    Facts are summed per entity before the join (``entities`` has one row per key). Rankings and
+    matrices both branch from this small result, so the facts are scanned and shuffled once.
     """
     per_entity = entity_spend(expenses, *dims)
-    meta = entities.select("entity_id", *columns).dropDuplicates(["entity_id"])
+    meta = entities.select("entity_id", *columns)
     joined = per_entity.join(meta, "entity_id", "left").withColumn("grp", fill_unknown(F.col("grp")))
-    return joined.groupBy(*columns, *dims).agg(sum_money(F.col("spend")).alias("spend"))
+    return materialize(joined.groupBy(*columns, *dims).agg(sum_money(F.col("spend")).alias("spend")), "cells")
 
 
 def group_category_matrix(expenses: DataFrame, entities: DataFrame, categories: list[str] | None = None,
@@ -104,7 +105,7 @@ def group_profile(df: DataFrame, n: int = 10, agg: str = "median", metrics: list
 def group_profile_scaled(df: DataFrame, n: int = 10, agg: str = "median",
                          metrics: list[str] = PROFILE) -> DataFrame:
     """The profile with each metric scaled to 0..1 over its rows."""
-    return minmax_scale(group_profile(df, n, agg, metrics), metrics)
+    return minmax_scale(materialize(group_profile(df, n, agg, metrics), "profile"), metrics)
 
 
 def group_profile_mean(df: DataFrame, n: int = 12, metrics: list[str] = METRICS) -> DataFrame:
@@ -119,7 +120,7 @@ def group_profile_mean(df: DataFrame, n: int = 12, metrics: list[str] = METRICS)
 
 def group_zscores(df: DataFrame, n: int = 12, metrics: list[str] = METRICS) -> DataFrame:
     """Mean profiles with ``<metric>_z`` columns."""
-    profile = group_profile_mean(df, n, metrics)
+    profile = materialize(group_profile_mean(df, n, metrics), "profile")
     return zscore(profile, [c for c in profile.columns if c != "grp"])
 
 

@@ -4,30 +4,43 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.text import fill_unknown
+from ..session import materialize
+
 # A key is hot above this share of the rows, so there are at most 1 / HOT_SHARE hot keys.
 HOT_SHARE = 0.002
 BROADCAST_ROWS = 10_000
 
 
-def hot_keys(facts: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys holding more than ``HOT_SHARE`` of all rows: at most 500, whatever the data."""
-    counts = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    total = counts.agg(F.sum("__n").alias("t")).scalar()
-    return counts.where(F.col("__n") > total * F.lit(HOT_SHARE)).select(*keys, F.lit(True).alias("__hot"))
+def hot_keys(counts: DataFrame, keys: list[str], rows: str) -> DataFrame:
+    """Keys holding more than ``HOT_SHARE`` of all rows, from row counts per key.
+
+    There are at most 1 / HOT_SHARE = 500 of them, whatever the data. They are stored, so that the
+    counts are not computed again for each side of a join.
+    """
+    total = counts.agg(F.sum(rows)).scalar()
+    hot = counts.where(F.col(rows) > total * F.lit(HOT_SHARE)).select(*keys, F.lit(True).alias("__hot"))
+    return materialize(hot, "hot-keys")
+
+
+def key_counts(facts: DataFrame, keys: list[str]) -> DataFrame:
+    return facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
 
 
-def skew_safe_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+def skew_safe_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left",
+                   hot: DataFrame | None = None) -> DataFrame:
     """Join ``facts`` to a ``lookup`` that is unique per key, salting the hot keys only.
 
     A hot key's fact rows are spread over as many slices as there are shuffle partitions and its one
     lookup row is repeated for each slice; all other rows keep salt 0. Adaptive skew handling cannot
     do this when the lookup is an aggregate already partitioned by the key.
-    The salt is a hash of the row, so a re-run task sends each row to the same place.
+    The salt is a hash of the row, so a re-run task sends each row to the same place. Without ``hot``
+    the keys are counted first, in one pass over the key columns.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
     slices = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = F.broadcast(hot_keys(facts, keys))
+    hot = F.broadcast(hot if hot is not None else hot_keys(key_counts(facts, keys), keys, "__n"))
     spread = F.pmod(F.xxhash64(*[c for c in facts.columns]), F.lit(slices)).cast("int")
     salted_facts = facts.join(hot, keys, "left").withColumn(
         "__salt", F.when(F.col("__hot"), spread).otherwise(F.lit(0))
@@ -66,15 +79,12 @@ def attach_category_columns(totals: DataFrame, wide: DataFrame, key: str = "enti
 
 def attach_group(facts: DataFrame, entities: DataFrame, columns: tuple[str, ...] = ("grp",),
                  key: str = "entity_id") -> DataFrame:
-    """Facts with their entity's group (and name); a missing group gets the unknown label.
+    """Fact rows with their entity's group (and name); a missing group gets the unknown label.
 
-    Marts call it on facts already summed per entity. On raw facts one entity may be hot, which is
-    why the join salts.
+    ``entities`` has one row per key. One entity may own very many rows, so hot ones are salted. The
+    marts sum per entity first and need no salting.
     """
-    from ..functions.text import fill_unknown
-
-    meta = entities.select(key, *columns).dropDuplicates([key])
-    joined = skew_safe_join(facts, meta, [key])
+    joined = skew_safe_join(facts, entities.select(key, *columns), [key])
     return joined.withColumn("grp", fill_unknown(F.col("grp"))) if "grp" in columns else joined
 
 

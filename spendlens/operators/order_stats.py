@@ -60,9 +60,10 @@ def quantiles(df: DataFrame, metrics: list[str], probs: dict[str, float], by: li
             *[F.percentile_approx("value", p, 10_000).alias(name) for name, p in probs.items()],
         )
     ranked = with_positions(long, [*by, "metric", "value", key])
-    bounds = ranked.groupBy(*by, "metric").agg(
+    # One row per group and metric, stored so that Spark knows its size when it joins on it below.
+    bounds = materialize(ranked.groupBy(*by, "metric").agg(
         F.min("__pos").alias("start"), F.count(F.lit(1)).alias("n")
-    )
+    ), "bounds")
     wanted = F.explode(F.array(*[
         F.struct(F.lit(name).alias("label"), (F.lit(float(p)) * (F.col("n") - 1)).alias("h"))
         for name, p in probs.items()

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from itertools import combinations_with_replacement
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import clip_floor, mean_money, replace_values
+from ..session import materialize
 from .filters import nonnegative_spend
 from .joins import lookup_join
 from .order_stats import melt_metrics, quantiles
@@ -34,16 +35,25 @@ def pearson(df: DataFrame, x: str = "spend_per_km", y: str = "activity") -> Data
 
 
 def correlation_matrix(df: DataFrame, metrics: list[str] = METRICS) -> DataFrame:
-    """``metric_a, metric_b, r`` for every ordered pair, from one pass over the table."""
-    pairs = list(combinations_with_replacement(metrics, 2))
+    """``metric_a, metric_b, r`` for every ordered pair, from one pass over the table.
+
+    A missing value counts as 0, as in the prepared table; so each metric needs one deviation and each
+    pair one covariance. A constant metric gives NULL.
+    """
     if len(metrics) < 2:
         raise ValueError("at least two metrics are needed")
-    one = df.agg(*[correlation(F.col(a), F.col(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    cells = [(a, b, i) for i, (a, b) in enumerate(pairs)]
-    cells += [(b, a, i) for a, b, i in cells if a != b]
+    filled = df.select(*[F.coalesce(F.col(m).cast("double"), F.lit(0.0)).alias(m) for m in metrics])
+    pairs = list(combinations(metrics, 2))
+    one = filled.agg(
+        *[F.nullif(F.stddev_pop(m), F.lit(0.0)).alias(f"sd_{m}") for m in metrics],
+        *[F.covar_pop(a, b).alias(f"cov_{i}") for i, (a, b) in enumerate(pairs)],
+    )
+    cells = [(m, m, F.when(F.col(f"sd_{m}").isNotNull(), F.lit(1.0))) for m in metrics]
+    for i, (a, b) in enumerate(pairs):
+        r = F.col(f"cov_{i}") / (F.col(f"sd_{a}") * F.col(f"sd_{b}"))
+        cells += [(a, b, r), (b, a, r)]
     return one.select(F.explode(F.array(*[
-        F.struct(F.lit(a).alias("metric_a"), F.lit(b).alias("metric_b"), F.col(f"r{i}").alias("r"))
-        for a, b, i in cells
+        F.struct(F.lit(a).alias("metric_a"), F.lit(b).alias("metric_b"), r.alias("r")) for a, b, r in cells
     ])).alias("cell")).select("cell.*")
 
 
@@ -111,7 +121,7 @@ def spend_histogram(df: DataFrame, value: str = "spend_total", bins: int = 30,
 
 
 def _fenced(df: DataFrame, metrics: list[str], by: list[str], key: str) -> DataFrame:
-    quartiles = quantiles(df, metrics, QUARTILES, by, key)
+    quartiles = materialize(quantiles(df, metrics, QUARTILES, by, key), "quartiles")
     reach = (F.col("q3") - F.col("q1")) * F.lit(1.5)
     fences = quartiles.withColumns({"fence_low": F.col("q1") - reach, "fence_high": F.col("q3") + reach})
     return lookup_join(melt_metrics(df, metrics, [*by, key]), fences, [*by, "metric"], "inner")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..operators.joins import skew_safe_join
+from ..operators.joins import hot_keys, skew_safe_join
+from ..session import materialize
 
 REQUEST = ("request_entity", "request_year")
 SALTS = 64
@@ -26,17 +27,21 @@ def first_stops(pages: DataFrame, rule: str = "empty", keys=REQUEST) -> DataFram
     if rule not in ("empty", "next"):
         raise ValueError(f"unknown stop rule: {rule}")
     stop = is_empty_page() if rule == "empty" else is_empty_page() | ~has_next()
-    return pages.groupBy(*keys).agg(F.min(F.when(stop, F.col("page"))).alias("stop_page"))
+    return pages.groupBy(*keys).agg(
+        F.min(F.when(stop, F.col("page"))).alias("stop_page"), F.count(F.lit(1)).alias("pages")
+    )
 
 
 def page_stop(pages: DataFrame, rule: str = "empty", keys=REQUEST) -> DataFrame:
     """Pages up to and including the first stop page of their request.
 
     A minimum per request joined back, not a window: a request with a third of all pages is
-    reduced map-side first and its pages stay spread over many tasks.
+    reduced map-side first and its pages stay spread over many tasks. The same aggregation counts the
+    pages, which tells the hot requests.
     """
-    stops = first_stops(pages, rule, keys)
-    joined = skew_safe_join(pages, stops, list(keys))
+    stops = materialize(first_stops(pages, rule, keys), "stops")
+    hot = hot_keys(stops, list(keys), "pages")
+    joined = skew_safe_join(pages, stops.drop("pages"), list(keys), hot=hot)
     return joined.where(F.col("stop_page").isNull() | (F.col("page") <= F.col("stop_page"))).drop("stop_page")
 
 
