@@ -442,6 +442,7 @@ ORACLE: dict[str, str] = {
     )} from orders group by 1""",
     "stack_dense": f"""with {EXPENSE}, {SPEND} {' union all '.join(
         f"select entity_id, 'spend_{c}' as category, spend_{c} as spend from spend" for c in CATEGORIES)}""",
+    "kmeans_choice": "select cast(k as integer) as k, k = 5 as chosen from range(2, 6) as tried(k)",
     "group_distance": f"""with {MEAN_PROFILE}, {Z} select a.grp, b.grp as other,
         round(sqrt({' + '.join(f'pow(a.{m}_z - b.{m}_z, 2)' for m in METRICS)}), 6) as distance
         from z a join z b on a.grp < b.grp""",

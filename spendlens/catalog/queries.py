@@ -793,6 +793,13 @@ def kmeans_sweep(t: Tables) -> DataFrame:
     return labelled.select("entity_id", "cluster")
 
 
+@query
+def kmeans_choice(t: Tables) -> DataFrame:
+    """The k values tried and the one chosen: the lowest cost, which the largest k has."""
+    _, costs = cluster.kmeans_sweep(t.model())
+    return costs.select("k", "chosen")
+
+
 @query
 def cluster_summary(t: Tables) -> DataFrame:
     labelled, _ = cluster.kmeans_sweep(t.model())

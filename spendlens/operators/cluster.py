@@ -20,6 +20,7 @@ SWEEP = (2, 3, 4, 5)
 RESTARTS = 10
 SEED = 42
 MAX_ITERATIONS = 300
+ORIGIN_SHIFT = 10.0
 
 
 def scaled_features(df: DataFrame, features: list[str] = FEATURES) -> DataFrame:
@@ -80,17 +81,20 @@ def group_hierarchy(df: DataFrame, n: int = 12, metrics: list[str] = METRICS, le
                     seed: int = SEED) -> DataFrame:
     """Group profiles ordered by similarity: split top-down into clusters, then by distance to centre.
 
-    Fewer than three groups give no rows.
+    Fewer than three groups give no rows. The profiles are moved off the origin before the split: the
+    algorithm places its two starting centres in proportion to the length of the mean, which is 0 for
+    z-scores. Distances do not change.
     """
     scored = materialize(group_zscores(df, n, metrics), "profiles")
     z = [c for c in scored.columns if c.endswith("_z")]
     groups = scored.limit(3).count()
-    vectors = VectorAssembler(inputCols=z, outputCol="__x").transform(scored)
     if groups < 3:
         return scored.limit(0).withColumns({"cluster": F.lit(0), "to_centre": F.lit(0.0)})
+    shifted = scored.withColumns({f"__{c}": F.col(c) + F.lit(ORIGIN_SHIFT) for c in z})
+    vectors = VectorAssembler(inputCols=[f"__{c}" for c in z], outputCol="__x").transform(shifted)
     model = BisectingKMeans(k=leaves, seed=seed, featuresCol="__x", predictionCol="cluster").fit(vectors)
     centres = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in model.clusterCenters()])
     gaps = F.zip_with(vector_to_array("__x"), F.element_at(centres, F.col("cluster") + 1), lambda a, b: (a - b) * (a - b))
     return model.transform(vectors).withColumn(
         "to_centre", F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda a, b: a + b))
-    ).drop("__x").orderBy("cluster", "to_centre", "grp")
+    ).select(*scored.columns, "cluster", "to_centre").orderBy("cluster", "to_centre", "grp")
