@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import (
-    clip_floor, coerce_number, coerce_whole, coerce_year_value, flag_refund, parse_money,
+    clip_floor, coerce_number, coerce_whole, coerce_year_value, flag_refund, null_nonfinite, parse_money,
 )
 from ..functions.text import DEFAULT_CATEGORY, EXPENSE_RULES, Rules, classify_text
 from .dedup import dedup_first, dedup_rows
@@ -33,7 +33,8 @@ def coerce_year(df: DataFrame, col: str = "yr") -> DataFrame:
 
 
 def coerce_value(df: DataFrame, col: str = "amount") -> DataFrame:
-    return df.withColumn(col, coerce_number(df, col))
+    """Numeric amount; text that is no number, and values that are not finite, become NULL."""
+    return df.withColumn(col, null_nonfinite(coerce_number(df, col)))
 
 
 def select_core(df: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.numbers import MONEY
+from ..functions.numbers import sum_money
 from .ranking import top_entities
 
 
@@ -13,11 +13,10 @@ def _hierarchy(df: DataFrame, path: list[str], size: str, colour: str) -> DataFr
 
     Size is the sum; colour is the mean of ``colour`` weighted by size (NULL where all sizes are 0).
     """
-    amount, shade = F.col(size).cast(MONEY), F.col(colour).cast("double")
-    weighted = F.sum(shade * F.col(size).cast("double"))
+    total = sum_money(F.col(size))
+    weighted = F.sum(F.col(colour).cast("double") * F.col(size).cast("double"))
     grouped = df.rollup(*path).agg(
-        F.sum(amount).cast("double").alias("size"),
-        (weighted / F.nullif(F.sum(amount).cast("double"), F.lit(0.0))).alias("colour"),
+        total.alias("size"), (weighted / F.nullif(total, F.lit(0.0))).alias("colour"),
         sum((F.lit(1) - F.grouping(c) for c in path), F.lit(0)).cast("int").alias("depth"),
     )
     return grouped.select("depth", *path, "size", "colour")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..functions.numbers import INFINITY
 from ..session import materialize
 
 ROW_BITS = 33  # monotonically_increasing_id keeps the index inside the partition in the low 33 bits
@@ -38,10 +39,7 @@ def with_positions(df: DataFrame, order: list) -> DataFrame:
 def melt_metrics(df: DataFrame, metrics: list[str], keep: list[str] = ()) -> DataFrame:
     """Wide metrics to ``metric, value`` rows; NULL and non-finite values are dropped."""
     cast = df.select(*keep, *[F.col(m).cast("double").alias(m) for m in metrics])
-    value = F.col("value")
-    return cast.unpivot(list(keep), metrics, "metric", "value").where(
-        value.isNotNull() & ~F.isnan(value) & (F.abs(value) != F.lit(float("inf")))
-    )
+    return cast.unpivot(list(keep), metrics, "metric", "value").where(F.abs("value") < F.lit(INFINITY))
 
 
 def quantiles(df: DataFrame, metrics: list[str], probs: dict[str, float], by: list[str] = (),

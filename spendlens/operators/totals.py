@@ -43,10 +43,8 @@ def event_counts(events: DataFrame) -> DataFrame:
 
 def pivot_sum(df: DataFrame, keys: list[str], column: str, values: list[str], amount: str) -> DataFrame:
     """Long to wide with a closed value list; gaps are 0."""
-    wide = df.groupBy(*keys).pivot(column, values).agg(F.sum(F.col(amount).cast("decimal(18,2)")))
-    return wide.select(
-        *keys, *[F.coalesce(F.col(f"`{v}`").cast("double"), F.lit(0.0)).alias(v) for v in values]
-    )
+    wide = df.groupBy(*keys).pivot(column, values).agg(sum_money(F.col(amount)))
+    return wide.na.fill(0.0, values)
 
 
 def category_pivot(expenses: DataFrame, categories: list[str] | None = None) -> DataFrame:
