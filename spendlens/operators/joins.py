@@ -2,25 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import DataFrame, Row, functions as F, types as T
 
 from ..functions.text import fill_unknown
-from ..session import materialize
 
 # A key is hot above this share of the rows, so there are at most 1 / HOT_SHARE hot keys.
 HOT_SHARE = 0.002
 BROADCAST_ROWS = 10_000
 
 
-def hot_keys(counts: DataFrame, keys: list[str], rows: str) -> DataFrame:
+def hot_keys(counts: DataFrame, keys: list[str], rows: str) -> list[Row]:
     """Keys holding more than ``HOT_SHARE`` of all rows, from row counts per key.
 
-    There are at most 1 / HOT_SHARE = 500 of them, whatever the data. They are stored, so that the
-    counts are not computed again for each side of a join.
+    There are at most 1 / HOT_SHARE = 500 of them, whatever the data, so they may come to the driver.
     """
     total = counts.agg(F.sum(rows)).scalar()
-    hot = counts.where(F.col(rows) > total * F.lit(HOT_SHARE)).select(*keys, F.lit(True).alias("__hot"))
-    return materialize(hot, "hot-keys")
+    return counts.where(F.col(rows) > total * F.lit(HOT_SHARE)).select(*keys).collect()
 
 
 def key_counts(facts: DataFrame, keys: list[str]) -> DataFrame:
@@ -28,24 +28,32 @@ def key_counts(facts: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def skew_safe_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left",
-                   hot: DataFrame | None = None) -> DataFrame:
+                   hot: list[Row] | None = None) -> DataFrame:
     """Join ``facts`` to a ``lookup`` that is unique per key, salting the hot keys only.
 
     A hot key's fact rows are spread over as many slices as there are shuffle partitions and its one
     lookup row is repeated for each slice; all other rows keep salt 0. Adaptive skew handling cannot
-    do this when the lookup is an aggregate already partitioned by the key.
-    The salt is a hash of the row, so a re-run task sends each row to the same place. Without ``hot``
-    the keys are counted first, in one pass over the key columns.
+    do this when the lookup is an aggregate already partitioned by the key. Rows with a NULL key match
+    nothing and are spread as well.
+    The salt is a hash of the row and of its input partition: copies of one row part ways, and a re-run
+    task still sends each row to the same place. Without ``hot`` the keys are counted first, in one
+    pass over the key columns.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
+    if hot is None:
+        hot = hot_keys(key_counts(facts, keys), keys, "__n")
+    if not hot:
+        return facts.join(lookup, keys, how)
     slices = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = F.broadcast(hot if hot is not None else hot_keys(key_counts(facts, keys), keys, "__n"))
-    spread = F.pmod(F.xxhash64(*[c for c in facts.columns]), F.lit(slices)).cast("int")
-    salted_facts = facts.join(hot, keys, "left").withColumn(
-        "__salt", F.when(F.col("__hot"), spread).otherwise(F.lit(0))
+    schema = T.StructType([facts.schema[k] for k in keys])
+    marked = F.broadcast(facts.sparkSession.createDataFrame(hot, schema).withColumn("__hot", F.lit(True)))
+    spread = F.pmod(F.xxhash64(*facts.columns, F.spark_partition_id()), F.lit(slices)).cast("int")
+    scattered = reduce(or_, [F.col(k).isNull() for k in keys], F.col("__hot"))
+    salted_facts = facts.join(marked, keys, "left").withColumn(
+        "__salt", F.when(scattered, spread).otherwise(F.lit(0))
     ).drop("__hot")
-    salted_lookup = lookup.join(hot, keys, "left").withColumn(
+    salted_lookup = lookup.join(marked, keys, "left").withColumn(
         "__salt", F.explode(F.sequence(F.lit(0), F.when(F.col("__hot"), F.lit(slices - 1)).otherwise(F.lit(0))))
     ).drop("__hot")
     return salted_facts.join(salted_lookup, [*keys, "__salt"], how).drop("__salt")

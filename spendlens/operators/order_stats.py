@@ -102,21 +102,14 @@ def spend_band(df: DataFrame, value: str = "spend_total", key: str = "entity_id"
     """
     bands = len(labels)
     ranked = with_positions(df.select(value, key), [value, key])
-    n = ranked.agg(F.count(F.lit(1)).alias("n")).scalar()
-    ends = [F.floor(F.lit(b) * (n - 1) / F.lit(bands)) for b in range(1, bands)]
-    marked = ranked.select(F.struct(value, key).alias("row"), "__pos")
-    cuts = marked.agg(
-        F.struct(
-            F.count(F.lit(1)).alias("n"),
-            *[F.max(F.when(F.col("__pos") == end, F.col("row"))).alias(f"c{i}") for i, end in enumerate(ends)],
-        ).alias("cuts")
-    ).scalar()
-    here = F.struct(value, key)
-    above = [F.when(here > cuts[f"c{i}"], 1).otherwise(0) for i in range(bands - 1)]
+    n = ranked.count()
+    if n < 2:
+        return df.withColumns({"band_no": F.lit(1), "spend_band": F.lit(single)})
+    ends = [b * (n - 1) // bands for b in range(1, bands)]
+    cuts = {r["__pos"]: r for r in ranked.where(F.col("__pos").isin(ends)).collect()}
     number = F.lit(1)
-    for step in above:
-        number = number + step
+    for end in ends:
+        cut = F.struct(F.lit(cuts[end][value]).alias(value), F.lit(cuts[end][key]).alias(key))
+        number = number + F.when(F.struct(value, key) > cut, 1).otherwise(0)
     label = F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("band_no"))
-    return df.withColumn("band_no", F.when(cuts["n"] > 1, number).otherwise(F.lit(1))).withColumn(
-        "spend_band", F.when(cuts["n"] > 1, label).otherwise(F.lit(single))
-    )
+    return df.withColumn("band_no", number).withColumn("spend_band", label)

@@ -1,24 +1,28 @@
-"""Column scaling by whole-table statistics (one-row scalar subqueries)."""
+"""Column scaling by whole-table statistics. One row of statistics reaches the driver."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
-def _statistics(df: DataFrame, columns: list[str], first, second):
-    return df.agg(F.struct(*[
-        f(F.col(c).cast("double")).alias(f"{c}_{tag}") for c in columns for tag, f in (("a", first), ("b", second))
-    ]).alias("s")).scalar()
+def _statistics(df: DataFrame, columns: list[str], first, second) -> dict[str, tuple]:
+    row = df.agg(
+        *[first(F.col(c).cast("double")) for c in columns], *[second(F.col(c).cast("double")) for c in columns]
+    ).first()
+    return {c: (row[i], row[len(columns) + i]) for i, c in enumerate(columns)}
+
+
+def _shifted(name: str, origin: float | None, width: float | None) -> Column:
+    if origin is None or not width:
+        return F.lit(0.0)
+    return (F.col(name).cast("double") - F.lit(origin)) / F.lit(width)
 
 
 def minmax_scale(df: DataFrame, columns: list[str], suffix: str = "_scaled") -> DataFrame:
     """(x - min) / (max - min); 0 where the column is constant."""
     stats = _statistics(df, columns, F.min, F.max)
     return df.withColumns({
-        f"{c}{suffix}": F.when(
-            stats[f"{c}_b"] > stats[f"{c}_a"],
-            (F.col(c).cast("double") - stats[f"{c}_a"]) / F.nullif(stats[f"{c}_b"] - stats[f"{c}_a"], F.lit(0.0)),
-        ).otherwise(F.lit(0.0)) for c in columns
+        f"{c}{suffix}": _shifted(c, low, None if low is None else high - low) for c, (low, high) in stats.items()
     })
 
 
@@ -26,9 +30,5 @@ def zscore(df: DataFrame, columns: list[str], suffix: str = "_z") -> DataFrame:
     """(x - mean) / population standard deviation; a zero deviation counts as 1, NULL becomes 0."""
     stats = _statistics(df, columns, F.avg, F.stddev_pop)
     return df.withColumns({
-        f"{c}{suffix}": F.coalesce(
-            (F.col(c).cast("double") - stats[f"{c}_a"])
-            / F.coalesce(F.nullif(stats[f"{c}_b"], F.lit(0.0)), F.lit(1.0)),
-            F.lit(0.0),
-        ) for c in columns
+        f"{c}{suffix}": F.coalesce(_shifted(c, mean, deviation or 1.0), F.lit(0.0)) for c, (mean, deviation) in stats.items()
     })

@@ -100,24 +100,25 @@ def spend_histogram(df: DataFrame, value: str = "spend_total", bins: int = 30,
                     key: str = "entity_id") -> DataFrame:
     """``bins`` equal-width bins of the floored value (empty ones too), with overall mean and median."""
     floored = df.select(key, clip_floor(F.col(value).cast("double")).alias("v")).where(F.col("v").isNotNull())
-    edges = floored.agg(F.struct(
-        F.min("v").alias("low"), F.max("v").alias("high"), mean_money(F.col("v")).alias("mean")
-    ).alias("s")).scalar()
-    width = (edges["high"] - edges["low"]) / F.lit(float(bins))
-    number = F.when(
-        edges["high"] > edges["low"],
-        F.least(F.floor((F.col("v") - edges["low"]) / F.nullif(width, F.lit(0.0))) + 1, F.lit(bins)),
-    ).otherwise(F.lit(1)).cast("int")
-    counts = floored.groupBy(number.alias("bin")).agg(F.count(F.lit(1)).alias("entities"))
-    median = quantiles(floored, ["v"], {"median": 0.5}, key=key).agg(F.max("median")).scalar()
+    low, high, mean = floored.agg(F.min("v"), F.max("v"), mean_money(F.col("v"))).first()
+    if low is None:
+        low, bins = 0.0, 0
+        high = mean = median = 0.0
+    else:
+        median = quantiles(floored, ["v"], {"median": 0.5}, key=key).first()["median"]
+    width = (high - low) / max(bins, 1)
+    place = F.floor((F.col("v") - F.lit(low)) / F.lit(width)) + 1 if width else F.lit(1)
+    counts = floored.groupBy(F.least(place, F.lit(bins)).cast("int").alias("bin")).agg(
+        F.count(F.lit(1)).alias("entities")
+    )
     frame = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
     return frame.join(F.broadcast(counts), "bin", "left").select(
         "bin",
-        (edges["low"] + width * (F.col("bin") - 1)).alias("low"),
-        (edges["low"] + width * F.col("bin")).alias("high"),
+        (F.lit(low) + F.lit(width) * (F.col("bin") - 1)).alias("low"),
+        (F.lit(low) + F.lit(width) * F.col("bin")).alias("high"),
         F.coalesce("entities", F.lit(0)).alias("entities"),
-        edges["mean"].alias("mean"), median.alias("median"),
-    ).where(F.col("low").isNotNull())
+        F.lit(mean).alias("mean"), F.lit(median).alias("median"),
+    )
 
 
 def _fenced(df: DataFrame, metrics: list[str], by: list[str], key: str) -> DataFrame:
@@ -153,19 +154,19 @@ def summary_stats(df: DataFrame, key: str = "entity_id") -> DataFrame:
         "cost_per_activity": ("cost", ["mean", "median", "q3", "max"]),
     }
     present = [c for c in shown if c in df.columns]
-    basic = df.agg(F.struct(
+    basic = df.agg(
         F.count(F.lit(1)).alias("n"),
-        *[f(F.col(c)).alias(f"{c}_{tag}") for c in present for tag, f in (("mean", F.avg), ("max", F.max))],
-    ).alias("s")).scalar()
+        *[f(F.col(c).cast("double")).alias(f"{c}_{tag}") for c in present for tag, f in (("mean", F.avg), ("max", F.max))],
+    ).first()
     table = quantiles(df, present, QUARTILES, key=key)
-    columns = [basic["n"].alias("entities")]
+    columns = []
     for metric, (short, parts) in shown.items():
         for part in parts:
             if metric not in present:
                 cell = F.lit(0.0)
             elif part in ("mean", "max"):
-                cell = basic[f"{metric}_{part}"]
+                cell = F.lit(basic[f"{metric}_{part}"]).cast("double")
             else:
                 cell = F.max(F.when(F.col("metric") == metric, F.col(part)))
             columns.append(cell.alias(f"{short}_{part}"))
-    return table.agg(*columns[1:]).withColumn("entities", columns[0])
+    return table.agg(F.lit(basic["n"]).alias("entities"), *columns)

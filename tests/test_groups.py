@@ -18,7 +18,7 @@ def test_skew_safe_join_spreads_the_hot_key(spark, spread):
         want = facts.join(lookup, "k", "left")
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
         hot = joins.hot_keys(joins.key_counts(facts, ["k"]), ["k"], "__n")
-        assert [r.k for r in hot.collect()] == [7]
+        assert [r.k for r in hot] == [7]
         parts = got.where("k = 7").groupBy(F.spark_partition_id()).count().collect()
         assert len(parts) > 1 and max(r["count"] for r in parts) < 2001
         inner = joins.skew_safe_join(facts, lookup, ["k"], "inner")
@@ -29,6 +29,20 @@ def test_skew_safe_join_spreads_the_hot_key(spark, spread):
         joins.skew_safe_join(facts, lookup, ["k"], "right")
 
 
+def test_skew_safe_join_spreads_copies_and_missing_keys(spark, spread):
+    facts = spark.range(3000).repartition(6).select(
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id")).alias("k"))
+    lookup = spark.range(5000).select(F.col("id").alias("k"), F.lit(1).alias("w"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = joins.skew_safe_join(facts, lookup, ["k"]).withColumn("p", F.spark_partition_id())
+        assert got.count() == 3000 and got.where("w is null").count() == 1000
+        for wanted in ("k = 7", "k is null"):
+            assert got.where(wanted).select("p").distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_lookup_join_beyond_the_broadcast_bound(spark, monkeypatch):
     facts, lookup = spark.range(50).withColumnRenamed("id", "k"), spark.range(20).select(F.col("id").alias("k"), F.lit(1).alias("w"))
     small = joins.lookup_join(facts, lookup, ["k"])
