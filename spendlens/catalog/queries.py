@@ -63,8 +63,8 @@ def read_csv(t: Tables) -> DataFrame:
 
 @query
 def read_optional(t: Tables) -> DataFrame:
-    rows, path = t.raw("documents").select("doc_id", "text", "lang"), scratch_path(t.spark, "documents-csv")
-    missing = files.read_optional(t.spark, f"{path}-absent")
+    rows, path = t.raw("documents").select("doc_id", "text", "lang"), f"{scratch_path(t.spark, 'documents')}.csv"
+    missing = files.read_optional(t.spark, f"{path}-absent.csv")
     files.write_table(rows, path, "csv")
     found = files.read_optional(t.spark, path, rows.schema)
     return found.select(

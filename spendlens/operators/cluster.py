@@ -20,6 +20,7 @@ SWEEP = (2, 3, 4, 5)
 RESTARTS = 10
 SEED = 42
 MAX_ITERATIONS = 300
+TOLERANCE = 1e-4  # a fit stops once the squared moves of its centres sum to at most this (unit variance)
 ORIGIN_SHIFT = 10.0
 
 
@@ -47,7 +48,8 @@ def kmeans_sweep(df: DataFrame, features: list[str] = FEATURES, ks=SWEEP, restar
     def fit(task):
         k, turn = task
         return KMeans(
-            k=k, seed=seed + turn, maxIter=MAX_ITERATIONS, featuresCol="__x", predictionCol="cluster"
+            k=k, seed=seed + turn, maxIter=MAX_ITERATIONS, tol=(TOLERANCE / k) ** 0.5,
+            featuresCol="__x", predictionCol="cluster",
         ).fit(vectors)
 
     tasks = [(k, turn) for k in ks for turn in range(restarts)]

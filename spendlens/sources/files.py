@@ -38,8 +38,9 @@ def read_preferred(spark: SparkSession, base: str, schema: T.StructType | None =
 
 
 def read_optional(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """CSV where it exists, else ``None``; callers skip what depends on it."""
-    return _if_present(lambda: read_csv(spark, path, schema))
+    """The table (CSV by its suffix, Parquet otherwise) where it exists, else ``None``."""
+    read = read_csv if path.endswith(".csv") else read_table
+    return _if_present(lambda: read(spark, path, schema))
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()) -> None:
