@@ -293,7 +293,7 @@ def cost_per_activity(t: Tables) -> DataFrame:
 
 @query
 def flag_no_expense(t: Tables) -> DataFrame:
-    spent = totals.expense_totals(t.expenses().where("yr < 1996"))
+    spent = totals.expense_totals(t.amounts().where("yr < 1996"))
     joined = t.entities().join(spent, "entity_id", "left")
     return joined.select(
         "entity_id", measures.flag_no_expense(F.col("spend_total"), F.col("expense_count")).alias("no_expense")
@@ -425,7 +425,7 @@ def drop_zero_rows(t: Tables) -> DataFrame:
 @query
 def attach_metrics(t: Tables) -> DataFrame:
     return joins.attach_metrics(
-        t.entities(), totals.expense_totals(t.expenses()), totals.item_counts(t.items()),
+        t.entities(), totals.expense_totals(t.amounts()), totals.item_counts(t.items()),
         totals.event_counts(t.events()),
     )
 
@@ -439,7 +439,7 @@ def attach_category_columns(t: Tables) -> DataFrame:
 @query
 def attach_group(t: Tables) -> DataFrame:
     known = t.entities().where("region <> 'NATION_3'")
-    rows = t.raw_expenses().select("l_orderkey", "l_linenumber", "l_suppkey", "entity_id", "amount")
+    rows = t.entity_lines().select("l_orderkey", "l_linenumber", "l_suppkey", "entity_id", "amount")
     return joins.attach_group(rows, known, ("grp", "name"))
 
 
@@ -489,7 +489,7 @@ def clean_expenses(t: Tables) -> DataFrame:
 
 @query
 def clean_items(t: Tables) -> DataFrame:
-    rows = t.raw_expenses().select("entity_id", F.col("l_orderkey").alias("item_id"), "yr")
+    rows = t.entity_lines().select("entity_id", F.col("l_orderkey").alias("item_id"), "yr")
     return clean.clean_items(rows)
 
 
@@ -506,12 +506,12 @@ def clean_events(t: Tables) -> DataFrame:
 
 @query
 def expense_totals(t: Tables) -> DataFrame:
-    return totals.expense_totals(t.expenses())
+    return totals.expense_totals(t.amounts())
 
 
 @query
 def expense_totals_rows(t: Tables) -> DataFrame:
-    rows = t.expenses().withColumn("amount_pos", F.when(~F.col("is_refund"), F.col("amount_pos")))
+    rows = t.amounts().withColumn("amount_pos", F.when(~F.col("is_refund"), F.col("amount_pos")))
     return totals.expense_totals(rows, count_rows=True)
 
 
@@ -592,7 +592,7 @@ def entity_category_grid(t: Tables) -> DataFrame:
 
 @query
 def year_group_series(t: Tables) -> DataFrame:
-    return groups.year_group_series(t.expenses(), _known(t), 6, **YEARS)
+    return groups.year_group_series(t.amounts(), _known(t), 6, **YEARS)
 
 
 @query

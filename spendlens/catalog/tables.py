@@ -47,20 +47,31 @@ class Tables:
             F.col("p_partkey").alias("l_partkey"), F.concat_ws(" ", "p_type", "p_name").alias("kind")
         )
 
-    def raw_expenses(self, kinds: DataFrame | None = None) -> DataFrame:
-        """Expense rows as they arrive, with the line's own keys. Large joins carry no hint: Spark
-        broadcasts by size and splits skewed partitions at run time."""
+    def entity_lines(self) -> DataFrame:
+        """Lines with their entity. Large joins carry no hint: Spark broadcasts by size and splits skewed
+        partitions at run time."""
         lines = self.signed_lines().select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "amount", F.year("l_shipdate").alias("yr")
         )
         orders = self.raw("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("entity_id"))
-        return lines.join(orders, "l_orderkey").join(self.kinds() if kinds is None else kinds, "l_partkey")
+        return lines.join(orders, "l_orderkey")
+
+    def raw_expenses(self, kinds: DataFrame | None = None) -> DataFrame:
+        """Expense rows as they arrive, with the line's own keys and the expense text."""
+        return self.entity_lines().join(self.kinds() if kinds is None else kinds, "l_partkey")
 
     def expenses(self) -> DataFrame:
         """Clean, categorised expenses. The text is an attribute of the part, so it is classified there,
         once per part, and only the category travels with the lines."""
         kinds = categorise_expenses(self.kinds(), RULES, DEFAULT)
-        return self.raw_expenses(kinds).select("entity_id", "yr", "amount", "kind", "category").withColumns({
+        return self._cleaned(self.raw_expenses(kinds).select("entity_id", "yr", "amount", "kind", "category"))
+
+    def amounts(self) -> DataFrame:
+        """Clean expenses without their text, for totals that do not ask for it: no join with the parts."""
+        return self._cleaned(self.entity_lines().select("entity_id", "yr", "amount"))
+
+    def _cleaned(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumns({
             "amount_pos": clip_floor(F.col("amount")), "is_refund": flag_refund(F.col("amount")),
         })
 
@@ -86,7 +97,7 @@ class Tables:
         return region_distances(self.centroids())
 
     def model(self) -> DataFrame:
-        return modelling_table(self.entities(), self.expenses(), self.items(), self.events(), self.distances())
+        return modelling_table(self.entities(), self.amounts(), self.items(), self.events(), self.distances())
 
     def master(self) -> DataFrame:
         return master_table(self.entities(), self.expenses(), self.items(), self.events(), CATEGORIES)

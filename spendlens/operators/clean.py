@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.numbers import (
     clip_floor, coerce_number, coerce_whole, coerce_year_value, flag_refund, null_nonfinite, parse_money,
@@ -72,10 +72,10 @@ def clean_entities(raw: DataFrame, order: list | None = None) -> DataFrame:
 def clean_expenses(raw: DataFrame, money_text: bool = False) -> DataFrame:
     """Distinct rows, integer key, year, numeric amount, floored amount and refund flag.
 
-    ``money_text`` reads amounts written as ``R$ 1.234,56``.
+    ``money_text`` reads text amounts written as ``R$ 1.234,56``; numeric amounts pass through.
     """
     rows = coerce_year(coerce_key(resolve_key(dedup_rows(raw))))
-    if money_text:
+    if money_text and isinstance(rows.schema["amount"].dataType, T.StringType):
         rows = rows.withColumn("amount", F.when(F.col("amount").isNotNull(), parse_money(F.col("amount"))))
     rows = drop_null_value(coerce_value(rows))
     return rows.withColumns({

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions.numbers import replace_values, sum_money
+from ..functions.numbers import coerce_whole, replace_values, sum_money
 from ..functions.text import categories_of, fill_unknown
 from ..session import materialize
 from .filters import drop_null_key, drop_zero_rows, in_top_groups, year_range
@@ -71,7 +71,9 @@ def entity_category_grid(expenses: DataFrame, entities: DataFrame, categories: l
 def year_group_series(expenses: DataFrame, entities: DataFrame, n: int = 6, after: int = 2022,
                       before: int = 2026, col: str = "yr") -> DataFrame:
     """Spend by year for the top-N groups of the year range, by year."""
-    rows = year_range(expenses.where(F.col(col).isNotNull()), after, before, col)
+    if not isinstance(expenses.schema[col].dataType, T.IntegralType):
+        expenses = expenses.withColumn(col, coerce_whole(expenses, col, "int"))
+    rows = year_range(drop_null_key(expenses, col), after, before, col)
     cells = group_cells(rows, entities, [col])
     return in_top_groups(cells, group_totals(cells, n, "spend")).orderBy(col, "grp")
 

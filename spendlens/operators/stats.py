@@ -169,4 +169,4 @@ def summary_stats(df: DataFrame, key: str = "entity_id") -> DataFrame:
             else:
                 cell = F.max(F.when(F.col("metric") == metric, F.col(part)))
             columns.append(cell.alias(f"{short}_{part}"))
-    return table.agg(F.lit(basic["n"]).alias("entities"), *columns)
+    return table.agg(F.lit(basic["n"]).cast("bigint").alias("entities"), *columns)

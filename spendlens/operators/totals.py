@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import sum_money
 from ..functions.text import category_column, categories_of
 from .filters import drop_null_key
 
 
+def category_sum(value: str, column: str, amount: str) -> Column:
+    """Sum of ``amount`` over the rows where ``column`` is ``value``; 0 for none."""
+    return F.coalesce(sum_money(F.when(F.col(column) == value, F.col(amount))), F.lit(0.0))
+
+
 def expense_totals(expenses: DataFrame, categories: list[str] | None = None,
                    count_rows: bool = False) -> DataFrame:
     """Per entity: positive spend, net spend, expense count, refund count.
@@ -23,9 +28,9 @@ def expense_totals(expenses: DataFrame, categories: list[str] | None = None,
         F.count(counted).alias("expense_count"),
         F.count_if(F.col("is_refund")).alias("refund_count"),
     ]
-    for category in categories or []:
-        spend = F.when(F.col("category") == category, F.col("amount_pos"))
-        aggregates.append(F.coalesce(sum_money(spend), F.lit(0.0)).alias(category_column(category)))
+    aggregates += [
+        category_sum(c, "category", "amount_pos").alias(category_column(c)) for c in categories or []
+    ]
     return drop_null_key(expenses).groupBy("entity_id").agg(*aggregates)
 
 
@@ -42,9 +47,12 @@ def event_counts(events: DataFrame) -> DataFrame:
 
 
 def pivot_sum(df: DataFrame, keys: list[str], column: str, values: list[str], amount: str) -> DataFrame:
-    """Long to wide with a closed value list; gaps are 0."""
-    wide = df.groupBy(*keys).pivot(column, values).agg(sum_money(F.col(amount)))
-    return wide.na.fill(0.0, values)
+    """Long to wide with a closed value list; gaps are 0.
+
+    One conditional sum per value: a single shuffle by ``keys``, where ``pivot`` would first group by
+    (keys, column) and then again by keys.
+    """
+    return df.groupBy(*keys).agg(*[category_sum(v, column, amount).alias(v) for v in values])
 
 
 def category_pivot(expenses: DataFrame, categories: list[str] | None = None) -> DataFrame:

@@ -46,11 +46,12 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType | None =
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()) -> None:
     """Overwrite ``path`` as Parquet or as CSV with a header, without an index column.
 
-    Partition expenses by year so that a year range reads only its folders.
+    Partition expenses by year so that a year range reads only its folders. Rows are rebalanced by the
+    partition columns first: few files per folder, and a large year is split over several tasks.
     """
     writer = df.write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by)
     if fmt == "parquet":
         writer.parquet(path)
     elif fmt == "csv":
