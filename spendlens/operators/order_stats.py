@@ -1,18 +1,25 @@
 """Exact order statistics without a single-task window.
 
-Rows are sorted once over all tasks (range partitions, sampled bounds). A row's global position is
-its index inside its partition plus the sizes of the partitions before it. Quantiles and bands read
-the few positions they need, so no group is ever gathered in one task or in one aggregation buffer.
+Rows are sorted over all tasks (range partitions, sampled bounds). A row's global position is its index
+inside its partition plus the sizes of the partitions before it. Quantiles and bands read the few
+positions they need, so no group is ever gathered in one task or in one aggregation buffer. Large
+tables are first narrowed to the rows near those positions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numbers import INFINITY
 from ..session import materialize
+from .joins import lookup_join
 
 ROW_BITS = 33  # monotonically_increasing_id keeps the index inside the partition in the low 33 bits
+SORT_ROWS = 20_000_000  # up to here all rows are sorted; beyond, only those near the wanted positions
+ACCURACY = 1000  # ranks of the approximate pass are right to 1 / ACCURACY of the rows
 
 
 def with_positions(df: DataFrame, order: list) -> DataFrame:
@@ -42,6 +49,100 @@ def melt_metrics(df: DataFrame, metrics: list[str], keep: list[str] = ()) -> Dat
     return cast.unpivot(list(keep), metrics, "metric", "value").where(F.abs("value") < F.lit(INFINITY))
 
 
+Wanted = list[tuple[str, float, Column]]  # label, share of the rows below, position in terms of ``n``
+
+
+def select_ranks(long: DataFrame, rows: int, by: list[str], wanted: Wanted, key: str) -> DataFrame:
+    """``by..., n`` and, per label, the exact value at the wanted 0-based position of the group.
+
+    ``long`` holds ``by..., value`` and a unique ``key``, at most ``rows`` rows of them. Up to
+    ``SORT_ROWS`` rows are simply sorted.
+    Beyond that an approximate pass brackets each position first, and only the rows inside the
+    brackets are sorted: a few scans instead of a shuffle of everything.
+    """
+    if rows > SORT_ROWS:
+        narrow = _ranks_in_brackets(long, by, wanted, key)
+        if narrow is not None:
+            return narrow
+    return _ranks_by_sort(long, by, wanted, key)
+
+
+def _ranks_by_sort(long: DataFrame, by: list[str], wanted: Wanted, key: str) -> DataFrame:
+    ranked = with_positions(long.select(*by, "value", key), [*by, "value", key])
+    # One row per group, stored so that Spark knows its size when it joins on it below.
+    bounds = materialize(ranked.groupBy(*by).agg(
+        F.min("__pos").alias("start"), F.count(F.lit(1)).alias("n")
+    ), "bounds")
+    targets = bounds.select(*[F.col(c).alias(f"__{c}") for c in by], "n", F.explode(F.array(*[
+        F.struct(F.lit(label).alias("label"), (F.col("start") + position).alias("pos")) for label, _, position in wanted
+    ])).alias("w")).select(*[f"__{c}" for c in by], "n", "w.label", F.col("w.pos").alias("__pos"))
+    hits = ranked.select("__pos", "value").join(targets, "__pos")
+    wide = hits.groupBy(*[f"__{c}" for c in by], "n").agg(*[
+        F.max(F.when(F.col("label") == label, F.col("value"))).alias(label) for label, _, _ in wanted
+    ])
+    return wide.withColumnsRenamed({f"__{c}": c for c in by})
+
+
+def _ranks_in_brackets(long: DataFrame, by: list[str], wanted: Wanted, key: str) -> DataFrame | None:
+    """As ``_ranks_by_sort``, sorting only the rows strictly inside a bracket around each position.
+
+    Bracket ends come from ``percentile_approx`` a little below and above the wanted share. Exact
+    counts then tell where a position falls: on the lower end, inside, or on the upper end. Values
+    repeated at an end are only counted. ``None`` if some bracket missed its position.
+    """
+    slack = 2 / ACCURACY
+    shares = sorted({p for _, p, _ in wanted})
+    edges = [e for p in shares for e in (max(p - slack, 0.0), min(p + slack, 1.0))]
+    sketch = long.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx("value", edges, ACCURACY).alias("q")
+    )
+    low = lambda p: F.col(f"lo{shares.index(p)}")
+    high = lambda p: F.col(f"hi{shares.index(p)}")
+    brackets = materialize(sketch.select(*by, "n", *[
+        F.col("q")[2 * i + side].alias(f"{name}{i}") for i in range(len(shares)) for side, name in enumerate(("lo", "hi"))
+    ]), "brackets")
+    placed = lookup_join(long.select(*by, "value", key), brackets, by, "inner")
+    value = F.col("value")
+    inside = {p: (value > low(p)) & (value < high(p)) for p in shares}
+    ends = [f"{name}{i}" for i in range(len(shares)) for name in ("lo", "hi")]
+    counts = materialize(placed.groupBy(*by, "n", *ends).agg(*[
+        F.count_if(test).alias(f"{name}{i}") for i, p in enumerate(shares) for name, test in (
+            ("below", value < low(p)), ("at_lo", value == low(p)), ("within", inside[p]),
+            ("at_hi", (value == high(p)) & (high(p) > low(p))),
+        )
+    ]), "counts")
+    rest = lambda position, i: position - F.col(f"below{i}") - F.col(f"at_lo{i}")
+    found = [
+        (F.col(f"below{i}") <= position) & (rest(position, i) < F.col(f"within{i}") + F.col(f"at_hi{i}"))
+        for i, position in ((shares.index(p), position) for _, p, position in wanted)
+    ]
+    if counts.where(~reduce(and_, found)).limit(1).count():
+        return None
+    rows = placed.select(*by, "value", key, F.explode(F.filter(
+        F.array(*[F.when(inside[p], F.lit(i)) for i, p in enumerate(shares)]), lambda i: i.isNotNull()
+    )).alias("bracket"))
+    ranked = with_positions(rows, [*by, "bracket", "value", key])
+    starts = materialize(ranked.groupBy(*by, "bracket").agg(F.min("__pos").alias("start")), "starts")
+    targets = reduce(DataFrame.unionByName, [
+        counts.where(rest(position, i).between(0, F.col(f"within{i}") - 1)).select(
+            *by, F.lit(i).alias("bracket"), F.lit(label).alias("label"), rest(position, i).alias("offset"))
+        for label, i, position in ((label, shares.index(p), position) for label, p, position in wanted)
+    ]).join(starts, [*by, "bracket"]).select(
+        *[F.col(c).alias(f"__{c}") for c in by], "label", (F.col("start") + F.col("offset")).alias("__pos")
+    )
+    hits = ranked.select("__pos", "value").join(targets, "__pos").groupBy(*[f"__{c}" for c in by]).agg(*[
+        F.max(F.when(F.col("label") == label, F.col("value"))).alias(f"__{label}") for label, _, _ in wanted
+    ]).withColumnsRenamed({f"__{c}": c for c in by})
+
+    def pick(label: str, p: float, position: Column) -> Column:
+        i = shares.index(p)
+        return F.when(rest(position, i) < 0, low(p)).when(
+            rest(position, i) < F.col(f"within{i}"), F.col(f"__{label}")
+        ).otherwise(high(p)).alias(label)
+
+    return counts.join(hits, by, "left").select(*by, "n", *[pick(*w) for w in wanted])
+
+
 def quantiles(df: DataFrame, metrics: list[str], probs: dict[str, float], by: list[str] = (),
               key: str = "entity_id", approx: bool = False) -> DataFrame:
     """``by..., metric, n`` and one column per named probability (linear interpolation).
@@ -49,42 +150,29 @@ def quantiles(df: DataFrame, metrics: list[str], probs: dict[str, float], by: li
     Groups with a NULL key are left out. ``approx`` trades exactness for a single aggregation.
     """
     by = list(by)
-    long = melt_metrics(df, metrics, [*by, key])
+    # The metric travels as its number; sorting and shuffling names would cost more than the values.
+    values = F.posexplode(F.array(*[F.col(m).cast("double") for m in metrics])).alias("__metric", "value")
+    long = df.select(*by, key, values).where(F.abs("value") < F.lit(INFINITY))
     for column in by:
         long = long.where(F.col(column).isNotNull())
+    groups = [*by, "__metric"]
     if approx:
-        return long.groupBy(*by, "metric").agg(
+        wide = long.groupBy(*groups).agg(
             F.count("value").alias("n"),
             *[F.percentile_approx("value", p, 10_000).alias(name) for name, p in probs.items()],
         )
-    ranked = with_positions(long, [*by, "metric", "value", key])
-    # One row per group and metric, stored so that Spark knows its size when it joins on it below.
-    bounds = materialize(ranked.groupBy(*by, "metric").agg(
-        F.min("__pos").alias("start"), F.count(F.lit(1)).alias("n")
-    ), "bounds")
-    wanted = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("label"), (F.lit(float(p)) * (F.col("n") - 1)).alias("h"))
-        for name, p in probs.items()
-    ]))
-    targets = bounds.withColumn("w", wanted).select(
-        *[F.col(c).alias(f"__{c}") for c in [*by, "metric"]], "n",
-        F.col("w.label").alias("label"),
-        (F.col("w.h") - F.floor("w.h")).alias("frac"),
-        F.explode(F.array(
-            F.col("start") + F.floor("w.h"), F.col("start") + F.ceil("w.h")
-        )).alias("__pos"),
-    )
-    hits = ranked.select("__pos", "value").join(targets, "__pos")
-
-    def at(label: str):
-        value = F.when(F.col("label") == label, F.col("value"))
-        low, high = F.min(value), F.max(value)
-        frac = F.max(F.when(F.col("label") == label, F.col("frac")))
-        return (low + (high - low) * frac).alias(label)
-
-    names = [*by, "metric"]
-    wide = hits.groupBy(*[f"__{c}" for c in names], "n").agg(*[at(label) for label in probs])
-    return wide.withColumnsRenamed({f"__{c}": c for c in names})
+    else:
+        place = {name: F.lit(float(p)) * (F.col("n") - 1) for name, p in probs.items()}
+        ranks = select_ranks(long, df.count() * len(metrics), groups, [
+            (f"{name}_{side}", float(p), rounding(place[name]).cast("bigint"))
+            for name, p in probs.items() for side, rounding in (("floor", F.floor), ("ceil", F.ceil))
+        ], key)
+        wide = ranks.select(*groups, "n", *[
+            (F.col(f"{name}_floor") + (F.col(f"{name}_ceil") - F.col(f"{name}_floor"))
+             * (place[name] - F.floor(place[name]))).alias(name) for name in probs
+        ])
+    named = F.element_at(F.array(*[F.lit(m) for m in metrics]), F.col("__metric") + 1)
+    return wide.select(*by, named.alias("metric"), "n", *probs)
 
 
 # Labels of the four spend bands, lowest first, and the label of a lone entity.
@@ -97,19 +185,52 @@ def spend_band(df: DataFrame, value: str = "spend_total", key: str = "entity_id"
     """Adds ``band_no`` and ``spend_band``: equal-count bands by rank of ``value``, ties by key.
 
     With bands 1..B and n rows, rank r falls in band ``max(1, ceil(B (r-1) / (n-1)))``; so band b ends
-    at rank ``floor(b (n-1) / B) + 1``. Only (value, key) is sorted; the B-1 rows at those ranks
-    are the cut points, and every row compares itself with them where it is.
+    at rank ``floor(b (n-1) / B) + 1``. The B-1 rows at those ranks are the cut points, and every row
+    compares itself with them where it is.
     """
     bands = len(labels)
-    ranked = with_positions(df.select(value, key), [value, key])
-    n = ranked.count()
+    rows = df.select(value, key)
+    n = rows.count()
     if n < 2:
         return df.withColumns({"band_no": F.lit(1), "spend_band": F.lit(single)})
     ends = [b * (n - 1) // bands for b in range(1, bands)]
-    cuts = {r["__pos"]: r for r in ranked.where(F.col("__pos").isin(ends)).collect()}
     number = F.lit(1)
-    for end in ends:
-        cut = F.struct(F.lit(cuts[end][value]).alias(value), F.lit(cuts[end][key]).alias(key))
+    for cut_value, cut_key in _rows_at(rows, value, key, ends, n):
+        cut = F.struct(F.lit(cut_value).alias(value), F.lit(cut_key).alias(key))
         number = number + F.when(F.struct(value, key) > cut, 1).otherwise(0)
     label = F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("band_no"))
     return df.withColumn("band_no", number).withColumn("spend_band", label)
+
+
+def _rows_at(rows: DataFrame, value: str, key: str, positions: list[int], n: int) -> list[tuple]:
+    """The (value, key) rows at a few positions of the order by value, then key.
+
+    Beyond ``SORT_ROWS`` rows: the value at each position first, then the key among the rows that share
+    one of those values.
+    """
+    if n <= SORT_ROWS:
+        return _sorted_rows_at(rows, value, key, positions)
+    one = rows.select(F.lit(0).alias("__all"), F.col(value).alias("value"), F.col(key).alias("__key"))
+    wanted = [(f"c{i}", p / (n - 1), F.lit(p)) for i, p in enumerate(positions)]
+    picked = select_ranks(one, n, ["__all"], wanted, "__key").first()
+    cuts = sorted({picked[label] for label, _, _ in wanted})
+    counted = one.agg(*[F.count_if(test) for c in cuts for test in (F.col("value") < F.lit(c), F.col("value") == F.lit(c))])
+    numbers = counted.first()
+    below, size = dict(zip(cuts, numbers[::2])), dict(zip(cuts, numbers[1::2]))
+    places = [(c, p - below[c]) for c, p in zip((picked[label] for label, _, _ in wanted), positions)]
+    ties = one.where(F.col("value").isin(cuts))
+    if sum(size.values()) <= SORT_ROWS:
+        before = {c: sum(size[x] for x in cuts if x < c) for c in cuts}
+        return _sorted_rows_at(ties, "value", "__key", [before[c] + place for c, place in places])
+    out = []
+    for c, place in places:
+        keys = ties.where(F.col("value") == F.lit(c)).select("__all", F.col("__key").alias("value"), "__key")
+        share = place / max(size[c] - 1, 1)
+        out.append((c, select_ranks(keys, size[c], ["__all"], [("k", share, F.lit(place))], "__key").first()["k"]))
+    return out
+
+
+def _sorted_rows_at(rows: DataFrame, value: str, key: str, positions: list[int]) -> list[tuple]:
+    ranked = with_positions(rows.select(value, key), [value, key])
+    found = {r["__pos"]: (r[value], r[key]) for r in ranked.where(F.col("__pos").isin(positions)).collect()}
+    return [found[p] for p in positions]

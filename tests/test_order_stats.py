@@ -45,6 +45,61 @@ def test_quantiles_one_value_holding_a_third(spark, spread):
     assert [got[p] for p in PROBS] == pytest.approx(list(np.quantile(values, list(PROBS.values()))))
 
 
+@pytest.fixture
+def large(monkeypatch):
+    """Treat every table as too large to sort."""
+    monkeypatch.setattr(order_stats, "SORT_ROWS", 0)
+    monkeypatch.setattr(order_stats, "ACCURACY", 50)
+
+
+@pytest.mark.parametrize("shape", ["smooth", "ties", "third", "constant"])
+def test_bracketed_quantiles_match_pandas(spark, spread, large, shape):
+    rng = np.random.default_rng(8)
+    values = {"smooth": rng.lognormal(3, 1, 4000), "ties": rng.integers(0, 9, 4000),
+              "third": np.where(rng.uniform(size=4000) < 0.34, 0, rng.normal(0, 5, 4000)), "constant": np.full(4000, 7)}[shape]
+    df = frame(spark, values, grp=rng.choice(["a", "a", "a", "b", "c"], 4000), w=rng.uniform(size=4000))
+    probs = {**PROBS, "min": 0.0, "max": 1.0}
+    got = order_stats.quantiles(df, ["v", "w"], probs, ["grp"]).toPandas().set_index(["grp", "metric"])
+    pdf = df.toPandas()
+    assert len(got) == 6
+    for (grp, metric), row in got.iterrows():
+        want = pdf.loc[pdf.grp == grp, metric]
+        assert row.n == len(want)
+        for name, p in probs.items():
+            assert row[name] == pytest.approx(want.quantile(p), rel=1e-12, abs=1e-12)
+
+
+def test_brackets_sort_only_a_share_of_the_rows(spark, large, monkeypatch):
+    sorted_rows = []
+    plain = order_stats.with_positions
+
+    def counting(df, order):
+        sorted_rows.append(df.count())
+        return plain(df, order)
+
+    monkeypatch.setattr(order_stats, "with_positions", counting)
+    values = np.append(np.zeros(2000), np.random.default_rng(9).uniform(1, 9, 4000))
+    got = order_stats.quantiles(frame(spark, values), ["v"], {"q": 0.2, "m": 0.5}).first()
+    assert (got.q, got.m) == (0.0, pytest.approx(np.quantile(values, 0.5)))
+    assert len(sorted_rows) == 1 and sorted_rows[0] < 1200
+
+
+def test_a_missed_bracket_falls_back_to_the_sort(spark, large, monkeypatch):
+    values = np.random.default_rng(10).uniform(size=3000)
+    monkeypatch.setattr(order_stats, "ACCURACY", 1)
+    monkeypatch.setattr(order_stats, "_ranks_in_brackets", lambda *a: None)
+    got = order_stats.quantiles(frame(spark, values), ["v"], {"m": 0.5}).first()
+    assert got.m == pytest.approx(np.quantile(values, 0.5))
+
+
+@pytest.mark.parametrize("n", [2, 7, 997])
+def test_bracketed_bands_match_qcut(spark, large, n):
+    values = np.random.default_rng(n).integers(0, max(2, n // 100), n)
+    got = order_stats.spend_band(frame(spark, values), "v").orderBy("entity_id").toPandas()
+    want = pd.qcut(pd.Series(values).rank(method="first"), 4, labels=order_stats.BAND_LABELS)
+    assert list(got["spend_band"]) == list(want)
+
+
 def test_quantiles_small_and_null(spark):
     df = spark.createDataFrame([(1, 4.0, "a"), (2, None, "a"), (3, float("nan"), "b"), (4, 9.0, None)], "entity_id long, v double, grp string")
     assert rows(order_stats.quantiles(df, ["v"], {"m": 0.5}, ["grp"])) == [("a", "v", 1, 4.0)]
