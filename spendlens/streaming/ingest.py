@@ -9,14 +9,17 @@ from ..sources.schemas import page_schema
 
 
 def ingest_pages(spark: SparkSession, landing: str, out: str, checkpoint: str, row: T.StructType,
-                 multi_line: bool = False) -> DataFrame:
+                 multi_line: bool = False, files_per_batch: int = 1000) -> DataFrame:
     """Append the pages that are new in ``landing`` to the table ``out``, and return the table.
 
     The checkpoint remembers which files were taken: a second run adds only new ones and a run that
-    broke off continues, each file exactly once. Page files are JSON objects, one per line, or one per
-    file with ``multi_line``.
+    broke off continues after its last batch of ``files_per_batch`` files, each file exactly once. Page
+    files are JSON objects, one per line, or one per file with ``multi_line``.
     """
-    pages = spark.readStream.schema(page_schema(row)).option("multiLine", multi_line).json(landing)
+    pages = (
+        spark.readStream.schema(page_schema(row)).option("multiLine", multi_line)
+        .option("maxFilesPerTrigger", files_per_batch).json(landing)
+    )
     query = (
         pages.writeStream.format("parquet").outputMode("append")
         .option("path", out).option("checkpointLocation", checkpoint)
