@@ -12,9 +12,14 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header line (a byte-order mark is dropped by Spark)."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
+             multi_line: bool = True) -> DataFrame:
+    """CSV with a header line (a byte-order mark is dropped by Spark).
+
+    Quoted line breaks need ``multi_line``, which reads each file in one task. Turn it off for large files
+    without such breaks, so that they are split.
+    """
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     return (reader.schema(schema) if schema else reader).csv(path)
 
 

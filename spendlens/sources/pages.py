@@ -32,23 +32,25 @@ def first_stops(pages: DataFrame, rule: str = "empty", keys=REQUEST) -> DataFram
     )
 
 
-def page_stop(pages: DataFrame, rule: str = "empty", keys=REQUEST) -> DataFrame:
+def page_stop(pages: DataFrame, rule: str = "empty", keys=REQUEST, stops: DataFrame | None = None) -> DataFrame:
     """Pages up to and including the first stop page of their request.
 
     A minimum per request joined back, not a window: a request with a third of all pages is
     reduced map-side first and its pages stay spread over many tasks. The same aggregation counts the
-    pages, which tells the hot requests.
+    pages, which tells the hot requests. ``stops`` is a stored ``first_stops``, where there is one.
     """
-    stops = materialize(first_stops(pages, rule, keys), "stops")
+    stops = materialize(first_stops(pages, rule, keys), "stops") if stops is None else stops
     hot = hot_keys(stops, list(keys), "pages")
     joined = skew_safe_join(pages, stops.drop("pages"), list(keys), hot=hot)
     return joined.where(F.col("stop_page").isNull() | (F.col("page") <= F.col("stop_page"))).drop("stop_page")
 
 
-def complete_requests(pages: DataFrame, rule: str = "empty", keys=REQUEST) -> DataFrame:
+def complete_requests(pages: DataFrame, rule: str = "empty", keys=REQUEST, stops: DataFrame | None = None) -> DataFrame:
     """Requests whose last page was seen; only these may be marked done."""
-    stops = first_stops(pages, rule, keys).where(F.col("stop_page").isNotNull())
-    return stops.select(F.col(keys[0]).alias("entity_id"), F.col(keys[1]).alias("yr"))
+    stops = first_stops(pages, rule, keys) if stops is None else stops
+    return stops.where(F.col("stop_page").isNotNull()).select(
+        F.col(keys[0]).alias("entity_id"), F.col(keys[1]).alias("yr")
+    )
 
 
 def flatten_pages(pages: DataFrame, data: str = "dados", keys=REQUEST) -> DataFrame:

@@ -6,7 +6,10 @@ import pandas as pd
 import pytest
 from conftest import rows
 
+from spendlens.operators.filters import year_range
+from spendlens.operators.totals import expense_totals
 from spendlens.plans import jobs
+from spendlens.plans.tables import master_table
 
 
 @pytest.fixture(scope="module")
@@ -65,3 +68,31 @@ def test_analysis(spark, out):
     report = spark.read.json(f"{out}/analysis/clusters.json")
     assert report.agg({"entities": "sum"}).first()[0] == 30 and report.first().best_k == 5
     assert spark.read.json(f"{out}/analysis/pearson.json").count() == 1
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_year_range_reads_only_its_folders(spark, out):
+    stored = spark.read.parquet(f"{out}/expenses_clean.parquet")
+    text = plan(year_range(stored))
+    assert "PartitionFilters: [isnotnull(yr" in text and "(yr#" in text.split("PartitionFilters")[1]
+
+
+def test_totals_read_only_their_columns(spark, out):
+    stored = spark.read.parquet(f"{out}/expenses_categorised.parquet")
+    text = plan(expense_totals(stored))
+    schema = text.split("ReadSchema: ")[1].split(">")[0]
+    assert "kind" not in schema and "amount_pos" in schema
+    assert text.count("Exchange") == 1 and "partial_sum" in text
+
+
+def test_master_shuffles_each_table_once(spark, out):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tables = [spark.read.parquet(f"{out}/{n}.parquet") for n in ("entities_clean", "expenses_categorised", "items_clean", "events_clean")]
+        text = plan(master_table(*tables))
+        assert text.count("Exchange hashpartitioning(entity_id") == 4 and text.count("Exchange") == 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
