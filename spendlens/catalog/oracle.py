@@ -272,14 +272,18 @@ ORACLE: dict[str, str] = {
         entity_id not in (select entity_id from expense where yr < 1996) as no_expense from entity""",
     "spend_per_distance": f"with {MODEL} select entity_id, round(spend_per_km, 6) as spend_per_km from model",
     "distance_km": f"""with place as (select c_custkey, cast(-30 as double) + c_nationkey * cast(1.3 as double)
-        + c_acctbal / cast(100000 as double) as lat, cast(-70 as double) + c_nationkey * cast(1.2 as double) as lon from customer),
+        + c_acctbal / cast(10000 as double) as lat, cast(-70 as double) + c_nationkey * cast(1.2 as double) as lon from customer),
         {lambert('lat', 'lon', 'place')} select c_custkey, round(km, 6) as km from far""",
     "polygon_centroid": """with place as (select c_custkey, cast(-30 as double) + c_nationkey * cast(1.3 as double)
-        + c_acctbal / cast(100000 as double) as lat, cast(-70 as double) + c_nationkey * cast(1.2 as double) as lon,
+        + c_acctbal / cast(10000 as double) as lat, cast(-70 as double) + c_nationkey * cast(1.2 as double) as lon,
         cast(2 as double) + abs(c_acctbal) / cast(10000 as double) as w from customer)
         select c_custkey as region,
           round((w * 2 * (lat + 1) - 0.5 * (lat + 0.75) + 2 * (lat + 1.5)) / (w * 2 + 1.5), 6) as lat,
           round((w * 2 * (lon + w / 2) - 0.5 * (lon + 1) + 2 * (lon + 11)) / (w * 2 + 1.5), 6) as lon from place""",
+    "read_regions": """with place as (select c_custkey, c_acctbal, cast(-30 as double) + c_nationkey * cast(1.3 as double)
+        + c_acctbal / cast(10000 as double) as lat, cast(-70 as double) + c_nationkey * cast(1.2 as double) as lon from customer)
+        select cast(c_custkey as varchar) as region, round(lat + 0.5, 6) as lat,
+          round(case when c_acctbal > 0 then lon + 1 else (2 * (lon + 1) + (lon + 4.5)) / 3 end, 6) as lon from place""",
     "replace_values": "select o_orderkey, case o_orderstatus when 'P' then 'PENDING' else o_orderstatus end as status from orders",
     "pick_value_column": f"select {LINE}, greatest({SIGNED}, 0) as spend from lineitem",
     "pick_time_column": "select o_orderkey, cast(year(o_orderdate) as integer) as picked from orders",

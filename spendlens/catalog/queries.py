@@ -310,7 +310,7 @@ def _places(t: Tables) -> DataFrame:
     key = F.col("c_nationkey").cast("double")
     return t.raw("customer").select(
         "c_custkey", "c_acctbal",
-        (F.lit(-30.0) + key * F.lit(1.3) + F.col("c_acctbal") / F.lit(1e5)).alias("lat"),
+        (F.lit(-30.0) + key * F.lit(1.3) + F.col("c_acctbal") / F.lit(1e4)).alias("lat"),
         (F.lit(-70.0) + key * F.lit(1.2)).alias("lon"),
     )
 
@@ -337,6 +337,28 @@ def polygon_centroid(t: Tables) -> DataFrame:
     return rounded(regions.region_centroids(shapes), "lat", "lon")
 
 
+@query
+def read_regions(t: Tables) -> DataFrame:
+    """Centroids of shapes read back from GeoJSON: one feature collection per customer, a polygon for
+    those with a positive balance and a two-part polygon for the others."""
+    lon, lat = F.col("lon"), F.col("lat")
+
+    def box(x, w):
+        return F.array(*[F.array(a, b) for a, b in ((x, lat), (x + w, lat), (x + w, lat + 1), (x, lat + 1), (x, lat))])
+
+    def collection(kind, coordinates):
+        shape = F.struct(F.lit(kind).alias("type"), coordinates.alias("coordinates"))
+        names = F.struct(F.col("c_custkey").cast("string").alias("sigla"))
+        return F.to_json(F.struct(F.array(F.struct(names.alias("properties"), shape.alias("geometry"))).alias("features")))
+
+    polygon = collection("Polygon", F.array(box(lon, F.lit(2.0))))
+    parts = collection("MultiPolygon", F.array(F.array(box(lon, F.lit(2.0))), F.array(box(lon + 4, F.lit(1.0)))))
+    path = scratch_path(t.spark, "regions")
+    _places(t).select(F.when(F.col("c_acctbal") > 0, polygon).otherwise(parts).alias("value")).write.text(path)
+    found = regions.region_centroids(regions.read_regions(t.spark, path, multi_line=False))
+    return rounded(found, "lat", "lon")
+
+
 @query
 def replace_values(t: Tables) -> DataFrame:
     return t.raw("orders").select(

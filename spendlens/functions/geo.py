@@ -43,39 +43,35 @@ def polygon_centroid(parts: Column) -> Column:
     away, whatever their winding. Coordinates are shifted to the first vertex before summing.
     All work stays inside the row; there is no explode and no shuffle.
     """
-    origin = parts[0][0][0]
-    x0, y0 = origin[0], origin[1]
-
-    def ring_sums(ring: Column, hole: Column) -> Column:
-        edges = F.zip_with(
-            F.slice(ring, F.lit(1), F.size(ring) - 1),
-            F.slice(ring, F.lit(2), F.size(ring) - 1),
-            lambda a, b: F.struct(
-                (a[0] - x0).alias("xa"), (a[1] - y0).alias("ya"),
-                (b[0] - x0).alias("xb"), (b[1] - y0).alias("yb"),
-            ),
-        )
-        sums = F.aggregate(
-            edges,
-            F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y")),
-            lambda acc, e: F.struct(
-                (acc["a"] + (e["xa"] * e["yb"] - e["xb"] * e["ya"])).alias("a"),
-                (acc["x"] + (e["xa"] + e["xb"]) * (e["xa"] * e["yb"] - e["xb"] * e["ya"])).alias("x"),
-                (acc["y"] + (e["ya"] + e["yb"]) * (e["xa"] * e["yb"] - e["xb"] * e["ya"])).alias("y"),
-            ),
+    x0, y0 = parts[0][0][0][0], parts[0][0][0][1]
+    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
+
+    def edge(v: Column, w: Column) -> Column:
+        return F.struct(
+            (v[0] - x0).alias("xv"), (v[1] - y0).alias("yv"), (w[0] - x0).alias("xw"), (w[1] - y0).alias("yw")
         )
-        sign = F.when(hole, -F.signum(sums["a"])).otherwise(F.signum(sums["a"]))
+
+    def add_edge(acc: Column, e: Column) -> Column:
+        cross = e["xv"] * e["yw"] - e["xw"] * e["yv"]
         return F.struct(
-            (sums["a"] * sign).alias("a"), (sums["x"] * sign).alias("x"), (sums["y"] * sign).alias("y")
+            (acc["a"] + cross).alias("a"),
+            (acc["x"] + (e["xv"] + e["xw"]) * cross).alias("x"),
+            (acc["y"] + (e["yv"] + e["yw"]) * cross).alias("y"),
         )
 
-    rings = F.flatten(F.transform(parts, lambda part: F.transform(part, lambda r, i: ring_sums(r, i > 0))))
-    total = F.aggregate(
-        rings,
-        F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y")),
-        lambda acc, r: F.struct(
-            (acc["a"] + r["a"]).alias("a"), (acc["x"] + r["x"]).alias("x"), (acc["y"] + r["y"]).alias("y")
-        ),
-    )
-    area = F.nullif(total["a"] * 3, F.lit(0.0))
-    return F.struct((x0 + total["x"] / area).alias("lon"), (y0 + total["y"] / area).alias("lat"))
+    def measure(ring: Column, index: Column) -> Column:
+        steps = F.size(ring) - 1
+        edges = F.zip_with(F.slice(ring, F.lit(1), steps), F.slice(ring, F.lit(2), steps), edge)
+        return F.struct((index > 0).alias("hole"), F.aggregate(edges, zero, add_edge).alias("sums"))
+
+    def add_ring(acc: Column, ring: Column) -> Column:
+        sums = ring["sums"]
+        sign = F.when(ring["hole"], -F.signum(sums["a"])).otherwise(F.signum(sums["a"]))
+        return F.struct(*[(acc[f] + sums[f] * sign).alias(f) for f in ("a", "x", "y")])
+
+    def centre(total: Column) -> Column:
+        area = F.nullif(total["a"] * 3, F.lit(0.0))
+        return F.struct((x0 + total["x"] / area).alias("lon"), (y0 + total["y"] / area).alias("lat"))
+
+    rings = F.flatten(F.transform(parts, lambda part: F.transform(part, measure)))
+    return F.aggregate(rings, zero, add_ring, centre)

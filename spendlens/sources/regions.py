@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..functions.geo import REFERENCE_POINT, distance_to_reference, polygon_centroid
 
 
-def read_regions(spark: SparkSession, path: str, code: str = "sigla") -> DataFrame:
+def read_regions(spark: SparkSession, path: str, code: str = "sigla", multi_line: bool = True) -> DataFrame:
     """``region, parts``: parts > rings > vertices. A Polygon becomes one part.
 
+    One feature collection per file, or one per line without ``multi_line``.
+
     The two geometry kinds nest to different depths in one file, so coordinates are read as
     VARIANT under an explicit schema and cast per kind.
     """
@@ -21,7 +23,7 @@ def read_regions(spark: SparkSession, path: str, code: str = "sigla") -> DataFra
         T.StructField("geometry", geometry),
     ])
     schema = T.StructType([T.StructField("features", T.ArrayType(feature))])
-    features = spark.read.schema(schema).option("multiLine", True).json(path).select(
+    features = spark.read.schema(schema).option("multiLine", multi_line).json(path).select(
         F.explode("features").alias("f")
     )
     shape = F.col("f.geometry.coordinates")

@@ -9,7 +9,9 @@ from conftest import rows
 from spendlens.operators.filters import year_range
 from spendlens.operators.totals import expense_totals
 from spendlens.plans import jobs
-from spendlens.plans.tables import master_table
+from spendlens.functions.text import categories_of
+from spendlens.operators.stats import summary_stats
+from spendlens.plans.tables import master_table, prepared_master
 
 
 @pytest.fixture(scope="module")
@@ -96,3 +98,19 @@ def test_master_shuffles_each_table_once(spark, out):
         assert text.count("Exchange hashpartitioning(entity_id") == 4 and text.count("Exchange") == 4
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_empty_tables_give_empty_marts(spark, out):
+    prepared = spark.read.parquet(f"{out}/master.parquet").limit(0)
+    prepared = prepared_master(prepared)
+    for name, build in jobs.entity_marts().items():
+        found = build(prepared)
+        if name == "correlations":
+            assert found.where("r is not null").count() == 0
+        else:
+            assert found.where("depth > 0" if name == "spend_hierarchy" else "true").count() == 0, name
+    assert summary_stats(prepared).first().entities == 0
+    spent = spark.read.parquet(f"{out}/expenses_categorised.parquet").limit(0)
+    for build in jobs.expense_marts(categories_of()).values():
+        found = build(spent, prepared)
+        assert found.where("depth > 0" if "depth" in found.columns else "true").count() == 0
