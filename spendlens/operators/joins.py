@@ -59,14 +59,17 @@ def skew_safe_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: st
     return salted_facts.join(salted_lookup, [*keys, "__salt"], how).drop("__salt")
 
 
-def lookup_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+def lookup_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left",
+                counts: tuple[DataFrame, str] | None = None) -> DataFrame:
     """Join to a lookup unique per key: broadcast when counted small, salted hot keys otherwise.
 
-    The count stops after ``BROADCAST_ROWS`` + 1 rows.
+    The count stops after ``BROADCAST_ROWS`` + 1 rows. ``counts`` names a frame with the number of fact
+    rows per key, where one is at hand.
     """
     if lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         return facts.join(F.broadcast(lookup), keys, how)
-    return skew_safe_join(facts, lookup, keys, how)
+    hot = hot_keys(counts[0], keys, counts[1]) if counts else None
+    return skew_safe_join(facts, lookup, keys, how, hot)
 
 
 def attach_metrics(entities: DataFrame, *metrics: DataFrame, key: str = "entity_id") -> DataFrame:
@@ -89,10 +92,10 @@ def attach_group(facts: DataFrame, entities: DataFrame, columns: tuple[str, ...]
                  key: str = "entity_id") -> DataFrame:
     """Fact rows with their entity's group (and name); a missing group gets the unknown label.
 
-    ``entities`` has one row per key. One entity may own very many rows, so hot ones are salted. The
-    marts sum per entity first and need no salting.
+    ``entities`` has one row per key. One entity may own very many rows, so hot ones are salted unless
+    the entities are few enough to broadcast. The marts sum per entity first and need neither.
     """
-    joined = skew_safe_join(facts, entities.select(key, *columns), [key])
+    joined = lookup_join(facts, entities.select(key, *columns), [key])
     return joined.withColumn("grp", fill_unknown(F.col("grp"))) if "grp" in columns else joined
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..operators.joins import hot_keys, skew_safe_join
+from ..operators.joins import lookup_join
 from ..session import materialize
 
 REQUEST = ("request_entity", "request_year")
@@ -28,20 +28,22 @@ def first_stops(pages: DataFrame, rule: str = "empty", keys=REQUEST) -> DataFram
         raise ValueError(f"unknown stop rule: {rule}")
     stop = is_empty_page() if rule == "empty" else is_empty_page() | ~has_next()
     return pages.groupBy(*keys).agg(
-        F.min(F.when(stop, F.col("page"))).alias("stop_page"), F.count(F.lit(1)).alias("pages")
+        F.min(F.when(stop, F.col("page"))).alias("stop_page"), F.max("page").alias("last_page"),
+        F.count(F.lit(1)).alias("pages"),
     )
 
 
 def page_stop(pages: DataFrame, rule: str = "empty", keys=REQUEST, stops: DataFrame | None = None) -> DataFrame:
     """Pages up to and including the first stop page of their request.
 
-    A minimum per request joined back, not a window: a request with a third of all pages is
-    reduced map-side first and its pages stay spread over many tasks. The same aggregation counts the
-    pages, which tells the hot requests. ``stops`` is a stored ``first_stops``, where there is one.
+    A minimum per request joined back, not a window: a request with a third of all pages is reduced
+    map-side first. Only requests that have pages after their stop page are joined; they are few, so the
+    payloads usually stay where they are. Should they be many, the page counts of the same aggregation
+    tell which requests to salt. ``stops`` is a stored ``first_stops``, where there is one.
     """
     stops = materialize(first_stops(pages, rule, keys), "stops") if stops is None else stops
-    hot = hot_keys(stops, list(keys), "pages")
-    joined = skew_safe_join(pages, stops.drop("pages"), list(keys), hot=hot)
+    overrun = stops.where(F.col("last_page") > F.col("stop_page")).select(*keys, "stop_page")
+    joined = lookup_join(pages, overrun, list(keys), counts=(stops, "pages"))
     return joined.where(F.col("stop_page").isNull() | (F.col("page") <= F.col("stop_page"))).drop("stop_page")
 
 

@@ -7,7 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F, types as T
 
 from spendlens import session
-from spendlens.operators import cluster
+from spendlens.operators import cluster, joins
 from spendlens.sources import files, pages, regions, worklist
 from spendlens.sources.schemas import page_schema
 from spendlens.streaming.ingest import ingest_pages, settle_pages
@@ -38,6 +38,24 @@ def test_stop_rules(spark):
         pages.page_stop(df, "other")
 
 
+def test_pages_stay_in_place_or_are_salted(spark, monkeypatch):
+    df = spark.range(900).select(
+        F.when(F.col("id") < 300, 0).otherwise(F.col("id") % 40).cast("long").alias("request_entity"), F.lit(2023).alias("request_year"),
+        F.col("id").alias("page"), F.expr("filter(array(named_struct('id', id, 'valorLiquido', 1D)), x -> id % 200 <> 199)").alias("dados"),
+        F.expr("array(named_struct('rel', 'next', 'href', ''))").alias("links"))
+    stops = session.materialize(pages.first_stops(df))
+    kept = pages.page_stop(df, stops=stops)
+    text = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    salted = pages.page_stop(df, stops=stops)
+    assert rows(kept.select("page"), "page") == rows(salted.select("page"), "page")
+    want = df.toPandas()
+    first = want[want.dados.str.len() == 0].groupby("request_entity").page.min()
+    limit = want.request_entity.map(first).fillna(10**9)
+    assert [r[0] for r in rows(kept.select("page"), "page")] == list(want.page[want.page <= limit])
+
+
 def test_missing_payload_parts(spark):
     df = frame(spark, {"request_entity": 1, "request_year": 2023, "page": 1})
     assert pages.flatten_pages(df).count() == 0
