@@ -42,7 +42,8 @@ def test_clean_entities(spark):
 
 def test_clean_expenses(spark):
     raw = spark.createDataFrame(
-        [("1", "10.5", "2023"), ("1", "10.5", "2023"), ("1", "-4", "2023.5"), ("2", "abc", "2024"), ("", "1", "2024")],
+        [("1", "10.5", "2023"), ("1", "10.5", "2023"), ("1", "-4", "2023.5"), ("2", "abc", "2024"), ("", "1", "2024"),
+         ("3", "1e999", "2024"), ("3", "NaN", "2024"), ("3", None, "2024")],
         "entity_id string, amount string, yr string")
     assert rows(clean.clean_expenses(raw), "amount") == [(1, -4.0, None, 0.0, True), (1, 10.5, 2023, 10.5, False)]
 
