@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def build_session(app: str = "spendlens", master: str | None = None, **conf) -> SparkSession:
@@ -57,3 +60,17 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give executors this package, once for each application, for steps that run Python there."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="spendlens-")) / "spendlens.zip"  # the driver serves it to executors
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, Path("spendlens") / file.relative_to(root))
+    spark.sparkContext.addPyFile(str(path))
+    _shipped.add(app)
