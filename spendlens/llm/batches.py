@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spendlens.session import ship_package
+
 #: Bytes of text that a step holds at once. A longer document makes a slice of its own.
 SLICE_BYTES = 6 << 20
 
@@ -42,9 +44,15 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def arrow_map(df: DataFrame, step: Callable, schema: T.StructType | str) -> DataFrame:
+    """``mapInArrow`` on executors that have this package."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(step, schema)
+
+
 def add_columns(df: DataFrame, step: Callable, fields: list[T.StructField]) -> DataFrame:
     """Run ``step`` (batches to batches) that appends ``fields`` to all columns of ``df``."""
-    return df.mapInArrow(step, T.StructType([*df.schema.fields, *fields]))
+    return arrow_map(df, step, T.StructType([*df.schema.fields, *fields]))
 
 
 def with_arrays(batch: pa.RecordBatch, arrays: dict[str, pa.Array]) -> pa.RecordBatch:

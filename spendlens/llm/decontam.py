@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .batches import add_columns, fresh, slices, texts_of, with_arrays
+from .batches import add_columns, arrow_map, fresh, slices, texts_of, with_arrays
 
 #: Words of a window: what an item and a document must share.
 WINDOW = 13
@@ -179,7 +179,7 @@ def find_spans(
     for items in item_blocks(benchmark, item_id, item_text, block_words):
         held = spark.sparkContext.broadcast(items)
         step = _matcher(held, text, names, window, first)
-        out = add_columns(out, step, fields) if first else out.mapInArrow(step, out.schema)
+        out = add_columns(out, step, fields) if first else arrow_map(out, step, out.schema)
         first = False
     return out, names
 
@@ -263,7 +263,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", leas
             arrays = [pa.array(texts, batch.column(text).type) if c == text else batch.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
-    return found.mapInArrow(step, docs.schema)
+    return arrow_map(found, step, docs.schema)
 
 
 def without_words(text: str, spans: list[tuple[int, int]]) -> str:

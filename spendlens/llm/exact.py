@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from spendlens.session import materialize
 
-from .batches import fresh, join_filter, key_filter
+from .batches import arrow_map, fresh, join_filter, key_filter
 
 #: White space that does not count when texts are compared.
 BLANK = " \t\n\x0b\x0c\r"
@@ -87,7 +87,7 @@ def merge_filters(table: pa.Table) -> pa.Table:
 
 def quotient_filter(prints: DataFrame) -> DataFrame:
     """The merged counting quotient filter of a column of 64-bit fingerprints (``BLOCK`` rows)."""
-    return prints.mapInArrow(build_filters, BLOCK).groupBy("range").applyInArrow(merge_filters, BLOCK)
+    return arrow_map(prints, build_filters, BLOCK).groupBy("range").applyInArrow(merge_filters, BLOCK)
 
 
 def filter_counts(blocks: DataFrame, least: int = 2) -> DataFrame:
@@ -100,7 +100,7 @@ def filter_counts(blocks: DataFrame, least: int = 2) -> DataFrame:
             arrays = [pa.array(prints[fit].view(np.int64)), pa.array(counts[fit])]
             yield pa.RecordBatch.from_arrays(arrays, names=["print", "count"])
 
-    return blocks.mapInArrow(entries, "print long, count long")
+    return arrow_map(blocks, entries, "print long, count long")
 
 
 def with_prints(docs: DataFrame, text: str) -> tuple[DataFrame, str, str]:

@@ -5,8 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, exact
+from . import bpe, decontam, exact, tokenfile
 
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+END_ID = 2
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -22,6 +24,10 @@ def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(table(spark, folder, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
 
 
+def token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return tokenfile.round_trip(table(spark, folder, "documents"), WORD_TOKENIZER, END_ID)
+
+
 def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -29,6 +35,7 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op3_exact_dedup": exact_dedup,
     "op4_byte_bpe": byte_bpe,
+    "op6_token_files": token_files,
     "op10_benchmark_decontamination": decontamination,
 }
 
