@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, exact, tokenfile
+from . import bpe, decontam, exact, language, quality, tokenfile
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
@@ -16,6 +16,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
+
+
 def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.mark_copies(table(spark, folder, "documents"))
 
@@ -28,14 +32,20 @@ def token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokenfile.round_trip(table(spark, folder, "documents"), WORD_TOKENIZER, END_ID)
 
 
+def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.assess(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
 QUERIES = {
+    "op1_language_id": language_id,
     "op3_exact_dedup": exact_dedup,
     "op4_byte_bpe": byte_bpe,
     "op6_token_files": token_files,
+    "op8_quality_classifier": quality_classifier,
     "op10_benchmark_decontamination": decontamination,
 }
 
