@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, exact, language, quality, tokenfile
+from . import bpe, chunks, decontam, exact, language, pii, quality, tokenfile
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
@@ -36,6 +36,14 @@ def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.assess(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return chunks.report(table(spark, folder, "documents"))
+
+
+def personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.report(table(spark, folder, "documents"))
+
+
 def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -45,7 +53,9 @@ QUERIES = {
     "op3_exact_dedup": exact_dedup,
     "op4_byte_bpe": byte_bpe,
     "op6_token_files": token_files,
+    "op7_personal_data": personal_data,
     "op8_quality_classifier": quality_classifier,
+    "op9_substring_dedup": substring_dedup,
     "op10_benchmark_decontamination": decontamination,
 }
 
