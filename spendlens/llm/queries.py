@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, chunks, decontam, exact, language, pii, quality, tokenfile
+from . import bpe, chat, chunks, decontam, exact, jaccard, language, pii, quality, tokenfile
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
@@ -20,6 +21,10 @@ def language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents"))
 
 
+def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_classes(table(spark, folder, "documents"))
+
+
 def exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.mark_copies(table(spark, folder, "documents"))
 
@@ -28,6 +33,47 @@ def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(table(spark, folder, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
 
 
+#: Functions that the calls derived from the conversations name.
+TOOLS = {
+    "search": {
+        "type": "object", "required": ["query", "limit"], "additionalProperties": False,
+        "properties": {"query": {"type": "string"}, "limit": {"type": "integer"}},
+    },
+    "note": {"type": "object", "required": ["query"], "properties": {"query": {"type": "string"}}},
+}
+
+
+def tool_messages(conversations: DataFrame) -> DataFrame:
+    """Conversations whose assistant turns call a tool with the turn's text, answered by the user's next turn.
+
+    By a hash of the text a call waits for the call before it or after it, names an unknown function, or has a limit
+    that is no whole number. A user's turn that follows no assistant's answers a call that was never made.
+    """
+    text = F.coalesce("text", F.lit(""))
+    salt = F.crc32(text.cast("binary")).cast("long")
+    call = lambda turn: F.concat_ws("-", F.lit("call"), "conv_id", turn)
+    size = F.size(F.split(text, " "))
+    arguments = F.to_json(F.struct(
+        text.alias("query"), F.when(salt % 7 == 0, F.concat(size.cast("string"), F.lit("x"))).alias("bad"),
+        F.when(salt % 7 != 0, size).alias("limit"),
+    ))
+    arguments = F.when(salt % 7 == 0, F.regexp_replace(arguments, '"bad":', '"limit":')).otherwise(arguments)
+    name = F.when(salt % 11 == 0, "forget").when(salt % 2 == 0, "note").otherwise("search")
+    after = F.when(salt % 4 == 0, F.array(call(F.col("turn") - 2))).when(salt % 16 == 1, F.array(call(F.col("turn") + 2)))
+    made = F.to_json(F.struct(F.array(F.struct(
+        call(F.col("turn")).alias("id"), F.struct(name.alias("name"), arguments.alias("arguments")).alias("function"),
+        F.coalesce(after, F.array().cast("array<string>")).alias("after"),
+    )).alias("tool_calls")))
+    answer = F.to_json(F.struct(call(F.col("turn") - 1).alias("tool_call_id"), text.alias("content")))
+    role = F.when((F.col("role") == "user") & (F.col("turn") > 0), "tool").otherwise(F.col("role"))
+    body = F.when(role == "assistant", made).when(role == "tool", answer).otherwise(text)
+    return conversations.select("conv_id", "turn", role.alias("role"), body.alias("text"))
+
+
+def chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.link_tool_calls(tool_messages(table(spark, folder, "conversations")), TOOLS)
+
+
 def token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokenfile.round_trip(table(spark, folder, "documents"), WORD_TOKENIZER, END_ID)
 
@@ -50,8 +96,10 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": language_id,
+    "op2_jaccard_join": jaccard_join,
     "op3_exact_dedup": exact_dedup,
     "op4_byte_bpe": byte_bpe,
+    "op5_chat_formatting": chat_formatting,
     "op6_token_files": token_files,
     "op7_personal_data": personal_data,
     "op8_quality_classifier": quality_classifier,
