@@ -37,7 +37,8 @@ PERCENT = 80
 FREQUENT = 1 << 16
 #: How often a slice of documents must hold a shingle for the slice to report it as frequent.
 OFTEN = 4
-#: 64-bit parts of a parity signature: bits flipped by each shingle, so that bits that differ bound the difference.
+#: 64-bit parts of the coarse parity signature: bits flipped by each shingle, so that bits that differ bound the
+#: difference of two sets. A set with more shingles than PARITY * 16 also has a fine one of four bits for each or more.
 PARITY = 16
 #: Pivots of a region in the first recursive round, and their growth with each round.
 PIVOTS, GROWTH = 4, 8
@@ -92,8 +93,13 @@ def prefix_size(n: int) -> int:
     return n - math.ceil(n * PERCENT / 100) + 1 if n else 0
 
 
-def parity(value: np.ndarray) -> np.ndarray:
-    return (np.bincount((value & np.uint64(64 * PARITY - 1)).astype(np.int64), minlength=64 * PARITY) & 1).astype(np.uint8)
+def parity(value: np.ndarray, parts: int) -> np.ndarray:
+    bits = np.bincount((value & np.uint64(64 * parts - 1)).astype(np.int64), minlength=64 * parts) & 1
+    return np.packbits(bits.astype(np.uint8)).view("<i8")
+
+
+def fine_parts(n: int) -> int:
+    return 1 << math.ceil(math.log2(n / 16))
 
 
 def describe(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -134,7 +140,7 @@ def prefixes(docs: DataFrame, frequent: DataFrame) -> DataFrame:
     def step(batches):
         known, counts = held.value
         for batch in slices(batches, "text"):
-            columns: list[list] = [[], [], [], [], []]
+            columns: list[list] = [[], [], [], [], [], []]
             rows = []
             for k, text in enumerate(texts_of(batch, "text")):
                 value = shingles(text)
@@ -150,19 +156,20 @@ def prefixes(docs: DataFrame, frequent: DataFrame) -> DataFrame:
                 columns[1].append(len(value))
                 columns[2].append(light.view(np.int64))
                 columns[3].append(heavy.view(np.int64))
-                columns[4].append(np.packbits(parity(value)).view("<i8"))
+                columns[4].append(parity(value, PARITY))
+                columns[5].append(parity(value, fine_parts(len(value))) if len(value) > 16 * PARITY else None)
             arrays = [
                 batch.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(np.array(columns[0], np.uint64).view(np.int64)),
                 pa.array(columns[1], pa.int32()), *(pa.array(c, pa.list_(pa.int64())) for c in columns[2:]),
             ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "key", "n", "light", "heavy", "parity"])
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "key", "n", "light", "heavy", "coarse", "fine"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, key long, n int, light array<long>, heavy array<long>, parity array<long>"
+    schema = f"doc_id {kind}, key long, n int, light array<long>, heavy array<long>, coarse array<long>, fine array<long>"
     made = arrow_map(docs.where("doc_id is not null"), step, schema)
     return made.groupBy("key").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("light").alias("light"),
-        F.first("heavy").alias("heavy"), F.first("parity").alias("parity"),
+        F.first("heavy").alias("heavy"), F.first("coarse").alias("coarse"), F.first("fine").alias("fine"),
     )
 
 
@@ -181,12 +188,45 @@ def regions(sets: DataFrame) -> DataFrame:
     return few.unionAll(many).distinct()
 
 
-def possible(n: Column, m: Column, a: Column, b: Column) -> Column:
-    """Whether two sets may be linked, by their sizes and by how many parity bits differ."""
-    short, long = F.least(n, m), F.greatest(n, m)
+def sizes_fit(n: Column, m: Column) -> Column:
+    return F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT
+
+
+def difference_fits(n: Column, m: Column, a: Column, b: Column) -> Column:
+    """Whether few enough bits of two signatures of equal length differ.
+
+    A link leaves at most (100 - P) / (100 + P) of both sizes outside the intersection, and each shingle outside it
+    flips one bit.
+    """
     differing = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, v: t + v)
-    # a link leaves at most (100 - P) / (100 + P) of both sizes outside the intersection
-    return (short * 100 >= long * PERCENT) & (differing * (100 + PERCENT) <= (n + m) * (100 - PERCENT))
+    return differing * (100 + PERCENT) <= (n + m) * (100 - PERCENT)
+
+
+def folded(signature: Column, parts: Column) -> Column:
+    """A signature of twice as many parts as ``parts``, or as many, brought to ``parts``."""
+    halves = F.zip_with(F.slice(signature, F.lit(1), parts), F.slice(signature, parts + 1, parts), lambda x, y: x.bitwiseXOR(y))
+    return F.when(F.size(signature) > parts, halves).otherwise(signature)
+
+
+def narrowed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of pairs (a, b), those whose sizes and signatures allow a link: a, b, na, nb. Rules out no link."""
+    left = sets.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("coarse").alias("ca"))
+    right = sets.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("coarse").alias("cb"))
+    n, m = F.col("na"), F.col("nb")
+    sized = pairs.join(left, "a").join(right, "b").where(sizes_fit(n, m))
+    near = materialize(sized.where(difference_fits(n, m, F.col("ca"), F.col("cb"))).select("a", "b", "na", "nb"), "coarse")
+    fine = only(sets.select("key", "fine").where("fine is not null"), near)
+    left = fine.select(F.col("key").alias("a"), F.col("fine").alias("fa"))
+    right = fine.select(F.col("key").alias("b"), F.col("fine").alias("fb"))
+    both = near.where((n > 16 * PARITY) & (m > 16 * PARITY)).join(left, "a").join(right, "b")
+    parts = F.least(F.size("fa"), F.size("fb"))
+    sure = both.where(difference_fits(n, m, folded(F.col("fa"), parts), folded(F.col("fb"), parts))).select(*near.columns)
+    return near.where((n <= 16 * PARITY) | (m <= 16 * PARITY)).unionAll(sure)
+
+
+def only(table: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Rows of ``table`` that the keys of ``pairs`` may need."""
+    return join_filter(table, F.col("key"), key_filter(every_key(pairs), "key"))
 
 
 def bags_of(docs: DataFrame, needed: DataFrame) -> DataFrame:
@@ -207,6 +247,7 @@ def bags_of(docs: DataFrame, needed: DataFrame) -> DataFrame:
 
 def linked(near: DataFrame, bags: DataFrame) -> DataFrame:
     """Of possible pairs, each with the exact size of its intersection and whether it is a link."""
+    bags = only(bags, near)
     first = bags.select(F.col("key").alias("a"), F.col("bag").alias("bag_a"))
     second = bags.select(F.col("key").alias("b"), F.col("bag").alias("bag_b"))
     both = near.join(first, "a").join(second, "b")
@@ -255,13 +296,13 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     marked, frequent = describe(docs)
     sets = materialize(prefixes(docs, frequent), "prefixes")
     members = materialize(regions(sets), "regions")
-    slim = sets.select("key", "rep", "n", "parity")
+    slim = sets.drop("light", "heavy")
     near = materialize(narrowed(members.select(F.col("pivot").alias("a"), F.col("key").alias("b")), slim), "near")
     # distance to the pivot of a region; without a figure it is more than any link's
     bags = materialize(bags_of(docs, every_key(near).join(slim.select("key", "rep"), "key")), "bags")
     tested = materialize(linked(near, bags), "tested")
     roots = components(tested.where("link").select("a", "b"))
-    members = materialize(with_distances(members, tested), "members")
+    members = materialize(with_distances(members, tested, slim), "members")
     size, held = PIVOTS, None
     while True:
         pairs = next_pairs(members, roots, slim, size, held)
@@ -273,7 +314,7 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         fresh = every_key(near)
         more = fresh.join(bags.select("key"), "key", "left_anti").join(slim.select("key", "rep"), "key")
         if not more.isEmpty():
-            bags = materialize(bags.unionAll(bags_of(docs, more)), "bags")
+            bags = bags.unionAll(materialize(bags_of(docs, more), "bags"))
         found = materialize(linked(near, bags).where("link").select("a", "b"), "links")
         if not found.isEmpty():
             roots = joined(roots, found)
@@ -296,16 +337,8 @@ def every_key(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("key")).unionAll(pairs.select(F.col("b").alias("key"))).distinct()
 
 
-def narrowed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of pairs (a, b), those whose sizes and signatures allow a link: a, b, na, nb."""
-    left = sets.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa"))
-    right = sets.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb"))
-    sized = pairs.join(left, "a").join(right, "b")
-    return sized.where(possible(F.col("na"), F.col("nb"), F.col("pa"), F.col("pb"))).select("a", "b", "na", "nb")
-
-
-def with_distances(members: DataFrame, tested: DataFrame) -> DataFrame:
-    """Regions of three documents or more (smaller ones are done) with each member's distance to the pivot.
+def with_distances(members: DataFrame, tested: DataFrame, sets: DataFrame) -> DataFrame:
+    """Regions of three documents or more (smaller ones are done) with each member's size and distance to the pivot.
 
     The distance is NULL where it was not worked out: it is greater than a link's then.
     """
@@ -315,7 +348,8 @@ def with_distances(members: DataFrame, tested: DataFrame) -> DataFrame:
         (1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))).alias("far"),
     )
     own = busy.select("pivot", F.col("pivot").alias("key"), F.lit(0.0).alias("far"))
-    return members.join(busy, "pivot", "left_semi").join(far, ["pivot", "key"], "left").unionAll(own)
+    every = members.join(busy, "pivot", "left_semi").join(far, ["pivot", "key"], "left").unionAll(own)
+    return every.join(sets.select("key", "n"), "key")
 
 
 def next_pairs(members: DataFrame, roots: DataFrame, sets: DataFrame, size: int, held: DataFrame | None) -> DataFrame | None:
@@ -324,23 +358,23 @@ def next_pairs(members: DataFrame, roots: DataFrame, sets: DataFrame, size: int,
     A region's next pivots are members outside its largest linked part that were no pivots of it yet. A pair whose
     ends are linked already needs no comparison. A pivot without a member in its window comes with a NULL partner.
     """
-    known = members.join(roots, "key", "left").select("pivot", "key", "far", F.coalesce("root", "key").alias("root"))
+    known = members.join(roots, "key", "left").select("pivot", "key", "n", "far", F.coalesce("root", "key").alias("root"))
     known = materialize(known, "known")
     parts = known.groupBy("pivot", "root").count()
-    largest = parts.groupBy("pivot").agg(F.max_by("root", F.struct("count", "root")).alias("largest"), F.count("*").alias("n"))
-    open_ = largest.where("n > 1").drop("n")
+    largest = parts.groupBy("pivot").agg(F.max_by("root", F.struct("count", "root")).alias("largest"), F.count("*").alias("parts"))
+    open_ = largest.where("parts > 1").drop("parts")
     rest = known.join(open_, "pivot").where("root != largest and key != pivot")
     if held is not None:
         rest = rest.join(held.select("pivot", F.col("a").alias("key")), ["pivot", "key"], "left_anti")
     order = Window.partitionBy("pivot").orderBy("key")
     chosen = rest.withColumn("k", F.row_number().over(order)).where(F.col("k") <= size)
-    chosen = materialize(chosen.select("pivot", F.col("key").alias("a"), F.col("far").alias("fa"), F.col("root").alias("ra")), "chosen")
+    chosen = materialize(chosen.select("pivot", F.col("key").alias("a"), F.col("n").alias("na"), F.col("far").alias("fa"), F.col("root").alias("ra")), "chosen")
     if chosen.isEmpty():
         return None
     reach = 1 - PERCENT / 100 + 1e-9
-    others = known.where("key != pivot").select("pivot", F.col("key").alias("b"), F.col("far").alias("fb"), F.col("root").alias("rb"))
+    others = known.where("key != pivot").select("pivot", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("far").alias("fb"), F.col("root").alias("rb"))
     inside = F.coalesce(F.abs(F.col("fa") - F.col("fb")) <= reach, F.lit(True))
-    met = chosen.join(others, "pivot").where((F.col("ra") != F.col("rb")) & inside).select("pivot", "a", "b")
+    met = chosen.join(others, "pivot").where((F.col("ra") != F.col("rb")) & inside & sizes_fit(F.col("na"), F.col("nb"))).select("pivot", "a", "b")
     alone = chosen.select("pivot", "a", F.lit(None).cast("long").alias("b"))
     return materialize(met.unionAll(alone), "pairs")
 
