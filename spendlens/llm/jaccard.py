@@ -34,12 +34,14 @@ WORDS = 5
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 80
 #: Shingles ordered last, by their frequency: the most frequent ones. An order only; it drops nothing.
-FREQUENT = 1 << 16
-#: How often a slice of documents must hold a shingle for the slice to report it as frequent.
-OFTEN = 4
+FREQUENT = 1 << 18
+#: How many different sets of a batch of sets must hold a shingle for the batch to report it, and a batch's shingles.
+OFTEN, BATCH = 2, 6_000_000
 #: 64-bit parts of the coarse parity signature: bits flipped by each shingle, so that bits that differ bound the
 #: difference of two sets. A set with more shingles than PARITY * 16 also has a fine one of four bits for each or more.
 PARITY = 16
+#: Central members of a region's largest linked part that all members outside it are compared with first.
+CENTRAL = (8, 32)
 #: Pivots of a region in the first recursive round, and their growth with each round.
 PIVOTS, GROWTH = 4, 8
 MEMO_ENTRIES = 500_000
@@ -106,19 +108,32 @@ def describe(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Per document doc_id, n and the key of its set; and the shingles that many documents hold, with counts."""
 
     def step(batches):
+        seen, held, size = set(), [], 0
+        kind = None
         for batch in slices(batches, "text"):
             sets = [shingles(t) for t in texts_of(batch, "text")]
-            value, counts = np.unique(np.concatenate(sets), return_counts=True)
-            often = np.flatnonzero(counts >= OFTEN)
-            size = len(sets) + len(often)
-            keys = np.array([set_key(s) for s in sets] + [0] * len(often), np.uint64).view(np.int64)
-            keys[len(sets) :] = value[often].view(np.int64)
-            ids = pa.concat_arrays([batch.column("doc_id"), pa.nulls(len(often), batch.column("doc_id").type)])
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([len(s) for s in sets] + counts[often].tolist(), pa.int64()), pa.array(keys),
-                 pa.array(np.arange(size) >= len(sets))],
-                names=["doc_id", "n", "key", "frequent"],
-            )
+            keys = [set_key(s) for s in sets]
+            kind = batch.column("doc_id").type
+            yield rows_of(batch.column("doc_id"), [len(s) for s in sets], np.array(keys, np.uint64), False)
+            for key, value in zip(keys, sets):
+                if key not in seen:  # copies in a batch count once
+                    seen.add(key)
+                    held.append(value)
+                    size += len(value)
+            if size > BATCH:
+                yield often(held, kind)
+                seen, held, size = set(), [], 0
+        if size:
+            yield often(held, kind)
+
+    def often(sets, kind):
+        value, counts = np.unique(np.concatenate(sets), return_counts=True)
+        many = counts >= OFTEN
+        return rows_of(pa.nulls(int(many.sum()), kind), counts[many], value[many], True)
+
+    def rows_of(ids, numbers, keys, frequent):
+        arrays = [ids, pa.array(numbers, pa.int64()), pa.array(keys.view(np.int64)), pa.array([frequent] * len(keys), pa.bool_())]
+        return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n", "key", "frequent"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     both = materialize(arrow_map(docs, step, f"doc_id {kind}, n long, key long, frequent boolean"), "sets")
@@ -192,14 +207,18 @@ def sizes_fit(n: Column, m: Column) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT
 
 
+def differing(a: Column, b: Column) -> Column:
+    """How many bits of two signatures of equal length differ."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, v: t + v)
+
+
 def difference_fits(n: Column, m: Column, a: Column, b: Column) -> Column:
     """Whether few enough bits of two signatures of equal length differ.
 
     A link leaves at most (100 - P) / (100 + P) of both sizes outside the intersection, and each shingle outside it
     flips one bit.
     """
-    differing = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, v: t + v)
-    return differing * (100 + PERCENT) <= (n + m) * (100 - PERCENT)
+    return differing(a, b) * (100 + PERCENT) <= (n + m) * (100 - PERCENT)
 
 
 def folded(signature: Column, parts: Column) -> Column:
@@ -304,21 +323,17 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     roots = components(tested.where("link").select("a", "b"))
     members = materialize(with_distances(members, tested, slim), "members")
     size, held = PIVOTS, None
-    while True:
-        pairs = next_pairs(members, roots, slim, size, held)
-        if pairs is None:
-            break
-        held = pairs.select("pivot", "a").distinct() if held is None else held.unionAll(pairs.select("pivot", "a").distinct())
-        held = materialize(held, "pivots")
-        near = materialize(narrowed(pairs.where("b is not null").select("a", "b").distinct(), slim), "near")
-        fresh = every_key(near)
-        more = fresh.join(bags.select("key"), "key", "left_anti").join(slim.select("key", "rep"), "key")
-        if not more.isEmpty():
-            bags = bags.unionAll(materialize(bags_of(docs, more), "bags"))
+    probes = list(zip((0, *CENTRAL), CENTRAL))
+    while (step := next_pairs(members, roots, size, held, probes[0] if probes else None)) is not None:
+        pairs, held = step
+        near = materialize(narrowed(pairs, slim), "near")
+        more = every_key(near).join(bags.select("key"), "key", "left_anti").join(slim.select("key", "rep"), "key")
+        bags = bags.unionAll(materialize(bags_of(docs, more), "bags"))
         found = materialize(linked(near, bags).where("link").select("a", "b"), "links")
         if not found.isEmpty():
             roots = joined(roots, found)
-        size *= GROWTH
+        size *= 1 if probes else GROWTH
+        probes = probes[1:]
     return named(marked, slim, roots)
 
 
@@ -340,7 +355,8 @@ def every_key(pairs: DataFrame) -> DataFrame:
 def with_distances(members: DataFrame, tested: DataFrame, sets: DataFrame) -> DataFrame:
     """Regions of three documents or more (smaller ones are done) with each member's size and distance to the pivot.
 
-    The distance is NULL where it was not worked out: it is greater than a link's then.
+    The distance lies from ``low`` to ``high``: both are it where it was worked out, else the signatures' differing
+    bits bound it from below, and it is greater than a link's.
     """
     busy = members.groupBy("pivot").count().where("count > 1").select("pivot")
     far = tested.select(
@@ -349,34 +365,63 @@ def with_distances(members: DataFrame, tested: DataFrame, sets: DataFrame) -> Da
     )
     own = busy.select("pivot", F.col("pivot").alias("key"), F.lit(0.0).alias("far"))
     every = members.join(busy, "pivot", "left_semi").join(far, ["pivot", "key"], "left").unionAll(own)
-    return every.join(sets.select("key", "n"), "key")
-
-
-def next_pairs(members: DataFrame, roots: DataFrame, sets: DataFrame, size: int, held: DataFrame | None) -> DataFrame | None:
-    """Pairs of each region's next ``size`` pivots with members in their window; None when no region has any left.
-
-    A region's next pivots are members outside its largest linked part that were no pivots of it yet. A pair whose
-    ends are linked already needs no comparison. A pivot without a member in its window comes with a NULL partner.
+    at = sets.select(F.col("key").alias("pivot"), F.col("n").alias("m"), F.col("coarse").alias("at"))
+    sized = every.join(sets.select("key", "n", "coarse"), "key").join(at, "pivot")
+    bits = differing(F.col("coarse"), F.col("at"))
+    # the difference holds as many shingles at least as bits differ, and as the sizes differ
+    apart = F.greatest(bits, F.abs(F.col("n") - F.col("m")))
+    least = 2 * apart / (F.col("n") + F.col("m") + apart)
+    low = F.coalesce("far", F.greatest(least, F.lit(1 - PERCENT / 100)))
+    return sized.select("pivot", "key", "n", low.alias("low"), F.coalesce("far", F.lit(1.0)).alias("high"))
+
+
+def next_pairs(
+    members: DataFrame, roots: DataFrame, size: int, held: DataFrame | None, ranks: tuple[int, int] | None
+) -> tuple[DataFrame, DataFrame | None] | None:
+    """Pairs (a, b) of each region's next ``size`` pivots with members in their window, and ``held`` with them added.
+
+    Regions whose pivots are linked have their next pivots in common, so that a group of near copies with several
+    first pivots is not gone through again for each. Next pivots are members outside the largest linked part that have
+    not been compared with all of their regions (``held``: first pivot and member). A pair whose ends are linked already needs no comparison. None when no pivot is left.
+
+    With ``ranks`` the pivots are members of the largest part instead, those of these ranks by how near they are to
+    the region's first pivots, and only members outside it are compared with them: near copies of one text mostly
+    link with the copies closest to it, which leaves few members for the pivots of the later rounds.
     """
-    known = members.join(roots, "key", "left").select("pivot", "key", "n", "far", F.coalesce("root", "key").alias("root"))
+    at = roots.select(F.col("key").alias("pivot"), F.col("root").alias("region"))
+    known = members.join(at, "pivot", "left").join(roots, "key", "left").select(
+        F.coalesce("region", "pivot").alias("region"), "pivot", "key", "n", "low", "high", F.coalesce("root", "key").alias("root")
+    )
     known = materialize(known, "known")
-    parts = known.groupBy("pivot", "root").count()
-    largest = parts.groupBy("pivot").agg(F.max_by("root", F.struct("count", "root")).alias("largest"), F.count("*").alias("parts"))
+    nearness = F.sum(0.3 - F.least("high", F.lit(0.5))).alias("nearness")
+    placed = known.groupBy("region", "key").agg(F.first("root").alias("root"), nearness)
+    parts = placed.groupBy("region", "root").count()
+    largest = parts.groupBy("region").agg(F.max_by("root", F.struct("count", "root")).alias("largest"), F.count("*").alias("parts"))
     open_ = largest.where("parts > 1").drop("parts")
-    rest = known.join(open_, "pivot").where("root != largest and key != pivot")
+    rest = known.join(open_, "region").where("root != largest and key != pivot")
     if held is not None:
-        rest = rest.join(held.select("pivot", F.col("a").alias("key")), ["pivot", "key"], "left_anti")
-    order = Window.partitionBy("pivot").orderBy("key")
-    chosen = rest.withColumn("k", F.row_number().over(order)).where(F.col("k") <= size)
-    chosen = materialize(chosen.select("pivot", F.col("key").alias("a"), F.col("n").alias("na"), F.col("far").alias("fa"), F.col("root").alias("ra")), "chosen")
-    if chosen.isEmpty():
+        rest = rest.join(held, ["pivot", "key"], "left_anti")
+    if ranks:
+        inner = placed.join(open_, "region").where("root = largest")
+        order = Window.partitionBy("region").orderBy(F.desc("nearness"), "key")
+        ranked = inner.withColumn("k", F.row_number().over(order)).where(F.col("k") <= ranks[1]).where(F.col("k") > ranks[0])
+    else:
+        order = Window.partitionBy("region").orderBy("key")
+        ranked = rest.select("region", "key").distinct().withColumn("k", F.row_number().over(order)).where(F.col("k") <= size)
+    chosen = materialize(ranked.select("region", "key"), "chosen")
+    if chosen.isEmpty() and not ranks:
         return None
     reach = 1 - PERCENT / 100 + 1e-9
-    others = known.where("key != pivot").select("pivot", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("far").alias("fb"), F.col("root").alias("rb"))
-    inside = F.coalesce(F.abs(F.col("fa") - F.col("fb")) <= reach, F.lit(True))
-    met = chosen.join(others, "pivot").where((F.col("ra") != F.col("rb")) & inside & sizes_fit(F.col("na"), F.col("nb"))).select("pivot", "a", "b")
-    alone = chosen.select("pivot", "a", F.lit(None).cast("long").alias("b"))
-    return materialize(met.unionAll(alone), "pairs")
+    columns = ("key", "n", "root", "low", "high")
+    one = known.join(chosen, ["region", "key"], "left_semi").select("pivot", *[F.col(c).alias(f"{c}_a") for c in columns])
+    two = known.select("pivot", *[F.col(c).alias(f"{c}_b") for c in columns])
+    window = (F.col("low_a") - F.col("high_b") <= reach) & (F.col("low_b") - F.col("high_a") <= reach)
+    met = one.join(two, "pivot").where((F.col("root_a") != F.col("root_b")) & window & sizes_fit(F.col("n_a"), F.col("n_b")))
+    pairs = met.select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b")).distinct()
+    if ranks:
+        return materialize(pairs, "pairs"), held
+    now = known.join(chosen, ["region", "key"], "left_semi").select("pivot", "key").distinct()
+    return materialize(pairs, "pairs"), materialize(now if held is None else held.unionAll(now), "held")
 
 
 def named(marked: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
