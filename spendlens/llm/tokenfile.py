@@ -16,7 +16,11 @@ from spendlens.session import materialize, scratch_path
 from .batches import arrow_map, slices, texts_of
 
 #: White-space-separated chunks whose ids a Python worker remembers; beyond that it starts anew.
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 600_000
+#: Marks that never join with a letter or digit before them.
+MARKS = b".,;:!?*#$%&|"
+#: Chunks that the tokenizer gets in one call.
+CALL_CHUNKS = 10_000
 #: Ids of one block of a file.
 BLOCK_IDS = 1 << 20
 
@@ -46,7 +50,7 @@ def unpack_ids(control: bytes, data: bytes, count: int) -> np.ndarray:
 class Memo(dict):
     """Ids of white-space-separated chunks as little-endian 32-bit integers, worked out when first asked for.
 
-    For tokenizers that drop white space and treat what stands between by itself.
+    For tokenizers that drop white space, treat what stands between by itself and put all into lower case.
     """
 
     def __init__(self, text: str):
@@ -57,11 +61,32 @@ class Memo(dict):
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
     def learn(self, chunks: set[bytes]) -> None:
+        """Encode unknown chunks, many in one call: a token belongs to the chunk that its first character is in."""
         if len(self) + len(chunks) > MEMO_ENTRIES:
             self.clear()
-        new = [c for c in chunks if c not in self]
-        for chunk, got in zip(new, self.tokenizer.encode_batch([c.decode() for c in new], add_special_tokens=False)):
-            self[chunk] = np.array(got.ids, "<u4").tobytes()
+        parts, new = {}, set()
+        for chunk in chunks:
+            if chunk not in self:
+                core = chunk.rstrip(MARKS)
+                if len(core) < len(chunk) and core[-1:].isalnum():  # marks after a letter or digit stand by themselves
+                    parts[chunk] = core, chunk[len(core) :]
+                    new.update(parts[chunk])
+                else:
+                    new.add(chunk)
+        self._encode([c.decode() for c in new if c not in self])
+        for chunk, (core, marks) in parts.items():
+            self[chunk] = self[core] + self[marks]
+
+    def _encode(self, new: list[str]) -> None:
+        for k in range(0, len(new), CALL_CHUNKS):
+            block = new[k : k + CALL_CHUNKS]
+            starts = np.cumsum([0, *[len(c) + 1 for c in block]])
+            got = self.tokenizer.encode(" ".join(block), add_special_tokens=False)
+            at = np.fromiter((a for a, _ in got.offsets), np.int64, len(got.ids))
+            cuts = np.searchsorted(at, starts).tolist()
+            raw = np.array(got.ids, "<u4").tobytes()
+            for chunk, a, b in zip(block, cuts, cuts[1:]):
+                self[chunk.encode()] = raw[4 * a : 4 * b]
 
 
 @lru_cache(maxsize=2)
@@ -88,8 +113,8 @@ def encode(docs: DataFrame, tokenizer_path: str, end_id: int, doc_id: str = "doc
 
     def step(batches):
         memo = _memo(held)
-        for batch in slices(batches, "text"):
-            chunks = [value.encode().split() for value in texts_of(batch, "text")]
+        for batch in slices(batches, "text", 3 << 20):
+            chunks = [value.encode().lower().split() for value in texts_of(batch, "text")]  # A-Z: the tokenizer does too
             memo.learn(set().union(*chunks))
             ids = [b"".join([*map(memo.__getitem__, words), last]) for words in chunks]
             counts = pa.array([len(x) // 4 for x in ids], pa.int64())
