@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spendlens.session import materialize
+
 from .batches import add_columns, arrow_map, fresh, slices, texts_of, with_arrays
 
 #: Labelled documents that lexicons and scorers are fitted on: those with the smallest hash of their id.
@@ -99,25 +101,22 @@ def votes_of(text: str, gold: tuple[int, int] | None, lexicons: tuple[frozenset[
     return [*poor, given[0]], [*toxic, given[1]]
 
 
-def telling(rows: list[np.ndarray], target: np.ndarray) -> np.ndarray:
-    """Places that hold enough documents and whose documents' mean target is far from the mean of all."""
-    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    pairs = np.unique(np.concatenate([*rows, np.zeros(0, int)]).astype(np.int64) * (len(rows) + 1) + owner)
-    at, owner = pairs // (len(rows) + 1), pairs % (len(rows) + 1)
-    n = np.bincount(at, minlength=1 << BITS)
-    sums = np.bincount(at, weights=target[owner], minlength=1 << BITS)
-    mean = target.mean() if len(target) else 0.0
-    spread = np.sqrt(np.maximum(n * mean * (1 - mean), 1e-9))
-    return np.flatnonzero((n >= SUPPORT) & (np.abs(sums - n * mean) >= DEVIATION * spread))
+def telling(made: DataFrame, name: str) -> np.ndarray:
+    """Places held by enough documents of the sample whose mean ``name`` is far from the mean of all."""
+    mean = made.agg(F.avg(name)).first()[0] or 0.0
+    held = made.select(F.explode(F.array_distinct("places")).alias("place"), F.col(name).alias("target"))
+    stats = held.groupBy("place").agg(F.count("*").alias("n"), F.sum("target").alias("sum"))
+    off = F.abs(F.col("sum") - F.col("n") * mean) >= DEVIATION * F.sqrt(F.col("n") * max(mean * (1 - mean), 1e-9))
+    rows = stats.where((F.col("n") >= SUPPORT) & off).select("place").toArrow()  # at most 2 ** BITS
+    return np.sort(rows.column("place").to_numpy())
 
 
-def fit_linear(rows: list[np.ndarray], dense: np.ndarray, target: np.ndarray, epochs: int = 30) -> np.ndarray:
+def fit_linear(rows: list[np.ndarray], dense: np.ndarray, target: np.ndarray, use: np.ndarray, epochs: int = 30) -> np.ndarray:
     """Logistic regression on hashed counts and dense shares by AdaGrad in fixed batches; weights [places + shares + 1].
 
-    Only telling places get a weight: many words that tell nothing would add up in a long text.
+    Only the places ``use`` get a weight: many words that tell nothing would add up in a long text.
     """
     dims, extra = 1 << BITS, dense.shape[1]
-    use = telling(rows, target)
     number = np.full(dims, -1)
     number[use] = np.arange(len(use))
     kept = [number[r][number[r] >= 0] for r in rows]
@@ -222,12 +221,23 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     made = arrow_map(rows, describe, f"doc_id {kind}, poor double, toxic double, places array<int>, shape array<double>")
-    table = made.toArrow().sort_by("doc_id")  # at most ``sample`` rows; sorted, so that the fit can be repeated
-    places = [np.asarray(p.values) for p in table.column("places")]
+    made = materialize(made, "sample")
+    use = {name: telling(made, name) for name in ("poor", "toxic")}
+    any_use = spark.sparkContext.broadcast(np.isin(np.arange(1 << BITS), np.concatenate([*use.values()])))
+
+    def slim(batches):
+        for batch in batches:
+            kept = [[x for x in p if any_use.value[x]] for p in batch.column("places").to_pylist()]
+            at = batch.schema.get_field_index("places")
+            yield batch.set_column(at, "places", pa.array(kept, pa.list_(pa.int32())))
+
+    table = arrow_map(made, slim, made.schema).toArrow()  # at most ``sample`` rows
+    table = table.sort_by("doc_id")  # so that the fit can be repeated
+    places = [np.asarray(p.values, np.int64) for p in table.column("places")]
     dense = np.array(table.column("shape").to_pylist(), float).reshape(-1, len(SHAPE))
     for name in ("poor", "toxic"):
         side = dense if name == "poor" else np.zeros_like(dense)  # shape tells nothing of toxicity
-        model["weights"][name] = fit_linear(places, side, table.column(name).to_numpy()).astype(np.float32)
+        model["weights"][name] = fit_linear(places, side, table.column(name).to_numpy(), use[name]).astype(np.float32)
     return model
 
 
