@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from spendlens.session import ship_package
 
 #: Bytes of text that a step holds at once. A longer document makes a slice of its own.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 3 << 20
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -28,7 +28,7 @@ LEXICON = 5_000
 DEVIATION = 5
 BITS = 18
 #: Words whose weights a Python worker remembers; beyond that it starts anew.
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 300_000
 ABSTAIN = 2
 
 #: Everything in ASCII but letters and digits parts words.
@@ -205,7 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
     after = spark.sparkContext.broadcast(posts)
 
     def describe(batches):
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 1 << 20):
             out: list[list] = [[], [], [], []]
             for text, poor, toxic in zip(texts_of(batch, "text"), *(batch.column(n).to_pylist() for n in ("poor", "toxic"))):
                 votes = votes_of(text, (poor, toxic), lists.value)
@@ -227,9 +227,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
 
     def slim(batches):
         for batch in batches:
-            kept = [[x for x in p if any_use.value[x]] for p in batch.column("places").to_pylist()]
+            column = batch.column("places")
+            values = column.flatten().to_numpy()
+            fit = any_use.value[values]
+            ends = np.cumsum([0, *column.value_lengths().to_pylist()])
+            offsets = np.concatenate([[0], np.cumsum(fit)])[ends].astype(np.int32)
+            kept = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values[fit], pa.int32()))
             at = batch.schema.get_field_index("places")
-            yield batch.set_column(at, "places", pa.array(kept, pa.list_(pa.int32())))
+            yield batch.set_column(at, "places", kept)
 
     table = arrow_map(made, slim, made.schema).toArrow()  # at most ``sample`` rows
     table = table.sort_by("doc_id")  # so that the fit can be repeated
