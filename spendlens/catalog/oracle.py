@@ -133,7 +133,8 @@ labelled as (
   from expense x left join (select * from entity where region <> 'NATION_3') e using (entity_id))"""
 
 PAGES = """pages_ as (
-  select o_custkey as request_entity, cast(year(o_orderdate) as integer) as request_year, o_orderkey as page,
+  select o_custkey as request_entity, cast(year(o_orderdate) as integer) as request_year,
+    row_number() over (partition by o_custkey, year(o_orderdate) order by o_orderkey) as page,
     o_orderkey as id, o_totalprice as total, o_orderstatus as status,
     o_orderpriority = '1-URGENT' as is_empty, o_orderstatus <> 'F' as has_next
   from orders)"""
@@ -218,7 +219,7 @@ ORACLE: dict[str, str] = {
     "read_preferred": "select o_orderkey, o_custkey, o_orderstatus from orders",
     "read_csv": "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from orders",
     "read_optional": "select doc_id, md5(text) as text_md5, lang, true as absent_is_none from documents",
-    "write_table": f"with {EXPENSE} select l_orderkey, l_linenumber, l_suppkey, yr, amount from expense where {YEAR_TEST}",
+    "write_table": f"with {EXPENSE} select l_orderkey, l_linenumber, l_suppkey, yr, amount from expense",
     "write_report": f"""with {MASTER} select count(*) as entities, round(avg(spend_total), 6) as spend_mean,
         round(max(activity), 6) as activity_max from master""",
     "flatten_pages": f"""with {PAGES} select request_entity, request_year, page, cast(0 as integer) as pos, id, total, status
@@ -269,7 +270,8 @@ ORACLE: dict[str, str] = {
     "activity_score": f"with {MODEL} select entity_id, round(activity, 6) as activity from model",
     "cost_per_activity": f"with {MASTER} select entity_id, round(cost_per_activity, 6) as cost_per_activity from master",
     "flag_no_expense": f"""with {ENTITY}, {EXPENSE} select entity_id,
-        entity_id not in (select entity_id from expense where yr < 1996) as no_expense from entity""",
+        entity_id not in (select entity_id from expense) as no_expense
+        from (select entity_id from entity union all select -entity_id - 1 from entity)""",
     "spend_per_distance": f"with {MODEL} select entity_id, round(spend_per_km, 6) as spend_per_km from model",
     "distance_km": f"""with place as (select c_custkey, cast(-30 as double) + c_nationkey * cast(1.3 as double)
         + c_acctbal / cast(10000 as double) as lat, cast(-70 as double) + c_nationkey * cast(1.2 as double) as lon from customer),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.text import Rules
 from ..operators.clean import categorise_expenses
@@ -120,7 +120,9 @@ class Tables:
         link = lambda rel: F.struct(F.lit(rel).alias("rel"), F.lit("/page").alias("href"))
         return self.raw("orders").select(
             F.col("o_custkey").alias("request_entity"), F.year("o_orderdate").alias("request_year"),
-            F.col("o_orderkey").alias("page"),
+            F.row_number().over(
+                Window.partitionBy("o_custkey", F.year("o_orderdate")).orderBy("o_orderkey")
+            ).cast("long").alias("page"),
             F.filter(F.array(record), lambda _: ~empty).alias("dados"),
             F.when(F.col("o_orderstatus") == "F", F.array(link("self")))
             .otherwise(F.array(link("self"), link("next"))).alias("links"),

@@ -43,7 +43,8 @@ def polygon_centroid(parts: Column) -> Column:
     away, whatever their winding. Coordinates are shifted to the first vertex before summing.
     All work stays inside the row; there is no explode and no shuffle.
     """
-    x0, y0 = parts[0][0][0][0], parts[0][0][0][1]
+    first = F.get(F.get(F.get(parts, 0), 0), 0)  # an empty geometry has none: NULL
+    x0, y0 = F.get(first, 0), F.get(first, 1)
     zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
 
     def edge(v: Column, w: Column) -> Column:

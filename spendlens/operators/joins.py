@@ -9,18 +9,17 @@ from pyspark.sql import DataFrame, Row, functions as F, types as T
 
 from ..functions.text import fill_unknown
 
-# A key is hot above this share of the rows, so there are at most 1 / HOT_SHARE hot keys.
-HOT_SHARE = 0.002
 BROADCAST_ROWS = 10_000
 
 
 def hot_keys(counts: DataFrame, keys: list[str], rows: str) -> list[Row]:
-    """Keys holding more than ``HOT_SHARE`` of all rows, from row counts per key.
+    """Keys holding more rows than a shuffle partition does on average, from row counts per key.
 
-    There are at most 1 / HOT_SHARE = 500 of them, whatever the data, so they may come to the driver.
+    There are fewer of them than shuffle partitions, whatever the data, so they may come to the driver.
     """
+    partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total = counts.agg(F.sum(rows)).scalar()
-    return counts.where(F.col(rows) > total * F.lit(HOT_SHARE)).select(*keys).collect()
+    return counts.where(F.col(rows) * partitions > total).select(*keys).collect()
 
 
 def key_counts(facts: DataFrame, keys: list[str]) -> DataFrame:

@@ -48,9 +48,15 @@ def page_stop(pages: DataFrame, rule: str = "empty", keys=REQUEST, stops: DataFr
 
 
 def complete_requests(pages: DataFrame, rule: str = "empty", keys=REQUEST, stops: DataFrame | None = None) -> DataFrame:
-    """Requests whose last page was seen; only these may be marked done."""
+    """Requests whose pages 1 to the stop page were all seen; only these may be marked done.
+
+    A page that comes late leaves a gap until it is there, and its request stays pending.
+    """
     stops = first_stops(pages, rule, keys) if stops is None else stops
-    return stops.where(F.col("stop_page").isNotNull()).select(
+    ended = stops.where(F.col("stop_page").isNotNull()).select(*keys, "stop_page")
+    seen = pages.select(*keys, "page").join(ended, list(keys)).where(F.col("page").between(1, F.col("stop_page")))
+    counted = seen.groupBy(*keys, "stop_page").agg(F.countDistinct("page").alias("seen"))
+    return counted.where(F.col("seen") == F.col("stop_page")).select(
         F.col(keys[0]).alias("entity_id"), F.col(keys[1]).alias("yr")
     )
 
@@ -64,8 +70,11 @@ def flatten_pages(pages: DataFrame, data: str = "dados", keys=REQUEST) -> DataFr
 
 
 def tag_rows(rows: DataFrame, keys=REQUEST) -> DataFrame:
-    """Stamp entity id and query year of the request on every row (replacing the row's own)."""
-    return rows.withColumns({"entity_id": F.col(keys[0]), "yr": F.col(keys[1])}).drop(*keys)
+    """Stamp entity id and query year of the request on every row (replacing the row's own).
+
+    Where a record stood is dropped, so that one delivered on two pages is the same row twice.
+    """
+    return rows.withColumns({"entity_id": F.col(keys[0]), "yr": F.col(keys[1])}).drop(*keys, "page", "pos")
 
 
 def cap_rows(rows: DataFrame, n: int, keys=REQUEST, order=("page", "pos")) -> DataFrame:

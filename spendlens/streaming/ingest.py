@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from ..session import materialize
-from ..sources.pages import complete_requests, first_stops, flatten_pages, page_stop, tag_rows
+from ..sources.pages import REQUEST, complete_requests, first_stops, flatten_pages, page_stop, tag_rows
 from ..sources.schemas import page_schema
 
 
@@ -32,7 +32,8 @@ def ingest_pages(spark: SparkSession, landing: str, out: str, checkpoint: str, r
 
 def settle_pages(pages: DataFrame, rule: str = "empty") -> tuple[DataFrame, DataFrame]:
     """``(rows, done)`` of ingested pages: tagged records up to each request's stop page, and the
-    (entity, year) pairs whose last page has arrived."""
+    (entity, year) pairs whose pages have all arrived. A page that landed twice counts once."""
+    pages = pages.dropDuplicates([*REQUEST, "page"])
     stops = materialize(first_stops(pages, rule), "stops")
     rows = tag_rows(flatten_pages(page_stop(pages, rule, stops=stops)))
     return rows, complete_requests(pages, rule, stops=stops)

@@ -38,6 +38,15 @@ def test_stop_rules(spark):
         pages.page_stop(df, "other")
 
 
+def test_a_gap_keeps_a_request_pending(spark):
+    df = frame(spark, page(1, 2023, 1, [1], NEXT), page(1, 2023, 3, []))
+    assert rows(pages.complete_requests(df)) == []
+    late = df.unionAll(frame(spark, page(1, 2023, 2, [2], NEXT)))
+    assert rows(pages.complete_requests(late)) == [(1, 2023)]
+    kept, done = settle_pages(late.unionAll(late))
+    assert rows(kept.select("entity_id", "id"), "id") == [(1, 1), (1, 2)] and rows(done) == [(1, 2023)]
+
+
 def test_pages_stay_in_place_or_are_salted(spark, monkeypatch):
     df = spark.range(900).select(
         F.when(F.col("id") < 300, 0).otherwise(F.col("id") % 40).cast("long").alias("request_entity"), F.lit(2023).alias("request_year"),
@@ -66,7 +75,7 @@ def test_flatten_tag_and_cap(spark):
     df = pages.flatten_pages(frame(spark, page(1, 2023, 2, [3, 4]), page(1, 2023, 1, [9, 8]), page(2, 2023, 1, [5])))
     assert rows(pages.cap_rows(df, 3).select("request_entity", "id"), "request_entity", "id") == [(1, 3), (1, 8), (1, 9), (2, 5)]
     assert pages.cap_rows(df, 0).count() == 5
-    assert set(pages.tag_rows(df).columns) == {"entity_id", "yr", "page", "pos", "id", "valorLiquido"}
+    assert set(pages.tag_rows(df).columns) == {"entity_id", "yr", "id", "valorLiquido"}
 
 
 def test_cap_beyond_the_group_limit(spark):
