@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from .batches import add_columns, fresh, slices, texts_of, with_arrays
 
 #: Pre-tokens whose ids a Python worker remembers; beyond that it starts anew.
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 250_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -128,7 +128,7 @@ class Memo(dict):
         return out
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _memo(held) -> Memo:
     return Memo(held.value)
 

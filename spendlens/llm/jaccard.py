@@ -44,7 +44,7 @@ PARITY = 16
 CENTRAL = (8, 32)
 #: Pivots of a region in the first recursive round, and their growth with each round.
 PIVOTS, GROWTH = 4, 8
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 200_000
 
 FACTORS = np.array([xxhash.xxh3_64_intdigest(bytes([k]), 11) | 1 for k in range(WORDS)], np.uint64)
 

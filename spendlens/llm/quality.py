@@ -28,7 +28,7 @@ LEXICON = 5_000
 DEVIATION = 5
 BITS = 18
 #: Words whose weights a Python worker remembers; beyond that it starts anew.
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 150_000
 ABSTAIN = 2
 
 #: Everything in ASCII but letters and digits parts words.
@@ -268,7 +268,7 @@ class Scorer(dict):
         return tuple(1 / (1 + np.exp(-logits)))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _scorer(held) -> Scorer:
     return Scorer(held.value)
 
