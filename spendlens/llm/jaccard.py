@@ -18,7 +18,8 @@ Nothing caps a region: later pivots grow in number by a factor each round, until
 from __future__ import annotations
 
 import math
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -207,18 +208,20 @@ def sizes_fit(n: Column, m: Column) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT
 
 
-def differing(a: Column, b: Column) -> Column:
-    """How many bits of two signatures of equal length differ."""
+def differing(a: Column, b: Column, parts: int | None = None) -> Column:
+    """How many bits of two signatures of equal length differ; with a known number of ``parts`` in generated code."""
+    if parts:
+        return reduce(add, [F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(parts)])
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, v: t + v)
 
 
-def difference_fits(n: Column, m: Column, a: Column, b: Column) -> Column:
+def difference_fits(n: Column, m: Column, a: Column, b: Column, parts: int | None = None) -> Column:
     """Whether few enough bits of two signatures of equal length differ.
 
     A link leaves at most (100 - P) / (100 + P) of both sizes outside the intersection, and each shingle outside it
     flips one bit.
     """
-    return differing(a, b) * (100 + PERCENT) <= (n + m) * (100 - PERCENT)
+    return differing(a, b, parts) * (100 + PERCENT) <= (n + m) * (100 - PERCENT)
 
 
 def folded(signature: Column, parts: Column) -> Column:
@@ -228,19 +231,28 @@ def folded(signature: Column, parts: Column) -> Column:
 
 
 def narrowed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of pairs (a, b), those whose sizes and signatures allow a link: a, b, na, nb. Rules out no link."""
+    """Of pairs (a, b), those whose sizes and signatures allow a link: a, b, na, nb; stored. Rules out no link."""
     left = sets.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("coarse").alias("ca"))
     right = sets.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("coarse").alias("cb"))
     n, m = F.col("na"), F.col("nb")
     sized = pairs.join(left, "a").join(right, "b").where(sizes_fit(n, m))
-    near = materialize(sized.where(difference_fits(n, m, F.col("ca"), F.col("cb"))).select("a", "b", "na", "nb"), "coarse")
+    near = sized.where(difference_fits(n, m, F.col("ca"), F.col("cb"), PARITY)).select("a", "b", "na", "nb")
+    return refined(materialize(near, "coarse"), sets)
+
+
+def refined(near: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of stored pairs whose coarse signatures allow a link, those whose fine ones do too; stored."""
+    n, m = F.col("na"), F.col("nb")
+    large = (n > 16 * PARITY) & (m > 16 * PARITY)
+    if near.where(large).isEmpty():
+        return near
     fine = only(sets.select("key", "fine").where("fine is not null"), near)
     left = fine.select(F.col("key").alias("a"), F.col("fine").alias("fa"))
     right = fine.select(F.col("key").alias("b"), F.col("fine").alias("fb"))
-    both = near.where((n > 16 * PARITY) & (m > 16 * PARITY)).join(left, "a").join(right, "b")
+    both = near.where(large).join(left, "a").join(right, "b")
     parts = F.least(F.size("fa"), F.size("fb"))
     sure = both.where(difference_fits(n, m, folded(F.col("fa"), parts), folded(F.col("fb"), parts))).select(*near.columns)
-    return near.where((n <= 16 * PARITY) | (m <= 16 * PARITY)).unionAll(sure)
+    return materialize(near.where(~large).unionAll(sure), "near")
 
 
 def only(table: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -316,24 +328,30 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     sets = materialize(prefixes(docs, frequent), "prefixes")
     members = materialize(regions(sets), "regions")
     slim = sets.drop("light", "heavy")
-    near = materialize(narrowed(members.select(F.col("pivot").alias("a"), F.col("key").alias("b")), slim), "near")
+    near = narrowed(members.select(F.col("pivot").alias("a"), F.col("key").alias("b")), slim)
     # distance to the pivot of a region; without a figure it is more than any link's
     bags = materialize(bags_of(docs, every_key(near).join(slim.select("key", "rep"), "key")), "bags")
     tested = materialize(linked(near, bags), "tested")
     roots = components(tested.where("link").select("a", "b"))
     members = materialize(with_distances(members, tested, slim), "members")
+    known = placed(members, roots)
     size, held = PIVOTS, None
     probes = list(zip((0, *CENTRAL), CENTRAL))
-    while (step := next_pairs(members, roots, size, held, probes[0] if probes else None)) is not None:
+    while (step := next_pairs(known, size, held, probes[0] if probes else None)) is not None:
         pairs, held = step
-        near = materialize(narrowed(pairs, slim), "near")
+        size *= 1 if probes else GROWTH
+        probes = probes[1:]
+        if pairs.isEmpty():
+            continue
+        near = refined(pairs, slim)
         more = every_key(near).join(bags.select("key"), "key", "left_anti").join(slim.select("key", "rep"), "key")
-        bags = bags.unionAll(materialize(bags_of(docs, more), "bags"))
+        more = materialize(more, "more")
+        if not more.isEmpty():
+            bags = bags.unionAll(materialize(bags_of(docs, more), "bags"))
         found = materialize(linked(near, bags).where("link").select("a", "b"), "links")
         if not found.isEmpty():
             roots = joined(roots, found)
-        size *= 1 if probes else GROWTH
-        probes = probes[1:]
+            known = placed(members, roots)
     return named(marked, slim, roots)
 
 
@@ -367,18 +385,29 @@ def with_distances(members: DataFrame, tested: DataFrame, sets: DataFrame) -> Da
     every = members.join(busy, "pivot", "left_semi").join(far, ["pivot", "key"], "left").unionAll(own)
     at = sets.select(F.col("key").alias("pivot"), F.col("n").alias("m"), F.col("coarse").alias("at"))
     sized = every.join(sets.select("key", "n", "coarse"), "key").join(at, "pivot")
-    bits = differing(F.col("coarse"), F.col("at"))
+    bits = differing(F.col("coarse"), F.col("at"), PARITY)
     # the difference holds as many shingles at least as bits differ, and as the sizes differ
     apart = F.greatest(bits, F.abs(F.col("n") - F.col("m")))
     least = 2 * apart / (F.col("n") + F.col("m") + apart)
     low = F.coalesce("far", F.greatest(least, F.lit(1 - PERCENT / 100)))
-    return sized.select("pivot", "key", "n", low.alias("low"), F.coalesce("far", F.lit(1.0)).alias("high"))
+    return sized.select("pivot", "key", "n", "coarse", low.alias("low"), F.coalesce("far", F.lit(1.0)).alias("high"))
+
+
+def placed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``members`` with their roots and regions (root of the pivot); stored."""
+    at = roots.select(F.col("key").alias("pivot"), F.col("root").alias("region"))
+    return materialize(members.join(at, "pivot", "left").join(roots, "key", "left").select(
+        F.coalesce("region", "pivot").alias("region"), "pivot", "key", "n", "coarse", "low", "high",
+        F.coalesce("root", "key").alias("root"),
+    ), "known")
 
 
 def next_pairs(
-    members: DataFrame, roots: DataFrame, size: int, held: DataFrame | None, ranks: tuple[int, int] | None
+    known: DataFrame, size: int, held: DataFrame | None, ranks: tuple[int, int] | None
 ) -> tuple[DataFrame, DataFrame | None] | None:
-    """Pairs (a, b) of each region's next ``size`` pivots with members in their window, and ``held`` with them added.
+    """Pairs (a, b, na, nb) of each region's next ``size`` pivots with members in their window, and ``held`` with them
+    added. Sizes and coarse signatures, which members carry, are tested in the same join, so that no pair comes out of
+    it that they rule out.
 
     Regions whose pivots are linked have their next pivots in common, so that a group of near copies with several
     first pivots is not gone through again for each. Next pivots are members outside the largest linked part that have
@@ -388,21 +417,16 @@ def next_pairs(
     the region's first pivots, and only members outside it are compared with them: near copies of one text mostly
     link with the copies closest to it, which leaves few members for the pivots of the later rounds.
     """
-    at = roots.select(F.col("key").alias("pivot"), F.col("root").alias("region"))
-    known = members.join(at, "pivot", "left").join(roots, "key", "left").select(
-        F.coalesce("region", "pivot").alias("region"), "pivot", "key", "n", "low", "high", F.coalesce("root", "key").alias("root")
-    )
-    known = materialize(known, "known")
     nearness = F.sum(0.3 - F.least("high", F.lit(0.5))).alias("nearness")
-    placed = known.groupBy("region", "key").agg(F.first("root").alias("root"), nearness)
-    parts = placed.groupBy("region", "root").count()
+    inside = known.groupBy("region", "key").agg(F.first("root").alias("root"), nearness)
+    parts = inside.groupBy("region", "root").count()
     largest = parts.groupBy("region").agg(F.max_by("root", F.struct("count", "root")).alias("largest"), F.count("*").alias("parts"))
     open_ = largest.where("parts > 1").drop("parts")
     rest = known.join(open_, "region").where("root != largest and key != pivot")
     if held is not None:
         rest = rest.join(held, ["pivot", "key"], "left_anti")
     if ranks:
-        inner = placed.join(open_, "region").where("root = largest")
+        inner = inside.join(open_, "region").where("root = largest")
         order = Window.partitionBy("region").orderBy(F.desc("nearness"), "key")
         ranked = inner.withColumn("k", F.row_number().over(order)).where(F.col("k") <= ranks[1]).where(F.col("k") > ranks[0])
     else:
@@ -412,12 +436,18 @@ def next_pairs(
     if chosen.isEmpty() and not ranks:
         return None
     reach = 1 - PERCENT / 100 + 1e-9
-    columns = ("key", "n", "root", "low", "high")
+    columns = ("key", "n", "root", "low", "high", "coarse")
     one = known.join(chosen, ["region", "key"], "left_semi").select("pivot", *[F.col(c).alias(f"{c}_a") for c in columns])
     two = known.select("pivot", *[F.col(c).alias(f"{c}_b") for c in columns])
     window = (F.col("low_a") - F.col("high_b") <= reach) & (F.col("low_b") - F.col("high_a") <= reach)
-    met = one.join(two, "pivot").where((F.col("root_a") != F.col("root_b")) & window & sizes_fit(F.col("n_a"), F.col("n_b")))
-    pairs = met.select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b")).distinct()
+    n, m = F.col("n_a"), F.col("n_b")
+    close = sizes_fit(n, m) & difference_fits(n, m, F.col("coarse_a"), F.col("coarse_b"), PARITY)
+    met = one.join(two, "pivot").where((F.col("root_a") != F.col("root_b")) & window & close)
+    ordered = F.col("key_a") < F.col("key_b")
+    pairs = met.select(
+        F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b"),
+        F.when(ordered, n).otherwise(m).alias("na"), F.when(ordered, m).otherwise(n).alias("nb"),
+    ).distinct()
     if ranks:
         return materialize(pairs, "pairs"), held
     now = known.join(chosen, ["region", "key"], "left_semi").select("pivot", "key").distinct()
