@@ -79,3 +79,12 @@ def key_filter(keys: DataFrame, key: str, places: int = FILTER_PLACES) -> DataFr
 def join_filter(df: DataFrame, value: Column, places: DataFrame, how: str = "left_semi") -> DataFrame:
     """Rows whose ``value`` may be (``left_semi``) or cannot be (``left_anti``) among the keys."""
     return df.join(F.broadcast(places), key_place(value) == places["_place"], how)
+
+
+def release(df: DataFrame) -> None:
+    """Let Spark drop the broadcasts and shuffle files of plans that are done with.
+
+    Its cleaner waits for the driver's garbage collection, which comes late when many small rounds leave little garbage
+    each; until then they fill the driver's heap and the executors' disks.
+    """
+    df.sparkSession.sparkContext._jvm.System.gc()

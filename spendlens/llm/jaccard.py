@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from spendlens.session import materialize
 
-from .batches import arrow_map, join_filter, key_filter, slices, texts_of
+from .batches import arrow_map, join_filter, key_filter, release, slices, texts_of
 
 WORDS = 5
 #: Links have 100 * intersection >= PERCENT * union.
@@ -335,9 +335,11 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     roots = components(tested.where("link").select("a", "b"))
     members = materialize(with_distances(members, tested, slim), "members")
     known = placed(members, roots)
+    release(docs)
     size, held = PIVOTS, None
     probes = list(zip((0, *CENTRAL), CENTRAL))
     while (step := next_pairs(known, size, held, probes[0] if probes else None)) is not None:
+        release(docs)
         pairs, held = step
         size *= 1 if probes else GROWTH
         probes = probes[1:]

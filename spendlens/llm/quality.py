@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from spendlens.session import materialize
 
-from .batches import add_columns, arrow_map, fresh, slices, texts_of, with_arrays
+from .batches import add_columns, arrow_map, fresh, release, slices, texts_of, with_arrays
 
 #: Labelled documents that lexicons and scorers are fitted on: those with the smallest hash of their id.
 SAMPLE = 12_000
@@ -243,6 +243,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
     for name in ("poor", "toxic"):
         side = dense if name == "poor" else np.zeros_like(dense)  # shape tells nothing of toxicity
         model["weights"][name] = fit_linear(places, side, table.column(name).to_numpy(), use[name]).astype(np.float32)
+    for held_there in (gold, lists, after, any_use):
+        held_there.unpersist()
+    release(docs)
     return model
 
 
