@@ -36,6 +36,22 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     return pc.fill_null(batch.column(column), "").to_pylist()
 
 
+_kept: dict = {}
+
+
+def keep(make: Callable, *args):
+    """``make(*args)``, remembered until something else is asked for, which frees it first.
+
+    Spark reuses a Python worker for later stages; this way it holds the tables of one operator at a time.
+    """
+    key = (make, *args)
+    if key not in _kept:
+        _kept.clear()
+        pa.default_memory_pool().release_unused()
+        _kept[key] = make(*args)
+    return _kept[key]
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it (names differ by more than case)."""
     taken = {c.lower() for c in df.columns}

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterable
-from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -15,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .batches import add_columns, fresh, slices, texts_of, with_arrays
+from .batches import add_columns, fresh, keep, slices, texts_of, with_arrays
 
 #: Pre-tokens whose ids a Python worker remembers; beyond that it starts anew.
 MEMO_ENTRIES = 250_000
@@ -128,7 +127,6 @@ class Memo(dict):
         return out
 
 
-@lru_cache(maxsize=1)
 def _memo(held) -> Memo:
     return Memo(held.value)
 
@@ -143,7 +141,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -
     held = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
     def step(batches):
-        find, memo = regex.compile(pattern).findall, _memo(held)
+        find, memo = regex.compile(pattern).findall, keep(_memo, held)
         for batch in slices(batches, text):
             ids = [b"".join(map(memo.__getitem__, find(value))) for value in texts_of(batch, text)]
             yield with_arrays(batch, {out: pa.array(ids, pa.binary())})

@@ -18,7 +18,7 @@ Nothing caps a region: later pivots grow in number by a factor each round, until
 from __future__ import annotations
 
 import math
-from functools import lru_cache, reduce
+from functools import reduce
 from operator import add
 
 import numpy as np
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from spendlens.session import materialize
 
-from .batches import arrow_map, join_filter, key_filter, release, slices, texts_of
+from .batches import arrow_map, join_filter, keep, key_filter, release, slices, texts_of
 
 WORDS = 5
 #: Links have 100 * intersection >= PERCENT * union.
@@ -60,11 +60,6 @@ class Memo(dict):
         return out
 
 
-@lru_cache(maxsize=1)
-def _memo() -> Memo:
-    return Memo()
-
-
 def mix(value: np.ndarray) -> np.ndarray:
     value = (value ^ (value >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     value = (value ^ (value >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -78,7 +73,7 @@ def shingles(text: str) -> np.ndarray:
         return np.zeros(0, np.uint64)
     if len(words) < WORDS:
         return np.array([xxhash.xxh3_64_intdigest(b"\0" + b" ".join(words))], np.uint64)
-    hashes = np.fromiter(map(_memo().__getitem__, words), np.uint64, len(words))
+    hashes = np.fromiter(map(keep(Memo).__getitem__, words), np.uint64, len(words))
     count = len(words) - WORDS + 1
     total = np.zeros(count, np.uint64)
     for k in range(WORDS):

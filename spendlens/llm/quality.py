@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
 from operator import eq
 
 import numpy as np
@@ -14,7 +13,7 @@ from pyspark.sql import types as T
 
 from spendlens.session import materialize
 
-from .batches import add_columns, arrow_map, fresh, release, slices, texts_of, with_arrays
+from .batches import add_columns, arrow_map, fresh, keep, release, slices, texts_of, with_arrays
 
 #: Labelled documents that lexicons and scorers are fitted on: those with the smallest hash of their id.
 SAMPLE = 12_000
@@ -271,7 +270,6 @@ class Scorer(dict):
         return tuple(1 / (1 + np.exp(-logits)))
 
 
-@lru_cache(maxsize=1)
 def _scorer(held) -> Scorer:
     return Scorer(held.value)
 
@@ -285,7 +283,7 @@ def score(docs: DataFrame, model: dict, text: str = "text") -> tuple[DataFrame,
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def step(batches):
-        scorer = _scorer(held)
+        scorer = keep(_scorer, held)
         for batch in slices(batches, text):
             both = np.array([scorer(t) for t in texts_of(batch, text)], float).reshape(-1, 2)
             yield with_arrays(batch, {n: pa.array(both[:, k]) for k, n in enumerate(names)})

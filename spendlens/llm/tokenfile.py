@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 
 from spendlens.session import materialize, scratch_path
 
-from .batches import arrow_map, slices, texts_of
+from .batches import arrow_map, keep, slices, texts_of
 
 #: White-space-separated chunks whose ids a Python worker remembers; beyond that it starts anew.
 MEMO_ENTRIES = 600_000
@@ -89,7 +88,6 @@ class Memo(dict):
                 self[chunk.encode()] = raw[4 * a : 4 * b]
 
 
-@lru_cache(maxsize=1)
 def _memo(held) -> Memo:
     return Memo(held.value)
 
@@ -112,7 +110,7 @@ def encode(docs: DataFrame, tokenizer_path: str, end_id: int, doc_id: str = "doc
     last = np.array([end_id], "<u4").tobytes()
 
     def step(batches):
-        memo = _memo(held)
+        memo = keep(_memo, held)
         for batch in slices(batches, "text", 3 << 20):
             chunks = [value.encode().lower().split() for value in texts_of(batch, "text")]  # A-Z: the tokenizer does too
             memo.learn(set().union(*chunks))
