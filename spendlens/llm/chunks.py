@@ -1,7 +1,9 @@
-"""Repeated passages: content-defined chunks by a gear rolling hash, deduplicated by digest."""
+"""Repeated passages: content-defined chunks by a gear rolling hash find the places, windows of words the exact ends."""
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from spendlens.session import materialize
 
-from .batches import arrow_map, slices, texts_of
+from .batches import arrow_map, release, slices, texts_of
 
 #: A chunk ends where the top so many bits of the rolling hash are zero: 2 ** CUT_BITS bytes on average.
 CUT_BITS = 5
@@ -18,8 +20,9 @@ CUT_BITS = 5
 LONGEST = 1024
 #: Bytes that the rolling hash sees: one for each of its bits.
 REACH = 32
-#: Words that consecutive repeated chunks must hold to count as a repeated passage. The first and the last
-#: part of a passage lie in chunks with other text, on average 15 words together.
+#: Bytes before a chunk that its start may depend on: those that the hash sees, and a shift to a character's end.
+BACK = REACH + 3
+#: Words that a repeated passage holds at least, counted exactly.
 LEAST_WORDS = 30
 #: Bits of the filter of repeated digests, whatever the size of the data.
 FILTER_BITS = 25
@@ -81,79 +84,145 @@ def digests(joined: bytes, heads: np.ndarray, tails: np.ndarray) -> np.ndarray:
     return np.fromiter((value(joined[a:b]) for a, b in zip(heads.tolist(), tails.tolist())), np.uint64, len(heads)).view(np.int64)
 
 
-CHUNK = "doc_id {kind}, text_key long, start int, end int, words int, digest long"
+def windows(joined: bytes, heads: np.ndarray, tails: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All runs of ``least`` words in the joined texts: first byte, end, and the chunk that stands for the run or -1.
+
+    That is the first chunk that starts BACK bytes or more after the run's start, if it ends before the run does. The run's
+    own bytes alone decide which it is, so equal runs have equal chunks, whatever text is around them.
+    """
+    data = np.frombuffer(joined, np.uint8)
+    blank = (data == 32) | ((data >= 9) & (data <= 13)) | (data == 0)
+    begins = np.flatnonzero(~blank[1:] & blank[:-1]) + 1
+    stops = np.flatnonzero(blank[1:] & ~blank[:-1]) + 1
+    begins, stops = begins[: max(0, len(begins) - least + 1)], stops[least - 1 :]
+    at = np.searchsorted(heads, begins + BACK)
+    inside = np.append(tails, len(data))[at] < stops
+    return begins, stops, np.where(inside, at, -1)
 
 
-def chunks(docs: DataFrame, near: np.ndarray | None = None) -> DataFrame:
-    """The chunks of every whole text: doc_id, text_key (a hash of the text), start and end (bytes of UTF-8, end
-    exclusive), words begun, digest. Null and empty texts have none.
+def _groups(batch: pa.RecordBatch, least: int):
+    """The runs of a batch's texts, in groups of consecutive ones that the same chunk stands for.
 
-    With ``near`` (bits by digest) only those whose bit is set.
+    A run that no chunk stands for is a group of its own. Gives the runs (text number, first byte, end, number of the first
+    word), each group's first run and the one after its last, the digest of its chunk with the BACK bytes before it, the
+    digest of all its bytes, the joined bytes and the texts' starts in them.
     """
-    held = docs.sparkSession.sparkContext.broadcast(near)
+    texts = [t.encode() for t in texts_of(batch, "text")]
+    _, heads, tails, _, joined = cut(texts)
+    sizes = np.array([len(t) for t in texts], np.int64)
+    starts = np.cumsum(np.concatenate([[0], sizes[:-1]])) + REACH * np.arange(1, len(texts) + 1)
+    begins, stops, chunk = windows(joined, heads, tails, least)
+    owner = np.searchsorted(starts, begins, side="right") - 1
+    words = np.arange(len(begins)) - np.searchsorted(begins, starts)[owner]
+    one = stops <= (starts + sizes)[owner]
+    owner, begins, stops, words, chunk = owner[one], begins[one], stops[one], words[one], chunk[one]
+    low = np.flatnonzero(np.append(True, (chunk[1:] != chunk[:-1]) | (chunk[1:] < 0))[: len(chunk)])
+    high = np.append(low[1:], len(chunk)).astype(np.int64)[: len(low)]
+    whole = digests(joined, begins[low], stops[high - 1])
+    seed, has = whole.copy(), chunk[low] >= 0
+    seed[has] = digests(joined, heads[chunk[low][has]] - BACK, tails[chunk[low][has]])
+    return owner, begins, stops, words, low, high, seed, whole, joined, starts
+
+
+def seeds(docs: DataFrame, least: int) -> DataFrame:
+    """What finds the groups of runs of every whole text: doc_id, digest (of the chunk), whole (hash of all its bytes)."""
 
     def step(batches):
         for batch in slices(batches, "text", 2 << 20):
-            owner, heads, tails, words, joined = cut([t.encode() for t in texts_of(batch, "text")])
-            got = digests(joined, heads, tails)
-            first = np.searchsorted(owner, np.arange(batch.num_rows))
-            base = np.zeros(batch.num_rows, np.int64)
-            has = first < len(heads)
-            base[has] = heads[first[has]]
-            starts = heads - base[owner]
-            keep = np.arange(len(got))
-            if held.value is not None:
-                at = got.view(np.uint64) & np.uint64((1 << FILTER_BITS) - 1)
-                keep = np.flatnonzero((held.value[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1)
+            owner, _, _, _, low, _, seed, whole, _, _ = _groups(batch, least)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n).take(pa.array(owner[keep])) for n in ("doc_id", "text_key")), pa.array(starts[keep], pa.int32()),
-                 pa.array((starts + tails - heads)[keep], pa.int32()), pa.array(words[keep], pa.int32()), pa.array(got[keep])],
-                names=["doc_id", "text_key", "start", "end", "words", "digest"],
+                [batch.column("doc_id").take(pa.array(owner[low])), pa.array(seed), pa.array(whole)],
+                names=["doc_id", "digest", "whole"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return arrow_map(docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text"), step, CHUNK.format(kind=kind))
+    return arrow_map(docs.select("doc_id", "text"), step, f"doc_id {kind}, digest long, whole long")
+
+
+def shared_seeds(docs: DataFrame, least: int) -> DataFrame:
+    """Digests of chunks found in two documents or more, and whether the groups of runs around them differ (``mixed``)."""
+    seen = seeds(docs, least).groupBy("digest").agg(
+        F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), (F.min("whole") != F.max("whole")).alias("mixed")
+    )
+    return seen.where("first != last").select("digest", "mixed")
 
 
-def shared_digests(docs: DataFrame) -> DataFrame:
-    """Digests found in two documents or more: digest, first (the smallest doc_id that holds it)."""
-    seen = chunks(docs).groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    return seen.where("first != last").select("digest", "first")
+RUN = "doc_id {kind}, text_key long, start int, end int, word int, words int, digest long"
 
 
-def bits_of(keys: DataFrame) -> np.ndarray:
-    """A bit for the low bits of each digest: 2 ** FILTER_BITS bits, however many digests there are."""
+def word_runs(docs: DataFrame, near: np.ndarray, mixed: np.ndarray, least: int) -> DataFrame:
+    """The groups whose digest's bit is set in ``near``, or their single runs where it is set in ``mixed`` too: doc_id,
+    text_key (a hash of the text), start and end (bytes of UTF-8, end exclusive), word (number of its first word), words,
+    digest of the bytes."""
+    held = docs.sparkSession.sparkContext.broadcast((near, mixed))
+
+    def step(batches):
+        for batch in slices(batches, "text", 2 << 20):
+            owner, begins, stops, words, low, high, seed, whole, joined, starts = _groups(batch, least)
+            at = seed.view(np.uint64) & np.uint64((1 << FILTER_BITS) - 1)
+            byte, bit = (at >> np.uint64(3)).astype(np.int64), (at & np.uint64(7)).astype(np.uint8)
+            shared, parted = (((bits[byte] >> bit) & 1).astype(bool) for bits in held.value)
+            plain, single = np.flatnonzero(shared & ~parted), np.flatnonzero(shared & parted)
+            many = high[single] - low[single]
+            runs = np.repeat(low[single] - np.cumsum(many) + many, many) + np.arange(many.sum())
+            first, last = np.concatenate([low[plain], runs]), np.concatenate([high[plain] - 1, runs])
+            digest = np.concatenate([whole[plain], digests(joined, begins[runs], stops[runs])])
+            whose = owner[first]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(n).take(pa.array(whose)) for n in ("doc_id", "text_key")),
+                 pa.array(begins[first] - starts[whose], pa.int32()), pa.array(stops[last] - starts[whose], pa.int32()),
+                 pa.array(words[first], pa.int32()), pa.array(last - first + least, pa.int32()), pa.array(digest)],
+                names=["doc_id", "text_key", "start", "end", "word", "words", "digest"],
+            )
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return arrow_map(docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text"), step, RUN.format(kind=kind))
+
+
+def bits_of(keys: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """A bit for the low bits of each digest, and the same for those that are ``mixed``: 2 ** FILTER_BITS bits each,
+    however many digests there are."""
     at = F.col("digest").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    words = keys.select(at.alias("at")).groupBy(F.shiftright("at", 6).cast("int").alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")
+    bit = F.expr("shiftleft(1L, cast(at & 63 as int))")
+    words = keys.select(at.alias("at"), "mixed").groupBy(F.shiftright("at", 6).cast("int").alias("word")).agg(
+        F.bit_or(bit).alias("near"), F.bit_or(F.when(F.col("mixed"), bit).otherwise(F.lit(0).cast("long"))).alias("mixed")
     )
     got = words.toArrow()  # at most 2 ** (FILTER_BITS - 6) rows
-    out = np.zeros(1 << (FILTER_BITS - 6), "<i8")
-    out[got.column("word").to_numpy()] = got.column("bits").to_numpy()
-    return out.view(np.uint8)
+    out = np.zeros((2, 1 << (FILTER_BITS - 6)), "<i8")
+    for k, name in enumerate(("near", "mixed")):
+        out[k, got.column("word").to_numpy()] = got.column(name).to_numpy()
+    return out[0].view(np.uint8), out[1].view(np.uint8)
 
 
 def passages(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     """Repeated passages of ``docs`` (doc_id, text): doc_id, text_key, start, end, words, first.
 
-    Consecutive chunks that other documents hold too make a passage if they hold ``least`` words. ``first`` is the
-    smallest doc_id that holds its first chunk; there the passage is no repetition. What repeats only within one
-    document does not count, nor do documents of a NULL id. Rows that share a doc_id count as one document.
+    A passage is made of overlapping runs of ``least`` words, blanks between them included, that other documents hold too;
+    so all that is repeated from ``least`` words on is found, up to its first and last whole word. ``first`` is the smallest
+    doc_id that holds its first run. Runs first found in this document, which are no repetition here, and runs that an
+    earlier one holds make separate passages, which may overlap. What repeats only within one document does not count, nor do
+    documents of a NULL id. Rows that share a doc_id count as one document.
 
-    A chunk held by a third of all documents shrinks to one row in each task before the shuffle; the chunks are cut
-    a second time and tested against a filter of fixed size, so that only repeated ones are shuffled again.
+    Chunks stand for the runs at first: one held by a third of all documents shrinks to one row in each task before the
+    shuffle. The texts are read a second time and tested against two filters of fixed size, so that only runs whose chunk
+    is repeated are shuffled: as one row where all documents that hold the chunk hold the same runs around it.
     """
-    shared = materialize(shared_digests(docs), "digests")
-    found = chunks(docs, bits_of(shared)).where("doc_id is not null").join(shared, "digest")
-    by_place = Window.partitionBy("doc_id", "text_key").orderBy("start", "end")
-    new = F.coalesce(F.col("start") > F.lag("end").over(by_place), F.lit(True)).cast("int")
+    near, mixed = bits_of(shared_seeds(docs, least))
+    gc.collect()  # Python's names of the plan stand in a cycle; after them, Spark needs two rounds to drop its shuffle
+    release(docs)
+    found = materialize(word_runs(docs, near, mixed, least).where("doc_id is not null"), "runs")
+    release(docs)
+    seen = found.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    shared = seen.where("first != last").select("digest", "first")
+    held = found.join(shared, "digest").withColumn("own", F.col("first") == F.col("doc_id"))
+    by_place = Window.partitionBy("doc_id", "text_key", "own").orderBy("start")
+    new = F.coalesce(F.col("start") >= F.lag("end").over(by_place), F.lit(True)).cast("int")
     upto = by_place.rowsBetween(Window.unboundedPreceding, 0)
-    runs = found.withColumn("new", new).withColumn("run", F.sum("new").over(upto))
-    made = runs.groupBy("doc_id", "text_key", "run").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"),
-        F.min_by("first", "start").alias("first"),
-    )
-    return made.where(F.col("words") >= least).drop("run")
+    runs = held.withColumn("new", new).withColumn("run", F.sum("new").over(upto))
+    return runs.groupBy("doc_id", "text_key", "own", "run").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"),
+        (F.max(F.col("word") + F.col("words")) - F.min("word")).cast("long").alias("words"), F.min_by("first", "start").alias("first"),
+    ).drop("own", "run")
 
 
 def report(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:

@@ -306,3 +306,26 @@ def test_pipeline(spark, docs):
         rows = corpus_pipeline.materialize(after, "stage")
     out = corpus_pipeline.STAGES[-1][1](spark, rows, FOLDER)
     assert 0 < out.count() == rows.count() <= docs.count()
+
+
+def test_passages_by_exact_words(spark):
+    """Passages of 30 words and 51 to 60 words in other contexts are found to the byte, those of 29 words are not."""
+    draw = random.Random(11)
+    word = lambda: "".join(draw.choice("abcdefghijklmnopé") for _ in range(draw.randint(1, 9)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    rows, want = [], {}
+    for k in range(600):
+        size = draw.choice([29, 30, 31, *range(51, 61)])
+        passage = prose(size) if k % 10 else " ".join("ab"[draw.randrange(2)] for _ in range(size))
+        for doc in (2 * k, 2 * k + 1):
+            head = prose(draw.randint(0, 60)) + f" <{doc}> "
+            rows.append((doc, head + passage + f" ({doc}) " + prose(draw.randint(0, 60))))
+            if size >= 30:
+                want[doc] = (2 * k, size, len(head.encode()), len((head + passage).encode()))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.first, r.words, r.start, r.end) for r in chunks.passages(df).collect()}
+    assert got == want
+    left = dict(texts(chunks.remove(df)))
+    for doc, (first, _, start, end) in want.items():
+        raw = rows[doc][1].encode()
+        assert left[doc].encode() == (raw if doc == first else raw[:start] + raw[end:])
