@@ -332,6 +332,10 @@ ORACLE: dict[str, str] = {
     "count_refunds": f"select count(*) filter ({SIGNED} < 0) as refunds from lineitem",
     "item_counts": f"with {ITEM} select entity_id, count(*) as item_total from item group by 1",
     "event_counts": f"with {EVENT} select entity_id, count(*) as event_total from event group by 1",
+    "category_pivot_unlisted": f"""with {EXPENSE} select entity_id, {', '.join(
+        f"coalesce({money(f'case when category in ({names}) then amount_pos end')}, 0) as spend_{c}" for c, names in (
+            ("fasteners", "'fasteners'"), ("finish", "'finish'"), ("other", "'machines', 'other'"))
+    )} from expense group by 1""",
     "category_pivot": f"""with {EXPENSE}, {SPEND} select entity_id, {', '.join(f'spend_{c}' for c in CATEGORIES)} from spend""",
     "modelling_table": f"""with {MODEL} select * replace (round(distance_km, 6) as distance_km, round(activity, 6) as activity,
         round(spend_per_km, 6) as spend_per_km) from model""",

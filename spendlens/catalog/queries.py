@@ -557,6 +557,12 @@ def category_pivot(t: Tables) -> DataFrame:
     return totals.category_pivot(t.expenses(), CATEGORIES)
 
 
+@query
+def category_pivot_unlisted(t: Tables) -> DataFrame:
+    """A category list without the machines, whose spend counts as the default's."""
+    return totals.category_pivot(t.expenses(), [c for c in CATEGORIES if c != "machines"], DEFAULT)
+
+
 @query
 def modelling_table(t: Tables) -> DataFrame:
     return rounded(t.model(), "distance_km", "activity", "spend_per_km")

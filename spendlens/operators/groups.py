@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.numbers import coerce_whole, replace_values, sum_money
-from ..functions.text import categories_of, fill_unknown
+from ..functions.text import DEFAULT_CATEGORY, categories_of, fill_unknown
 from ..session import materialize
 from .filters import drop_null_key, drop_zero_rows, in_top_groups, year_range
 from .order_stats import quantiles
 from .ranking import group_totals
 from .scaling import minmax_scale, zscore
 from .stats import METRICS
-from .totals import entity_spend, pivot_sum
+from .totals import entity_spend, listed, pivot_sum
 
 PROFILE = ["spend_total", "spend_net", "expense_count", "refund_count", "cost_per_activity"]
 # Fixed value: the group renamed after a merger, and its new name.
@@ -33,11 +33,11 @@ def group_cells(expenses: DataFrame, entities: DataFrame, dims: list[str],
 
 
 def group_category_matrix(expenses: DataFrame, entities: DataFrame, categories: list[str] | None = None,
-                          n: int = 10) -> DataFrame:
-    """Top-N groups by category spend, wide, gaps 0."""
+                          n: int = 10, default: str = DEFAULT_CATEGORY) -> DataFrame:
+    """Top-N groups by category spend, wide, gaps 0; spend outside the category list counts as ``default``."""
     cells = drop_null_key(group_cells(expenses, entities, ["category"]), "category")
     top = group_totals(cells, n, "spend")
-    return pivot_sum(in_top_groups(cells, top), ["grp"], "category", categories or categories_of(), "spend")
+    return pivot_sum(in_top_groups(cells, top), ["grp"], "category", categories or categories_of(), "spend", default)
 
 
 def stack_dense(wide: DataFrame, keys: list[str], columns: list[str], name: str = "category",
@@ -53,18 +53,20 @@ def group_category_log(matrix: DataFrame, key: str = "grp") -> DataFrame:
 
 
 def entity_category_grid(expenses: DataFrame, entities: DataFrame, categories: list[str] | None = None,
-                         n: int = 10) -> DataFrame:
+                         n: int = 10, default: str = DEFAULT_CATEGORY) -> DataFrame:
     """Every (group, name) of the top-N groups with every category seen there, zeros kept.
 
     Rows without a name count toward the ranking and then leave the grid. The closed category list
-    makes the dense form a pivot and unpivot; categories seen nowhere are dropped at the end.
+    makes the dense form a pivot and unpivot, where spend outside it counts as ``default``; categories
+    seen nowhere are dropped at the end.
     """
     names = categories or categories_of()
     cells = group_cells(expenses, entities, ["category"], ("grp", "name"))
     top = group_totals(cells, n, "spend")
     kept = drop_null_key(drop_null_key(in_top_groups(cells, top), "name"), "category")
-    dense = stack_dense(pivot_sum(kept, ["grp", "name"], "category", names, "spend"), ["grp", "name"], names)
-    seen = kept.select("category").distinct().where(F.col("category").isin(names))
+    kept = kept.withColumn("category", listed("category", names, default))
+    dense = stack_dense(pivot_sum(kept, ["grp", "name"], "category", names, "spend", default), ["grp", "name"], names)
+    seen = kept.select("category").distinct()
     return dense.join(F.broadcast(seen), "category", "left_semi").select("grp", "name", "category", "spend")
 
 

@@ -63,7 +63,7 @@ def master_job(spark: SparkSession, out: str, rules: Rules = EXPENSE_RULES,
     categorised = read_table(spark, f"{out}/expenses_categorised.parquet")
     _store(category_totals(categorised), f"{out}/category_totals")
     master = master_table(
-        tables["entities"], categorised, tables["items"], tables["events"], categories_of(rules, default)
+        tables["entities"], categorised, tables["items"], tables["events"], categories_of(rules, default), default
     )
     write_table(master, f"{out}/master.parquet")
     master = read_table(spark, f"{out}/master.parquet")
@@ -97,13 +97,13 @@ def entity_marts() -> dict[str, Callable[[DataFrame], DataFrame]]:
     }
 
 
-def expense_marts(categories: list[str]) -> dict[str, Callable[[DataFrame, DataFrame], DataFrame]]:
+def expense_marts(categories: list[str], default: str = DEFAULT_CATEGORY) -> dict[str, Callable[[DataFrame, DataFrame], DataFrame]]:
     """Tables behind the figures that also need the categorised expenses."""
     return {
         "group_categories": lambda spent, master: groups.group_category_log(
-            groups.group_category_matrix(spent, master, categories)),
+            groups.group_category_matrix(spent, master, categories, default=default)),
         "category_hierarchy": lambda spent, master: hierarchy.category_hierarchy(
-            groups.entity_category_grid(spent, master, categories)),
+            groups.entity_category_grid(spent, master, categories, default=default)),
     }
 
 
@@ -126,7 +126,7 @@ def marts_job(spark: SparkSession, out: str, rules: Rules = EXPENSE_RULES, defau
         keep(name, build(prepared))
     spent = read_optional(spark, f"{out}/expenses_categorised.parquet")
     if spent is not None:
-        for name, build in expense_marts(categories_of(rules, default)).items():
+        for name, build in expense_marts(categories_of(rules, default), default).items():
             keep(name, build(spent, prepared))
         year = pick_time_column(spent)
         if year:

@@ -8,7 +8,7 @@ from ..functions.measures import (
     activity_score, cost_per_activity, flag_no_expense, spend_per_distance,
 )
 from ..functions.numbers import clip_floor, coerce_number, log1p_spend, null_nonfinite
-from ..functions.text import categories_of, category_column, fill_unknown
+from ..functions.text import DEFAULT_CATEGORY, categories_of, category_column, fill_unknown
 from ..operators.clean import fill_zero
 from ..operators.dedup import dedup_first
 from ..operators.joins import attach_distance, attach_metrics
@@ -34,15 +34,16 @@ def modelling_table(entities: DataFrame, expenses: DataFrame, items: DataFrame,
 
 
 def master_table(entities: DataFrame, expenses: DataFrame, items: DataFrame, events: DataFrame,
-                 categories: list[str] | None = None) -> DataFrame:
+                 categories: list[str] | None = None, default: str = DEFAULT_CATEGORY) -> DataFrame:
     """One row per entity: totals, one spend column per category, activity, cost, no-expense flag.
 
-    Takes categorised expenses. Totals and category columns come out of one aggregation.
+    Takes categorised expenses. Totals and category columns come out of one aggregation; spend
+    outside the category list counts as ``default``.
     """
     names = categories or categories_of()
     base = dedup_first(entities, ["entity_id"])
     joined = attach_metrics(
-        base, expense_totals(expenses, names, count_rows=True), event_counts(events), item_counts(items)
+        base, expense_totals(expenses, names, count_rows=True, default=default), event_counts(events), item_counts(items)
     )
     filled = fill_zero(joined, [*TOTALS, *[category_column(c) for c in names]])
     scored = filled.withColumns({

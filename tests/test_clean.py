@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from spendlens.operators import clean, filters, totals
+from spendlens.operators import clean, filters, groups, totals
 from spendlens.operators.dedup import dedup_first, dedup_rows
 from spendlens.plans.tables import master_table, modelling_table, prepared_columns, prepared_master
 from spendlens.sources.schemas import to_canonical, to_source_names
@@ -87,6 +87,24 @@ def test_category_pivot_is_closed_and_filled(spark):
     assert rows(wide, "entity_id") == [(1, 5.0, 0.0, 0.0, 0.0, 0.0, 0.0), (2, 0.0, 0.0, 0.0, 0.0, 0.0, 2.0)]
 
 
+def test_spend_outside_the_category_list_counts_as_the_default(spark):
+    df = spark.createDataFrame(
+        [(1, "Transporte", 10.0), (1, "Barcos", 90.0), (2, "Aviões", 7.0)], "entity_id long, category string, amount_pos double"
+    )
+    who = spark.createDataFrame([(1, "A", "a"), (2, "B", "b")], "entity_id long, grp string, name string")
+    pivot = totals.category_pivot(df).select("entity_id", "spend_transporte", "spend_outros")
+    assert rows(pivot, "entity_id") == [(1, 10.0, 90.0), (2, 0.0, 7.0)]
+    matrix = groups.group_category_matrix(df, who).select("grp", "Transporte", "Outros")
+    assert rows(matrix, "grp") == [("A", 10.0, 90.0), ("B", 0.0, 7.0)]
+    grid = groups.entity_category_grid(df, who).where("spend > 0")
+    assert rows(grid, "grp", "category") == [("A", "a", "Outros", 90.0), ("A", "a", "Transporte", 10.0), ("B", "b", "Outros", 7.0)]
+    full = df.selectExpr("*", "amount_pos as amount", "false as is_refund")
+    wide = totals.expense_totals(full, ["Transporte", "Outros"]).select("entity_id", "spend_total", "spend_transporte", "spend_outros")
+    assert rows(wide, "entity_id") == [(1, 100.0, 10.0, 90.0), (2, 7.0, 0.0, 7.0)]
+    with pytest.raises(Exception, match="outside the closed list: (Barcos|Aviões)"):
+        totals.pivot_sum(df, ["entity_id"], "category", ["Transporte"], "amount_pos").collect()
+
+
 def test_filters(spark):
     df = spark.createDataFrame([(2022,), (2023,), (2025,), (2026,), (None,)], "yr int")
     assert rows(filters.year_range(df), "yr") == [(2023,), (2025,)]
