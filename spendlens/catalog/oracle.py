@@ -332,6 +332,10 @@ ORACLE: dict[str, str] = {
     "count_refunds": f"select count(*) filter ({SIGNED} < 0) as refunds from lineitem",
     "item_counts": f"with {ITEM} select entity_id, count(*) as item_total from item group by 1",
     "event_counts": f"with {EVENT} select entity_id, count(*) as event_total from event group by 1",
+    "expense_totals_subcent": f"""with {EXPENSE} select entity_id, {', '.join(
+        f"coalesce(cast(sum(cast({a} as decimal(18,2)) * 0.0001) as double), 0) as {s}"
+        for a, s in (("amount_pos", "spend_total"), ("amount", "spend_net"))
+    )}, count(amount_pos) as expense_count, count(*) filter (where is_refund) as refund_count from expense group by 1""",
     "category_pivot_unlisted": f"""with {EXPENSE} select entity_id, {', '.join(
         f"coalesce({money(f'case when category in ({names}) then amount_pos end')}, 0) as spend_{c}" for c, names in (
             ("fasteners", "'fasteners'"), ("finish", "'finish'"), ("other", "'machines', 'other'"))

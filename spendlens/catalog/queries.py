@@ -531,6 +531,14 @@ def expense_totals(t: Tables) -> DataFrame:
     return totals.expense_totals(t.amounts())
 
 
+@query
+def expense_totals_subcent(t: Tables) -> DataFrame:
+    """Amounts in ten thousands, so with six decimals."""
+    part = lambda c: F.round(F.col(c) * 100).cast("bigint") / F.lit(1e6)
+    rows = t.amounts().withColumns({"amount": part("amount"), "amount_pos": part("amount_pos")})
+    return totals.expense_totals(rows)
+
+
 @query
 def expense_totals_rows(t: Tables) -> DataFrame:
     rows = t.amounts().withColumn("amount_pos", F.when(~F.col("is_refund"), F.col("amount_pos")))

@@ -65,17 +65,17 @@ def flag_refund(col: Column) -> Column:
     return col < F.lit(0)
 
 
-def cents(col: Column) -> Column:
-    """Money as whole cents. Amounts have two decimals; ``rint`` only removes binary noise."""
-    return F.rint(col.cast("double") * F.lit(100.0)).cast("bigint")
+def exact_money(col: Column) -> Column:
+    """Money as a decimal with the digits that the amount is written with, up to 18 after the point."""
+    return col.cast("double").cast("decimal(38,18)")
 
 
 def sum_money(col: Column) -> Column:
-    """Sum in whole cents, so the result does not depend on partition order; double at the end.
+    """Exact sum of the amounts as given, so the result does not depend on partition order; double at the end.
 
-    Integer sums stay in generated code, unlike decimals. A sum beyond 9.2e16 raises an overflow error.
+    Amounts and sums from 1e20 on raise an overflow error.
     """
-    return F.sum(cents(col)) / F.lit(100.0)
+    return F.sum(exact_money(col)).cast("double")
 
 
 def mean_money(col: Column) -> Column:

@@ -149,3 +149,10 @@ def test_polygon_centroid(spark):
     assert got[0] == (2.0, 2.0)
     assert got[1] == pytest.approx(holed) and got[2] == pytest.approx(holed)
     assert got[3] == pytest.approx(((16 * 2 + 4 * 11) / 20, (16 * 2 + 4 * 1) / 20))
+
+
+def test_money_sums_keep_parts_of_a_cent(spark, spread):
+    small = spark.range(0, 1000, 1, 7).select(F.lit(1).alias("k"), F.lit(0.004).alias("v"))
+    more = spark.createDataFrame([(2, 0.1), (2, 0.2), (2, 1234567.895), (2, -0.0000001), (3, 9e18), (4, None)], "k int, v double")
+    sums = small.unionByName(more).groupBy("k").agg(numbers.sum_money(F.col("v")), numbers.mean_money(F.col("v")))
+    assert rows(sums, "k") == [(1, 4.0, 0.004), (2, 1234568.1949999, 308642.048749975), (3, 9e18, 9e18), (4, None, None)]
