@@ -213,7 +213,7 @@ def passages(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     found = materialize(word_runs(docs, near, mixed, least).where("doc_id is not null"), "runs")
     release(docs)
     seen = found.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    shared = seen.where("first != last").select("digest", "first")
+    shared = materialize(seen.where("first != last").select("digest", "first"), "digests")  # so that a hot digest's join can split
     held = found.join(shared, "digest").withColumn("own", F.col("first") == F.col("doc_id"))
     by_place = Window.partitionBy("doc_id", "text_key", "own").orderBy("start")
     new = F.coalesce(F.col("start") >= F.lag("end").over(by_place), F.lit(True)).cast("int")
