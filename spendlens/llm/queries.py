@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, chunks, decontam, exact, jaccard, language, pii, quality, tokenfile
+from . import bpe, chat, chunks, codes, decontam, exact, jaccard, language, pii, quality, tokenfile
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
@@ -94,6 +94,10 @@ def decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return codes.report(table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     "op1_language_id": language_id,
     "op2_jaccard_join": jaccard_join,
@@ -105,11 +109,44 @@ QUERIES = {
     "op8_quality_classifier": quality_classifier,
     "op9_substring_dedup": substring_dedup,
     "op10_benchmark_decontamination": decontamination,
+    "op13_vector_codes": vector_codes,
 }
 
 NORMALISED = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
 
+
+
+def lloyd_sql(rounds: int = codes.ROUNDS) -> str:
+    """Lloyd's rounds as plain SQL: all distances, nearest entries, floors of means; one CTE for each round."""
+    nearest = """n{k} as (
+            select v, p, arg_min(e, (gap, e)) as e, min(gap) as gap from (
+                select v, p, e, sum((x - c) * (x - c)) as gap from x join b{k} using (p, d) group by v, p, e)
+            group by v, p)"""
+    moved = """b{next} as (
+            select b{k}.p, b{k}.e, b{k}.d, coalesce(((s - ((s % n) + n) % n) // n)::bigint, c) as c
+            from b{k} left join (select p, e, d, sum(x) as s, count(*) as n from x join n{k} using (v, p) group by p, e, d)
+            using (p, e, d))"""
+    steps = [s.format(k=k, next=k + 1) for k in range(rounds) for s in (nearest, moved)]
+    return f"""
+        with kept as (
+            select row_number() over (order by vec_id nulls last, embedding) - 1 as v, * from embeddings
+            where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        x as (
+            select v, (spot * {codes.PARTS}) // width as p, spot % (width // {codes.PARTS}) as d, x from (
+                select v, unnest(range(len(embedding))) as spot, len(embedding) as width,
+                       floor({codes.SCALE} * unnest(embedding)::double)::bigint as x from kept)),
+        b0 as (select p, v as e, d, x as c from x where v < {codes.ENTRIES}),
+        {", ".join(steps)}, {nearest.format(k=rounds)},
+        coded as (
+            select v, string_agg(format('{{:02x}}', e), '' order by p) as code, sum(gap)::bigint as error from n{rounds} group by v)
+        select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error,
+               (select sha256(string_agg(c::varchar, ',' order by p, e, d)) from b{rounds}) as codebooks_sha256
+        from coded join kept using (v)
+    """
+
+
 ORACLE = {
+    "op13_vector_codes": lloyd_sql(),
     "op3_exact_dedup": f"""
         with t as (select doc_id, length(coalesce(text, '')) as n, sha256({NORMALISED}) as sha from documents)
         select doc_id, first_value(doc_id) over w as keep_id, count(*) over (partition by sha) as group_size,
