@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, chunks, codes, decontam, exact, jaccard, language, pii, quality, tokenfile
+from . import bpe, chat, chunks, codes, decontam, exact, jaccard, language, lexical, pii, quality, tokenfile
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
@@ -98,6 +98,10 @@ def vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return codes.report(table(spark, folder, "embeddings"))
 
 
+def lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(lexical.build_index(table(spark, folder, "documents")), table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op1_language_id": language_id,
     "op2_jaccard_join": jaccard_join,
@@ -109,6 +113,7 @@ QUERIES = {
     "op8_quality_classifier": quality_classifier,
     "op9_substring_dedup": substring_dedup,
     "op10_benchmark_decontamination": decontamination,
+    "op12_lexical_search": lexical_search,
     "op13_vector_codes": vector_codes,
 }
 
@@ -147,6 +152,30 @@ def lloyd_sql(rounds: int = codes.ROUNDS) -> str:
 
 ORACLE = {
     "op13_vector_codes": lloyd_sql(),
+    "op12_lexical_search": r"""
+        with words as (
+            select doc_id, place, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from (select doc_id, text, row_number() over () as place from documents)),
+        lengths as (select place, any_value(doc_id) as doc_id, count(*) as n from words group by place),
+        size as (select count(*) as docs, sum(n)::bigint as terms from lengths),
+        strata as (select place, doc_id, 75 + (25 * n * docs) // terms as m from lengths, size),
+        tfs as (select place, term, count(*) as tf from words group by place, term),
+        weights as (
+            select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+            from tfs, size group by term, docs),
+        items as (
+            select q, any_value(item_id) as item_id, term, count(*) as times from (
+                select q, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                       'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+                from (select *, row_number() over () as q from benchmark)) group by q, term),
+        scored as (
+            select q, any_value(item_id) as item_id, place, any_value(doc_id) as doc_id,
+                   sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::bigint as score
+            from items join weights using (term) join tfs using (term) join strata using (place) group by q, place)
+        select item_id, row_number() over (partition by q order by score desc, doc_id nulls last)::int as rank, doc_id, score
+        from scored where score > 0 qualify rank <= 20
+    """,
     "op3_exact_dedup": f"""
         with t as (select doc_id, length(coalesce(text, '')) as n, sha256({NORMALISED}) as sha from documents)
         select doc_id, first_value(doc_id) over w as keep_id, count(*) over (partition by sha) as group_size,
