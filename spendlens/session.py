@@ -62,6 +62,16 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Remove the files of tables that ``materialize`` stored and that nothing will read again."""
+    for table in tables:
+        folders = {file.rsplit("/", 1)[0] for file in table.inputFiles()}
+        jvm, conf = table.sparkSession._jvm, table.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        for folder in folders:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give executors this package, once for each application, for steps that run Python there."""
     app = spark.sparkContext.applicationId
