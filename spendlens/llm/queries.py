@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, chunks, codes, decontam, exact, jaccard, language, lexical, pii, quality, tokenfile
+from . import bpe, chat, chunks, codes, decontam, exact, jaccard, language, lexical, pii, quality, sketches, tokenfile
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
@@ -98,6 +98,10 @@ def vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return codes.report(table(spark, folder, "embeddings"))
 
 
+def minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return sketches.near_groups(table(spark, folder, "documents"))
+
+
 def lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical.search(lexical.build_index(table(spark, folder, "documents")), table(spark, folder, "benchmark"))
 
@@ -113,6 +117,7 @@ QUERIES = {
     "op8_quality_classifier": quality_classifier,
     "op9_substring_dedup": substring_dedup,
     "op10_benchmark_decontamination": decontamination,
+    "op11_minhash_near_dedup": minhash_near_dedup,
     "op12_lexical_search": lexical_search,
     "op13_vector_codes": vector_codes,
 }
@@ -150,7 +155,34 @@ def lloyd_sql(rounds: int = codes.ROUNDS) -> str:
     """
 
 
+def components_sql(words: int, percent: int, more: str = "") -> str:
+    """Shingle sets, all pairs that share a shingle, their links, and what is reachable through them."""
+    return rf"""
+        with recursive words as (
+            select doc_id, place, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+            from (select doc_id, text, row_number() over () as place from documents)),
+        shingles as (
+            select distinct doc_id, place, array_to_string(w[k:k + {words - 1}], ' ') as s from (
+                select *, unnest(range(1, greatest(len(w) - {words - 1}, 1) + 1)) as k from words where len(w) > 0)),
+        sizes as (select place, count(*) as n from shingles group by place),
+        common as (
+            select a.place as a, b.place as b, count(*) as c from shingles a join shingles b
+            on a.s = b.s and a.place != b.place and a.doc_id is not null and b.doc_id is not null group by all),
+        links as (
+            select a, b from common join sizes x on x.place = a join sizes y on y.place = b
+            where 100 * c >= {percent} * (x.n + y.n - c)),
+        reach(place, other) as (
+            select place, place from words union select place, b from reach join links on a = other),
+        lowest as (select r.place, min(w.doc_id) as component_id from reach r join words w on w.place = r.other group by r.place)
+        select doc_id, coalesce(n, 0) as n_shingles, component_id{more}
+        from words join lowest using (place) left join sizes using (place)
+    """
+
+
 ORACLE = {
+    "op2_jaccard_join": components_sql(jaccard.WORDS, jaccard.PERCENT),
+    "op11_minhash_near_dedup": components_sql(sketches.WORDS, sketches.PERCENT, ", doc_id is not distinct from component_id as kept"),
     "op13_vector_codes": lloyd_sql(),
     "op12_lexical_search": r"""
         with words as (
