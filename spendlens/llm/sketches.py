@@ -2,9 +2,9 @@
 
 A document's set of word shingles is hashed to 64 bits. The first bits name a bucket; of a bucket's smallest hash the
 sketch keeps the number of leading zeros and the mantissa bits after them, 16 bits a bucket. Documents whose registers
-agree in all rows of a band meet in that band's cell. Cells hold candidates only: pairs are tested by size, by one bit
-of each register, by the Jaccard estimate of their registers corrected for chance collisions, and at last on their full
-sets. Near copies in a cell are not compared with each other all at once, see ``near_groups``.
+agree in all rows of a band meet in that band's cell. Cells hold candidates only: pairs are tested by size and parity
+bits, by the Jaccard estimate of their registers corrected for chance collisions, and at last on their full sets. Near
+copies in a cell are not compared with each other all at once, see ``near_groups``.
 """
 
 from __future__ import annotations
@@ -17,11 +17,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spendlens.session import discard, materialize
 
-from .batches import arrow_map, fresh, keep, slices, texts_of
-from .jaccard import Memo, components, every_key, joined, mix, set_key
+from .batches import add_columns, arrow_map, fresh, keep, slices, texts_of, with_arrays
+from .jaccard import PARITY, Memo, components, differing, every_key, joined, mix, parity, set_key
 
 WORDS, PERCENT = 3, 85
 BUCKETS, MANTISSA = 256, 10
@@ -30,7 +31,7 @@ BUCKETS, MANTISSA = 256, 10
 ROWS, BANDS = 6, 42
 #: A pair is ruled out by an estimate only where it lies so many standard deviations below a link's.
 DEVIATIONS = 6
-#: Members of a cell that the first round compares with the others, and their growth with each round.
+#: Members of a region that the first round compares with the others, and their growth with each round.
 PROBES, GROWTH = 4, 8
 
 REST = 64 - (BUCKETS.bit_length() - 1)
@@ -91,41 +92,36 @@ def band_keys(filled: np.ndarray) -> np.ndarray:
     return mix((rows * FACTORS[:ROWS]).sum(-1, dtype=np.uint64) + BAND_SALTS)
 
 
-def short_bits(filled: np.ndarray) -> np.ndarray:
-    """One bit of each register, as BUCKETS / 64 whole numbers."""
-    salted = filled.astype(np.uint64) + (np.arange(BUCKETS, dtype=np.uint64) << np.uint64(16))
-    return np.packbits((mix(salted) & np.uint64(1)).astype(np.uint8), axis=-1).view("<i8")
-
-
 def sketched(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n, key of the set, and registers (bytes; NULL without words)."""
+    """Per row of ``docs`` (doc_id, text): doc_id, n, key and parity bits of the set, and registers (bytes).
+
+    The last two are NULL without words.
+    """
 
     def step(batches):
         for batch in slices(batches, "text"):
             sets = [shingles(t) for t in texts_of(batch, "text")]
             raw = [registers(s).astype("<u2").tobytes() if len(s) else None for s in sets]
             keys = np.array([set_key(s) for s in sets], np.uint64).view(np.int64)
-            arrays = [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys), pa.array(raw, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n", "key", "registers"])
+            bits = pa.array([parity(s, PARITY) if len(s) else None for s in sets], pa.list_(pa.int64()))
+            arrays = [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys), bits, pa.array(raw, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n", "key", "bits", "registers"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return arrow_map(docs, step, f"doc_id {kind}, n long, key long, registers binary")
+    return arrow_map(docs, step, f"doc_id {kind}, n long, key long, bits array<long>, registers binary")
 
 
 def banded(sets: DataFrame) -> DataFrame:
-    """``sets`` (key, rep, n, registers) with their cells and short bits."""
+    """``sets`` (with key and registers) and the cells of each."""
 
     def step(batches):
         lender = keep(Lender)
         for batch in batches:
             rows = [np.frombuffer(r, "<u2") for r in batch.column("registers").to_pylist()]
             filled = np.array([lender.fill(r) for r in rows], np.uint16).reshape(-1, BUCKETS)
-            cells, bits = band_keys(filled).view(np.int64), short_bits(filled)
-            arrays = [*(batch.column(c) for c in ("key", "rep", "n", "registers")), *(pa.array(list(a), pa.list_(pa.int64())) for a in (cells, bits))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["key", "rep", "n", "registers", "cells", "bits"])
+            yield with_arrays(batch, {"cells": pa.array(list(band_keys(filled).view(np.int64)), pa.list_(pa.int64()))})
 
-    kind = sets.schema["rep"].dataType.simpleString()
-    return arrow_map(sets, step, f"key long, rep {kind}, n long, registers binary, cells array<long>, bits array<long>")
+    return add_columns(sets, step, [T.StructField("cells", T.ArrayType(T.LongType()))])
 
 
 def sizes_fit(n: Column, m: Column) -> Column:
@@ -133,14 +129,8 @@ def sizes_fit(n: Column, m: Column) -> Column:
 
 
 def bits_fit(n: Column, m: Column, a: Column, b: Column) -> Column:
-    """Whether few enough short bits differ: half of 1 - J of them are expected to, and 6 deviations more pass.
-
-    The deviation has a part of the bits and a part of the registers, which small sets fill from few hashes.
-    """
-    differ = reduce(add, [F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(BUCKETS // 64)])
-    share = 1 - PERCENT / 100
-    spread = BUCKETS * share / 4 + 1.5 * (BUCKETS / 2) ** 2 * share * (1 - share) / F.least(n, m)
-    return differ <= BUCKETS * share / 2 + 1 + DEVIATIONS * F.sqrt(spread)
+    """Whether few enough parity bits differ: each of them shows a shingle that only one of the sets has."""
+    return differing(a, b, PARITY) * (100 + PERCENT) <= (n + m) * (100 - PERCENT)
 
 
 def collisions() -> np.ndarray:
@@ -210,7 +200,7 @@ def links(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def met(one: DataFrame, two: DataFrame, on: str, extra: Column) -> DataFrame:
-    """Pairs (a, b, na, nb) of members that meet under ``on`` and whose sizes and short bits allow a link."""
+    """Pairs (a, b, na, nb) of members that meet under ``on`` and whose sizes and parity bits allow a link."""
     columns = [c for c in one.columns if c != on]
     left = one.select(on, *[F.col(c).alias(f"{c}_a") for c in columns])
     right = two.select(on, *[F.col(c).alias(f"{c}_b") for c in columns])
@@ -223,6 +213,18 @@ def met(one: DataFrame, two: DataFrame, on: str, extra: Column) -> DataFrame:
     ).distinct()
 
 
+def open_regions(members: DataFrame, roots: DataFrame, done: int) -> DataFrame:
+    """region, key, root and size of the region, for regions of more than ``done`` members and several components.
+
+    A region is all members whose pivots have the same root.
+    """
+    at = roots.select(F.col("key").alias("pivot"), F.col("root").alias("region"))
+    placed = members.join(at, "pivot", "left").select(F.coalesce("region", "pivot").alias("region"), "key").distinct()
+    placed = placed.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    sizes = placed.groupBy("region").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
+    return placed.join(sizes.where((F.col("low") != F.col("high")) & (F.col("size") > done)).drop("low", "high"), "region")
+
+
 def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id reachable by links) and kept.
 
@@ -232,44 +234,36 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     nothing. A document of a NULL id links with nothing, has a NULL component and is kept. Rows that repeat a doc_id are
     documents of their own with their own sets. Empty tables give no rows.
 
-    In each cell all members are first compared with the one of the smallest key. Cells that still hold several
-    components go on in rounds: a growing share of their members, chosen by hash, is compared with those members of
-    other components, until every pair of a cell has been compared or is connected. So a large group of near copies
-    costs one comparison for each member, not for each pair, and no cell is capped.
+    In each cell all members are first compared with the one of the smallest key, the pivot. Cells whose pivots are
+    linked make a region. Regions that hold several components go on in rounds: a growing share of their members,
+    chosen by hash, is compared with those members of other components, until each pair of a region has been compared
+    or is connected. So a large group of near copies costs a few comparisons for each member, not for each pair, and no
+    cell or region is capped.
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     marked = materialize(sketched(docs), "sketches")
     same = marked.where("n > 0 and doc_id is not null").groupBy("key").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("registers").alias("registers")
+        F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "bits", "registers")]
     )
     sets = materialize(banded(same), "cells")
     slim = sets.select("key", "n", "bits")
     cells = sets.select(F.explode("cells").alias("cell"), "key")
-    heads = cells.groupBy("cell").agg(F.min("key").alias("pivot"), F.max("key").alias("last"), F.count("*").alias("size"))
-    members = materialize(cells.join(heads.where("pivot != last").drop("last"), "cell"), "members")
-    star = members.where("pivot != key").select("pivot", "key").distinct().join(slim, "key")
+    heads = cells.groupBy("cell").agg(F.min("key").alias("pivot"), F.max("key").alias("last")).where("pivot != last")
+    members = materialize(cells.join(heads.drop("last"), "cell").select("pivot", "key").distinct(), "members")
     pivots = slim.select(F.col("key").alias("pivot"), "key", "n", "bits")
-    found = links(docs, sets, materialize(met(pivots, star, "pivot", F.lit(True)), "pairs"))
-    roots = components(found)
-    done, size = 0, PROBES
+    pairs = materialize(met(pivots, members.where("pivot != key").join(slim, "key"), "pivot", F.lit(True)), "pairs")
+    roots = components(links(docs, sets, pairs))
+    done, size = 2, PROBES
     while True:
-        placed = members.where("size > 2").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-        parted = placed.groupBy("cell").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
-        inside = materialize(placed.join(parted.select("cell"), "cell", "left_semi").join(slim, "key"), "inside")
-        # members are taken in the order of a hash; each has a place among the cell's members by it
-        largest = inside.agg(F.max("size")).first()[0] or 0
-        if largest <= done:
+        inside = materialize(open_regions(members, roots, done).join(slim, "key"), "inside")
+        if inside.isEmpty():
             break
-        place = F.pmod(F.xxhash64("key", F.lit(1)), F.lit(1 << 30)) / (1 << 30) * F.col("size")
-        chosen = inside.where((place >= done) & (place < size))
-        other = (F.col("root_a") != F.col("root_b")) & (F.col("key_a") != F.col("pivot_a")) & (F.col("key_b") != F.col("pivot_a"))
-        pairs = materialize(met(chosen, inside, "cell", other), "pairs")
-        if not pairs.isEmpty():
-            found = links(docs, sets, pairs)
-            if not found.isEmpty():
-                roots = joined(roots, found)
-            discard(found)
-        discard(inside, pairs)
+        chosen = inside.where(F.pmod(F.xxhash64("key", F.lit(1)), F.lit(1 << 30)) * F.col("size") < size * (1 << 30))
+        pairs = materialize(met(chosen, inside, "region", F.col("root_a") != F.col("root_b")), "pairs")
+        found = links(docs, sets, pairs)
+        if not found.isEmpty():
+            roots = joined(roots, found)
+        discard(inside, pairs, found)
         done, size = size, size * GROWTH
     rooted = sets.select("key", "rep").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     lowest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
