@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +32,20 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BY
             start = stop
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "8m", rows: int = 256) -> Iterator[None]:
+    """Hand Python smaller batches for a while, for rows of many bytes; for steps that end within."""
+    names = {"spark.sql.execution.arrow.maxBytesPerBatch": size, "spark.sql.parquet.columnarReaderBatchSize": str(rows)}
+    before = {n: spark.conf.get(n) for n in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     """The texts of a batch; null counts as empty."""
     return pc.fill_null(batch.column(column), "").to_pylist()

@@ -23,20 +23,21 @@ from pyspark.sql import types as T
 
 from spendlens.session import materialize
 
-from .batches import arrow_map, keep, slices, texts_of
+from .batches import arrow_map, keep, slices, small_batches, texts_of
 from .decontam import words_of
 from .jaccard import Memo
 
 TERM = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
 #: Words and documents of a block at most (one document at least).
-BLOCK_WORDS, BLOCK_DOCS = 1 << 20, 1 << 16
+BLOCK_WORDS, BLOCK_DOCS = 1 << 19, 1 << 13
 #: Words of the items that a search takes at once; more items are searched in several rounds.
-ITEM_WORDS = 1 << 20
-#: Blocks visited first for each item, and postings that a visit spreads out at once.
-FIRST, SPREAD = 2, 1 << 22
+ITEM_WORDS = 1 << 17
+#: Blocks visited first for each item; blocks held at once; and scores, and postings, that a visit spreads out at once.
+FIRST, HELD, SPREAD = 2, 256, 1 << 19
 BEST = 20
 
-NUMBERS = {"terms": "<u8", "firsts": "<u4", "tfs": "<u4", "ends": "<u4", "places": "<u2"}
+#: A block's numbers: sorted terms, groups of each term, each group's tf and documents, and their places.
+NUMBERS = {"terms": "<u8", "groups": "<u2", "tfs": "<u4", "sizes": "<u2", "places": "<u2"}
 
 
 @dataclass
@@ -69,7 +70,8 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     placed = rows.withColumn("m", normaliser(F.col("n"), size["docs"], size["terms"])).drop("n")
     dealt = placed.repartitionByRange("m", F.xxhash64("doc_id", "text"))
     ordered = dealt.sortWithinPartitions("m", F.col("doc_id").asc_nulls_last())
-    return Index(materialize(arrow_map(ordered, block_rows, schema), "index"), size["docs"], size["terms"])
+    with small_batches(docs.sparkSession):
+        return Index(materialize(arrow_map(ordered, block_rows, schema), "index"), size["docs"], size["terms"])
 
 
 def normaliser(n: Column, documents: int, terms: int) -> Column:
@@ -107,8 +109,8 @@ def block_rows(batches) -> Iterator[pa.RecordBatch]:
 def postings(docs: list[np.ndarray]) -> tuple[np.ndarray, ...]:
     """Inverted lists of documents given as their words' hashes.
 
-    Returns the sorted terms, each one's first group (one more at the end), the groups' tf, highest first in each term,
-    their first posting (one more at the end), and the postings: places of documents, ascending in a group.
+    Returns the sorted terms, how many groups each has, the groups' tf, highest first in each term, how many documents
+    each has, and the documents' places, ascending in a group.
     """
     words = np.concatenate(docs)
     places = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
@@ -122,8 +124,7 @@ def postings(docs: list[np.ndarray]) -> tuple[np.ndarray, ...]:
     order = np.lexsort((-tf, term))
     tf, places, term = tf[order], places[order], term[order]
     group = np.flatnonzero(np.concatenate([[True], (term[1:] != term[:-1]) | (tf[1:] != tf[:-1])]))
-    firsts = np.searchsorted(term[group], np.arange(term[-1] + 2))
-    return words[begin], firsts, tf[group], np.append(group, len(term)), places
+    return words[begin], np.bincount(term[group]), tf[group], np.diff(np.append(group, len(term))), places
 
 
 class Items:
@@ -154,11 +155,22 @@ def impacts(weights: np.ndarray, tf: np.ndarray, m: int) -> np.ndarray:
     return weights * (1_000_000_000 * tf // (1000 * tf + 12 * m))
 
 
+def few(batches, column: str) -> Iterator[pa.RecordBatch]:
+    """The blocks a few at a time, by number and bytes."""
+    for batch in slices(batches, column):
+        for start in range(0, batch.num_rows, HELD):
+            yield batch.slice(start, HELD)
+
+
 def numbers(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
-    """Per block its m and the named columns as 64-bit arrays (terms unsigned)."""
+    """Per block its m and the named columns as 64-bit arrays (terms unsigned).
+
+    ``groups`` and ``sizes`` come summed up: where each term's groups, and each group's places, begin, and the end.
+    """
     columns = [batch.column(n).to_pylist() for n in names]
     for m, *raw in zip(batch.column("m").to_pylist(), *columns):
-        yield m, *(np.frombuffer(r, NUMBERS[n]).astype(np.uint64 if n == "terms" else np.int64) for r, n in zip(raw, names))
+        out = [np.frombuffer(r, NUMBERS[n]).astype(np.uint64 if n == "terms" else np.int64) for r, n in zip(raw, names)]
+        yield m, *(np.cumsum(np.append(0, a)) if n in ("groups", "sizes") else a for a, n in zip(out, names))
 
 
 def meeting(terms: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -225,13 +237,13 @@ def weigh(index: Index, items: Items) -> None:
     def step(batches):
         df = np.zeros(len(held.value), np.int64)
         for batch in batches:
-            for _, terms, firsts, ends in numbers(batch, "terms", "firsts", "ends"):
+            for _, terms, firsts, ends in numbers(batch, "terms", "groups", "sizes"):
                 at, hit = meeting(terms, held.value)
                 df[hit] += ends[firsts[at + 1]] - ends[firsts[at]]
         some = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(df[some])], names=["term", "df"])
 
-    counts = arrow_map(index.blocks.select("m", "terms", "firsts", "ends"), step, "term long, df long")
+    counts = arrow_map(index.blocks.select("m", "terms", "groups", "sizes"), step, "term long, df long")
     for row in counts.groupBy("term").agg(F.sum("df").alias("df")).collect():  # terms of one block of items
         items.weights[row["term"]] = weight(index.documents, row["df"])
     held.unpersist()
@@ -242,14 +254,14 @@ def first_blocks(index: Index, held) -> DataFrame:
 
     def step(batches):
         items = held.value
-        for batch in batches:
-            every = np.stack([bounds(items, *b) for b in numbers(batch, "terms", "firsts", "tfs")])
+        for batch in few(batches, "terms"):
+            every = np.stack([bounds(items, *b) for b in numbers(batch, "terms", "groups", "tfs")])
             top = np.argsort(-every, axis=0, kind="stable")[:FIRST]
             block = batch.column("block").to_numpy()[top]
             arrays = [np.tile(np.arange(len(items)), len(top)), block.ravel(), np.take_along_axis(every, top, 0).ravel()]
             yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["item", "block", "bound"])
 
-    every = arrow_map(index.blocks.select("block", "m", "terms", "firsts", "tfs"), step, "item long, block long, bound long")
+    every = arrow_map(index.blocks.select("block", "m", "terms", "groups", "tfs"), step, "item long, block long, bound long")
     order = Window.partitionBy("item").orderBy(F.desc("bound"), "block")
     return every.where("bound > 0").withColumn("k", F.row_number().over(order)).where(F.col("k") <= FIRST).select("block").distinct()
 
@@ -264,29 +276,26 @@ def visits(blocks: DataFrame, held, least, best: int, kind: T.DataType) -> DataF
     def step(batches):
         items, limit = held.value, least.value.copy()
         tops = np.zeros((len(items), best), np.int64)
-        for batch in batches:
-            block = list(numbers(batch, *NUMBERS))
-            every = np.stack([bounds(items, *b[:4]) for b in block])
-            for k in np.argsort(-every.max(1), kind="stable"):
-                wanted = np.flatnonzero(every[k] >= limit)
-                if not len(wanted):
-                    continue
-                docs = batch.column("docs").slice(int(k), 1).flatten()
-                found = scores(items, wanted, len(docs), *block[k])
-                rows, places = [], []
-                for row, item in enumerate(wanted):
-                    some = np.flatnonzero(found[row] >= limit[item])
-                    if len(some) > best:
-                        some = some[np.lexsort((some, -found[row][some]))[:best]]
-                    if len(some):
-                        rows.append(np.full(len(some), row))
-                        places.append(some)
-                        tops[item] = np.sort(np.concatenate([tops[item], found[row][some]]))[-best:]
-                        limit[item] = max(limit[item], tops[item][0])
-                if rows:
-                    row, place = np.concatenate(rows), np.concatenate(places)
-                    arrays = [pa.array(wanted[row]), docs.take(pa.array(place)), pa.array(found[row, place])]
-                    yield pa.RecordBatch.from_arrays(arrays, names=["item", "doc_id", "score"])
+        for batch in few(batches, "places"):
+            every = np.stack([bounds(items, *b) for b in numbers(batch, "terms", "groups", "tfs")])
+            for k in np.argsort(-every.max(1), kind="stable").tolist():
+                one = batch.slice(k, 1)
+                docs, block = one.column("docs").flatten(), next(numbers(one, *NUMBERS))
+                reach, parts = np.flatnonzero(every[k] >= limit), []
+                for start in range(0, len(reach), max(1, SPREAD // len(docs))):
+                    wanted = reach[start : start + max(1, SPREAD // len(docs))]
+                    found = scores(items, wanted, len(docs), *block)
+                    for row, item in enumerate(wanted.tolist()):
+                        some = np.flatnonzero(found[row] >= limit[item])
+                        if len(some) > best:
+                            some = some[np.lexsort((some, -found[row][some]))[:best]]
+                        if len(some):
+                            parts.append((np.full(len(some), item), some, found[row][some]))
+                            tops[item] = np.sort(np.concatenate([tops[item], found[row][some]]))[-best:]
+                            limit[item] = max(limit[item], tops[item][0])
+                if parts:
+                    item, place, score = map(np.concatenate, zip(*parts))
+                    yield pa.RecordBatch.from_arrays([pa.array(item), docs.take(pa.array(place)), pa.array(score)], names=["item", "doc_id", "score"])
 
     fields = [T.StructField("item", T.LongType()), T.StructField("doc_id", kind), T.StructField("score", T.LongType())]
     return arrow_map(blocks, step, T.StructType(fields))
@@ -304,26 +313,34 @@ def search(index: Index, items: DataFrame, item_id: str = "item_id", text: str =
     is an item: equal rows give their results as often as they occur, and rows that share an item_id but not their text
     rank on their own. An empty index gives no rows.
     """
-    spark = index.blocks.sparkSession
     ids, kind = items.schema[item_id].dataType, index.blocks.schema["docs"].dataType.elementType
     out = None
-    for block in item_blocks(items, item_id, text) if index.documents else ():
-        weigh(index, block)
-        held = spark.sparkContext.broadcast(block)
-        least = np.ones(len(block), np.int64)
-        chosen = materialize(first_blocks(index, held), "first")  # FIRST rows for each of the block's items at most
-        some = index.blocks.join(F.broadcast(chosen), "block", "left_semi")
-        early = ranked(visits(some, held, spark.sparkContext.broadcast(least), best, kind), best)
-        for row in early.where(F.col("rank") == best).select("item", "score").collect():  # one row an item at most
-            least[row["item"]] = row["score"]
-        rest = ranked(visits(index.blocks, held, spark.sparkContext.broadcast(least), best, kind), best)
-        table = pa.Table.from_arrays([pa.array(np.arange(len(block))), block.ids, pa.array(block.copies)], names=["item", "item_id", "copies"])
-        schema = T.StructType([T.StructField("item", T.LongType()), T.StructField("item_id", ids), T.StructField("copies", T.LongType())])
-        names = F.broadcast(spark.createDataFrame(table, schema))  # one block of items
-        rows = rest.join(names, "item").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-        rows = materialize(rows.select("item_id", "rank", "doc_id", "score"), "ranks")
-        out = rows if out is None else out.unionAll(rows)
+    with small_batches(index.blocks.sparkSession):
+        for block in item_blocks(items, item_id, text) if index.documents else ():
+            rows = search_block(index, block, ids, best)
+            out = rows if out is None else out.unionAll(rows)
     if out is None:
         fields = [("item_id", ids), ("rank", T.IntegerType()), ("doc_id", kind), ("score", T.LongType())]
-        return spark.createDataFrame([], T.StructType([T.StructField(*f) for f in fields]))
+        return items.sparkSession.createDataFrame([], T.StructType([T.StructField(*f) for f in fields]))
+    return out
+
+
+def search_block(index: Index, items: Items, ids: T.DataType, best: int) -> DataFrame:
+    """The stored results of one block of items."""
+    weigh(index, items)
+    spark, kind = index.blocks.sparkSession, index.blocks.schema["docs"].dataType.elementType
+    held = spark.sparkContext.broadcast(items)
+    least = np.ones(len(items), np.int64)
+    chosen = materialize(first_blocks(index, held), "first")  # FIRST rows for each of these items at most
+    some = index.blocks.join(F.broadcast(chosen), "block", "left_semi")
+    early = ranked(visits(some, held, spark.sparkContext.broadcast(least), best, kind), best)
+    for row in early.where(F.col("rank") == best).select("item", "score").collect():  # one row an item at most
+        least[row["item"]] = row["score"]
+    rest = ranked(visits(index.blocks, held, spark.sparkContext.broadcast(least), best, kind), best)
+    table = pa.Table.from_arrays([pa.array(np.arange(len(items))), items.ids, pa.array(items.copies)], names=["item", "item_id", "copies"])
+    schema = T.StructType([T.StructField("item", T.LongType()), T.StructField("item_id", ids), T.StructField("copies", T.LongType())])
+    names = F.broadcast(spark.createDataFrame(table, schema))  # these items
+    rows = rest.join(names, "item").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    out = materialize(rows.select("item_id", "rank", "doc_id", "score"), "ranks")
+    held.unpersist()
     return out
