@@ -54,8 +54,8 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     Terms are runs of digits, letters and non-ASCII characters, A-Z in lower case. A NULL text holds none. Rows that
     repeat a doc_id are documents of their own. Terms are kept as 64-bit hashes: one of T searched terms meets another
-    of V indexed ones with odds of about T * V / 2 ** 64. Documents are sorted by m over all tasks (a large stratum
-    spreads over several), so no task gathers a stratum.
+    of V indexed ones with odds of about T * V / 2 ** 64. Documents are dealt to tasks by m; Spark splits a stratum that
+    outgrows a partition by its bytes, and a task holds one block at a time.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     rows = rows.withColumn("n", F.regexp_count("text", F.lit(TERM)).cast("long")).where("n > 0")
@@ -68,8 +68,7 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     if not size["docs"]:
         return Index(rows.sparkSession.createDataFrame([], schema), 0, 0)
     placed = rows.withColumn("m", normaliser(F.col("n"), size["docs"], size["terms"])).drop("n")
-    dealt = placed.repartitionByRange("m", F.xxhash64("doc_id", "text"))
-    ordered = dealt.sortWithinPartitions("m", F.col("doc_id").asc_nulls_last())
+    ordered = placed.hint("rebalance", F.col("m")).sortWithinPartitions("m", F.col("doc_id").asc_nulls_last())
     with small_batches(docs.sparkSession):
         return Index(materialize(arrow_map(ordered, block_rows, schema), "index"), size["docs"], size["terms"])
 
