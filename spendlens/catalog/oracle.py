@@ -140,6 +140,17 @@ PAGES = """pages_ as (
   from orders)"""
 
 
+def _ingested() -> str:
+    """``pages_`` with what is lost or late, and ``settled``: requests that end, their stop page, and the run that has it all."""
+    return f"""with {ENTITY}, {PAGES.replace("pages_ as (", "sent as (", 1)},
+      pages_ as (select *, request_entity % 3 = 0 and page = 2 as is_late, request_entity % 11 = 0 and page = 1 as lost from sent),
+      stops as (select request_entity, request_year, min(page) as stop from pages_ where is_empty and not lost
+                group by request_entity, request_year),
+      settled as (select request_entity, request_year, stop, cast(max(cast(is_late as integer)) as bigint) as run
+                  from pages_ join stops using (request_entity, request_year) where page <= stop
+                  group by request_entity, request_year, stop having not bool_or(lost))"""
+
+
 def stopped(condition: str) -> str:
     return f"""{PAGES}, kept as (
   select p.* from pages_ p where not exists (
@@ -242,6 +253,28 @@ ORACLE: dict[str, str] = {
         select c_custkey, c_name from customer where c_custkey not in (select s_suppkey from supplier)""",
     "ingest_pages": f"""with {stopped('s.is_empty')}
         select request_entity as entity_id, request_year as yr, id, total, status from kept where not is_empty""",
+    "ingest_resumed": f"""{_ingested()}
+        select request_entity as entity_id, request_year as yr, id, total, status, run from pages_ join settled
+        using (request_entity, request_year) where not is_empty and page < stop""",
+    "ingest_done": f"""{_ingested()}
+        select request_entity as entity_id, request_year as yr, cast(stop - 1 as bigint) as rows, false as failed, run
+        from settled union all select entity_id, 2050, 0, true, 0 from entity where entity_id % 13 = 1""",
+    "ingest_ledger": f"""{_ingested()},
+        runs as (select cast(unnest([0, 1]) as bigint) as batch),
+        landed as (
+          select 0 as batch, p.* from pages_ p, unnest(case when request_entity % 5 = 0 then [1, 2] else [1] end) where not is_late and not lost
+          union all select 1, p.* from pages_ p where is_late
+          union all select 1, p.* from pages_ p where request_entity % 5 = 0 and request_entity % 11 <> 0)
+        select batch, (select count(*) from landed l where l.batch = runs.batch) as pages,
+          (select count(*) from landed l join settled s using (request_entity, request_year) where l.batch = runs.batch and s.run < l.batch) as late,
+          cast(coalesce((select sum(stop - 1) from settled where run = batch), 0) as bigint) as rows,
+          (select count(*) from settled where run = batch) + case when batch = 0 then gone else 0 end as done,
+          case when batch = 0 then gone else 0 end as failed, cast(0 as bigint) as broken
+        from runs, (select count(*) as gone from entity where entity_id % 13 = 1)""",
+    "merge_drifting": """select o_orderkey, o_custkey, cast(o_orderkey as varchar) as code, strftime(o_orderdate, '%Y-%m-%d') as day,
+          cast(o_custkey as double) as measure, o_custkey as only_old from orders where o_orderstatus = 'O'
+        union all select o_orderkey, o_custkey, 'N/' || o_orderkey, strftime(o_orderdate, '%d.%m.%Y'), o_totalprice, null
+        from orders where o_orderstatus <> 'O'""",
     "complete_requests": f"""with {PAGES} select distinct request_entity as entity_id, request_year as yr
         from pages_ where is_empty""",
     "resolve_key": """select c_custkey as entity_id, c_name from customer

@@ -160,6 +160,59 @@ def ingest_pages(t: Tables) -> DataFrame:
     return rows.select("entity_id", "yr", "id", "total", "status")
 
 
+def _landed(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Pages of two landings. Page 2 of every third entity comes late, page 1 of every
+    eleventh entity with more pages never comes, every fifth entity's pages land twice, some requests are given up."""
+    entity, page = F.col("request_entity"), F.col("page")
+    sent = t.pages().withColumn("error", F.lit(None).cast("string"))
+    given_up = t.entities().where("entity_id % 13 = 1").select(
+        F.col("entity_id").alias("request_entity"), F.lit(2050).alias("request_year"), F.lit("timeout").alias("error"))
+    late = (entity % 3 == 0) & (page == 2)
+    first = sent.where(~late & ~((entity % 11 == 0) & (page == 1)))
+    again = sent.where((entity % 5 == 0) & (entity % 11 != 0))
+    return first.unionAll(first.where(entity % 5 == 0)).unionByName(given_up, True), sent.where(late).unionAll(again)
+
+
+def _ingested(t: Tables) -> ingest.PageStore:
+    """Both landings taken by a run each, then a run that finds nothing new."""
+    landing, store = scratch_path(t.spark, "landing"), scratch_path(t.spark, "store")
+    row = t.pages().schema["dados"].dataType.elementType
+    for pages_ in _landed(t):
+        pages_.write.mode("append").json(landing)
+        ingest.ingest_dataset(t.spark, landing, store, row)
+    return ingest.ingest_dataset(t.spark, landing, store, row)
+
+
+@query
+def ingest_resumed(t: Tables) -> DataFrame:
+    return _ingested(t).read("rows").select("entity_id", "yr", "id", "total", "status", F.col("batch").alias("run"))
+
+
+@query
+def ingest_done(t: Tables) -> DataFrame:
+    return _ingested(t).read("done").select("entity_id", "yr", "rows", "failed", F.col("batch").alias("run"))
+
+
+@query
+def ingest_ledger(t: Tables) -> DataFrame:
+    return _ingested(t).ledger()
+
+
+@query
+def merge_drifting(t: Tables) -> DataFrame:
+    """Columns that change their type between batches: integer and long, number and text, date and text, long and double."""
+    rows = t.raw("orders")
+    old = rows.where("o_orderstatus = 'O'").select(
+        "o_orderkey", F.col("o_custkey").cast("int").alias("o_custkey"), F.col("o_orderkey").alias("code"),
+        F.to_date("o_orderdate").alias("day"), F.col("o_custkey").alias("measure"), F.col("o_custkey").alias("only_old"),
+    )
+    new = rows.where("o_orderstatus <> 'O'").select(
+        "o_orderkey", "o_custkey", F.concat(F.lit("N/"), F.col("o_orderkey")).alias("code"),
+        F.date_format("o_orderdate", "dd.MM.yyyy").alias("day"), F.col("o_totalprice").alias("measure"),
+    )
+    return worklist.merge_batches(old, new)
+
+
 @query
 def complete_requests(t: Tables) -> DataFrame:
     return pages.complete_requests(t.pages())

@@ -1,4 +1,4 @@
-"""The pipeline as four jobs that talk through stored tables, as the stages of the source pipeline do.
+"""The pipeline as five jobs that talk through stored tables, as the stages of the source pipeline do.
 
 Folder ``raw`` holds entities, expenses, items and events (Parquet, else CSV), under either the source's
 column names or the engine's. Folder ``out`` receives everything else.
@@ -6,21 +6,24 @@ column names or the engine's. Folder ``out`` receives everything else.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.numbers import coerce_number
 from ..functions.text import DEFAULT_CATEGORY, EXPENSE_RULES, Rules, categories_of
 from ..operators import cluster, groups, hierarchy, ranking, stats
 from ..operators.clean import (
-    categorise_expenses, clean_entities, clean_events, clean_expenses, clean_items, fill_zero, pick_time_column,
+    categorise_expenses, clean_entities, clean_events, clean_expenses, clean_items, fill_zero, pick_time_column, resolve_key,
 )
 from ..operators.order_stats import melt_metrics
 from ..operators.totals import category_totals
 from ..sources.files import read_optional, read_preferred, read_table, write_report, write_table
 from ..sources.regions import read_regions, region_centroids, region_distances
 from ..sources.schemas import to_canonical, to_source_names
+from ..sources.worklist import build_worklist, mark_done, merge_batches, pending_work, union_entities
+from ..streaming.ingest import ingest_dataset
 from .tables import master_table, modelling_table, prepared_master
 
 CLEANERS = {
@@ -35,6 +38,37 @@ def _store(df: DataFrame, path: str, csv: bool = False, partition_by: tuple[str,
         write_table(df, f"{path}.csv", "csv")
 
 
+def ingest_job(spark: SparkSession, landing: str, out: str, name: str, row: T.StructType | None = None,
+               entities: list[str] = (), years: list[int] = (), rule: str = "empty") -> None:
+    """New page files of a dataset to its raw table, its done keys, its failures and what is still to be asked for.
+
+    ``row`` is the type of a record; without it, it is taken from the pages that have landed and kept for later runs.
+    ``entities`` are tables of entities, the earliest term first; with ``years`` they make the worklist. Records of an
+    earlier raw table that was not ingested (``raw/name_before``) come first.
+    """
+    base = f"{out}/ingest/{name}"
+    if row is None:
+        stored = read_optional(spark, f"{base}_row.csv")
+        if stored is None:
+            row = spark.read.json(landing).schema["dados"].dataType.elementType
+            write_table(spark.createDataFrame([(row.json(),)], "row string"), f"{base}_row.csv", "csv")
+        else:
+            row = T.StructType.fromJson(json.loads(stored.first()["row"]))
+    store = ingest_dataset(spark, landing, base, row, rule)
+    rows = store.read("rows").drop("batch")
+    before = read_optional(spark, f"{out}/raw/{name}_before.parquet")
+    write_table(rows if before is None else merge_batches(before, rows), f"{out}/raw/{name}.parquet")
+    write_table(store.read("failures"), f"{base}_failures.parquet")
+    write_report(store.ledger().orderBy("batch"), f"{base}_ledger.json")
+    earlier = read_optional(spark, f"{base}_done_before.parquet")
+    done = store.done() if earlier is None else mark_done(earlier, store.done())
+    write_table(done, f"{base}_done.parquet")
+    if entities and years:
+        listed = union_entities(*[to_canonical(resolve_key(read_table(spark, path))) for path in entities])
+        todo = pending_work(build_worklist(listed, list(years)), read_table(spark, f"{base}_done.parquet"))
+        write_table(todo, f"{base}_pending.parquet")
+
+
 def clean_job(spark: SparkSession, raw: str, out: str, regions: str | None = None,
               source_names: bool = False) -> None:
     """Raw tables to clean tables and the modelling table.

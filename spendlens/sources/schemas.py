@@ -4,28 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, types as T
 
-ENTITY = T.StructType([
-    T.StructField("entity_id", T.LongType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("grp", T.StringType()),
-    T.StructField("region", T.StringType()),
-])
-EXPENSE = T.StructType([
-    T.StructField("entity_id", T.LongType()),
-    T.StructField("yr", T.IntegerType()),
-    T.StructField("amount", T.DoubleType()),
-    T.StructField("kind", T.StringType()),
-])
-ITEM = T.StructType([
-    T.StructField("entity_id", T.LongType()),
-    T.StructField("item_id", T.LongType()),
-    T.StructField("yr", T.IntegerType()),
-])
-EVENT = T.StructType([
-    T.StructField("entity_id", T.LongType()),
-    T.StructField("event_id", T.LongType()),
-    T.StructField("yr", T.IntegerType()),
-])
 DONE_KEYS = T.StructType([
     T.StructField("entity_id", T.LongType()),
     T.StructField("yr", T.IntegerType()),
