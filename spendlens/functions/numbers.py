@@ -70,12 +70,69 @@ def exact_money(col: Column) -> Column:
     return col.cast("double").cast("decimal(38,18)")
 
 
-def sum_money(col: Column) -> Column:
-    """Exact sum of the amounts as given, so the result does not depend on partition order; double at the end.
+MICRO, NANO = 1_000_000, 1_000_000_000
+#: Amounts below this many units are split into limbs; larger ones are added as doubles.
+LARGEST = 1e12
+LIMBS = ("w", "f", "r", "big")
+
+
+def whole(a: Column, b: int) -> Column:
+    return F.call_function("div", a, F.lit(b).cast("bigint"))
+
 
-    Amounts and sums from 1e20 on raise an overflow error.
+def money_limbs(col: Column, micros: Column | None = None) -> dict[str, Column]:
+    """An amount as whole units and two groups of nine decimals, all integers, so that sums are exact in any order.
+
+    An amount that is the closest double to a number of millionths, as nearly all are, takes integer arithmetic only;
+    others go through their decimal digits. Amounts from 1e12 on stay doubles (``big``). ``micros`` is ``rint`` of the
+    amount times a million, where the caller has it as a column.
+    """
+    x = col.cast("double")
+    micros = F.rint(x * MICRO) if micros is None else micros
+    small = (F.abs(x) < 9e9) & (micros / MICRO == x)
+    units, other = micros.try_cast("bigint"), F.abs(x) < LARGEST
+    digits = exact_money(x)
+    rest = ((digits % 1).cast("decimal(18,18)") * F.lit(10**18).cast("decimal(19,0)")).cast("bigint")
+    return {
+        "w": F.when(small, whole(units, MICRO)).when(other, digits.cast("bigint")),
+        "f": F.when(small, units % MICRO * 1000).when(other, whole(rest, NANO)),
+        "r": F.when(~small & other, rest % NANO),
+        "big": F.when(~other, x),
+    }
+
+
+def add_limbs(limbs: dict[str, Column]) -> Column:
+    """The double closest to the sum of all amounts whose limbs these columns hold; NULL for none.
+
+    A sum of millionths below 2 ** 53 of them takes one division; others are put together as a decimal. A group of
+    more than some 10 ** 10 amounts raises an overflow error.
     """
-    return F.sum(exact_money(col)).cast("double")
+    w, f, r, big = (F.sum(limbs[name]) for name in LIMBS)
+    f, r = F.coalesce(f, F.lit(0)), F.coalesce(r, F.lit(0))
+    plain = (r == 0) & (f % 1000 == 0) & (F.abs(w) < 4_000_000_000) & (F.abs(f) < 4_000_000_000 * NANO)
+    exact = lambda c, places: (c.cast("decimal(19,0)") * F.lit(f"1e-{places}").cast(f"decimal(18,{places})")).cast("decimal(38,18)")
+    total = F.when(plain, (w * MICRO + whole(f, 1000)) / MICRO).otherwise(
+        (w.cast("decimal(38,18)") + exact(f, 9) + exact(r, 18)).cast("double"))
+    return F.when(big.isNull(), total).otherwise(F.coalesce(total, F.lit(0.0)) + big)
+
+
+def sum_money(col: Column) -> Column:
+    """Exact sum of the amounts as given, so the result does not depend on partition order; double at the end."""
+    return add_limbs(money_limbs(col))
+
+
+def with_limbs(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` with the limbs of money columns, worked out once for any number of sums (``sum_limbs``)."""
+    df = df.withColumns({f"__{n}_micros": F.rint(F.col(n).cast("double") * MICRO) for n in names})
+    return df.withColumns({
+        f"__{n}_{limb}": c for n in names for limb, c in money_limbs(F.col(n), F.col(f"__{n}_micros")).items()
+    })
+
+
+def sum_limbs(name: str, where: Column | None = None) -> Column:
+    """``sum_money`` of a column that ``with_limbs`` was given, over the rows where ``where`` holds."""
+    limbs = {limb: F.col(f"__{name}_{limb}") for limb in LIMBS}
+    return add_limbs(limbs if where is None else {limb: F.when(where, c) for limb, c in limbs.items()})
 
 
 def mean_money(col: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.numbers import sum_money
+from ..functions.numbers import sum_limbs, with_limbs
 from ..functions.text import DEFAULT_CATEGORY, category_column, categories_of
 from .filters import drop_null_key
 
@@ -17,8 +17,8 @@ def listed(column: str, values: list[str], default: str | None) -> Column:
 
 
 def category_sum(value: str, column: str, amount: str) -> Column:
-    """Sum of ``amount`` over the rows where ``column`` is ``value``; 0 for none."""
-    return F.coalesce(sum_money(F.when(F.col(column) == value, F.col(amount))), F.lit(0.0))
+    """Sum of ``amount`` (see ``with_limbs``) over the rows where ``column`` is ``value``; 0 for none."""
+    return F.coalesce(sum_limbs(amount, F.col(column) == value), F.lit(0.0))
 
 
 def expense_totals(expenses: DataFrame, categories: list[str] | None = None,
@@ -33,15 +33,15 @@ def expense_totals(expenses: DataFrame, categories: list[str] | None = None,
         expenses = expenses.withColumn("category", listed("category", categories, default))
     counted = F.lit(1) if count_rows else F.col("amount_pos")
     aggregates = [
-        F.coalesce(sum_money(F.col("amount_pos")), F.lit(0.0)).alias("spend_total"),
-        F.coalesce(sum_money(F.col("amount")), F.lit(0.0)).alias("spend_net"),
+        F.coalesce(sum_limbs("amount_pos"), F.lit(0.0)).alias("spend_total"),
+        F.coalesce(sum_limbs("amount"), F.lit(0.0)).alias("spend_net"),
         F.count(counted).alias("expense_count"),
         F.count_if(F.col("is_refund")).alias("refund_count"),
     ]
     aggregates += [
         category_sum(c, "category", "amount_pos").alias(category_column(c)) for c in categories or []
     ]
-    return drop_null_key(expenses).groupBy("entity_id").agg(*aggregates)
+    return with_limbs(drop_null_key(expenses), "amount_pos", "amount").groupBy("entity_id").agg(*aggregates)
 
 
 def count_refunds(expenses: DataFrame) -> DataFrame:
@@ -64,7 +64,7 @@ def pivot_sum(df: DataFrame, keys: list[str], column: str, values: list[str], am
     One conditional sum per value: a single shuffle by ``keys``, where ``pivot`` would first group by
     (keys, column) and then again by keys.
     """
-    df = df.withColumn(column, listed(column, values, default))
+    df = with_limbs(df.withColumn(column, listed(column, values, default)), amount)
     return df.groupBy(*keys).agg(*[category_sum(v, column, amount).alias(v) for v in values])
 
 
@@ -78,8 +78,8 @@ def category_pivot(expenses: DataFrame, categories: list[str] | None = None,
 
 def category_totals(expenses: DataFrame) -> DataFrame:
     """Spend per category, smallest first."""
-    totals = drop_null_key(expenses, "category").groupBy("category").agg(
-        F.coalesce(sum_money(F.col("amount_pos")), F.lit(0.0)).alias("spend")
+    totals = with_limbs(drop_null_key(expenses, "category"), "amount_pos").groupBy("category").agg(
+        F.coalesce(sum_limbs("amount_pos"), F.lit(0.0)).alias("spend")
     )
     return totals.orderBy("spend", "category")
 
@@ -90,6 +90,6 @@ def entity_spend(expenses: DataFrame, *dims: str) -> DataFrame:
     The marts start here: facts shrink to at most one row per entity and dimension value before any
     join, so a hot entity is gone by then.
     """
-    return drop_null_key(expenses).groupBy("entity_id", *dims).agg(
-        F.coalesce(sum_money(F.col("amount_pos")), F.lit(0.0)).alias("spend")
+    return with_limbs(drop_null_key(expenses), "amount_pos").groupBy("entity_id", *dims).agg(
+        F.coalesce(sum_limbs("amount_pos"), F.lit(0.0)).alias("spend")
     )

@@ -156,3 +156,26 @@ def test_money_sums_keep_parts_of_a_cent(spark, spread):
     more = spark.createDataFrame([(2, 0.1), (2, 0.2), (2, 1234567.895), (2, -0.0000001), (3, 9e18), (4, None)], "k int, v double")
     sums = small.unionByName(more).groupBy("k").agg(numbers.sum_money(F.col("v")), numbers.mean_money(F.col("v")))
     assert rows(sums, "k") == [(1, 4.0, 0.004), (2, 1234568.1949999, 308642.048749975), (3, 9e18, 9e18), (4, None, None)]
+
+
+def test_money_sums_are_exact_in_any_order(spark):
+    from decimal import Decimal
+    import random
+
+    draw = random.Random(4)
+    amounts = [draw.choice([round(draw.uniform(-9e5, 9e5), 2), draw.uniform(-1, 1), draw.uniform(-1e8, 1e8), 0.1, 0.004, 1e-9, -0.3, 8.5e9, 123456789012.25, 1e-18, 0.0])
+               for _ in range(3000)]
+    df = spark.createDataFrame([(k % 7, x) for k, x in enumerate(amounts)], "k int, x double").repartition(5)
+    want = {g: float(sum(Decimal(repr(x)) for x in amounts[g::7])) for g in range(7)}
+    assert dict(df.groupBy("k").agg(numbers.sum_money(F.col("x"))).collect()) == want
+    limbs = numbers.with_limbs(df, "x").groupBy("k").agg(numbers.sum_limbs("x"))
+    assert dict(limbs.collect()) == want
+    part = numbers.with_limbs(df, "x").groupBy("k").agg(numbers.sum_limbs("x", F.col("x") > 0))
+    assert dict(part.collect()) == {g: float(sum(Decimal(repr(x)) for x in amounts[g::7] if x > 0)) for g in range(7)}
+
+
+def test_one_huge_amount_ends_no_job(spark):
+    df = spark.createDataFrame([(1e20,), (2.5,), (-3e300,), (None,)], "x double")
+    assert df.agg(numbers.sum_money(F.col("x"))).first()[0] == -3e300
+    assert df.where("x is null").agg(numbers.sum_money(F.col("x"))).first()[0] is None
+    assert df.where("x = 2.5").agg(numbers.sum_money(F.col("x"))).first()[0] == 2.5
