@@ -1,9 +1,9 @@
 """Exact order statistics without a single-task window.
 
-Rows are sorted over all tasks (range partitions, sampled bounds). A row's global position is its index
-inside its partition plus the sizes of the partitions before it. Quantiles and bands read the few
-positions they need, so no group is ever gathered in one task or in one aggregation buffer. Large
-tables are first narrowed to the rows near those positions.
+Quantiles and bands read the few positions they need. A sketch of each group's values brackets each position, one more
+pass counts exactly what lies below, on and inside the brackets, and the values inside are read when they are few;
+else they are bracketed again, which leaves a fiftieth of them each time. So no group is gathered in one task, nothing
+is sorted as a whole, and small and large tables take the same way.
 """
 
 from __future__ import annotations
@@ -11,15 +11,16 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.numbers import INFINITY
-from ..session import materialize
-from .joins import lookup_join
+from ..session import discard, materialize
 
 ROW_BITS = 33  # monotonically_increasing_id keeps the index inside the partition in the low 33 bits
-SORT_ROWS = 20_000_000  # up to here all rows are sorted; beyond, only those near the wanted positions
-ACCURACY = 1000  # ranks of the approximate pass are right to 1 / ACCURACY of the rows
+READ = 20_000  # values inside a bracket that are read together
+ACCURACY = 2000  # size of a sketch; its ranks are right to about a quarter of a per cent of the rows
+STEPS = 100  # equal steps of rank at which a sketch is asked for its values
+MARGIN = 1  # steps beyond the two around a wanted rank that its bracket takes in
 
 
 def with_positions(df: DataFrame, order: list) -> DataFrame:
@@ -49,130 +50,111 @@ def melt_metrics(df: DataFrame, metrics: list[str], keep: list[str] = ()) -> Dat
     return cast.unpivot(list(keep), metrics, "metric", "value").where(F.abs("value") < F.lit(INFINITY))
 
 
-Wanted = list[tuple[str, float, Column]]  # label, share of the rows below, position in terms of ``n``
+Wanted = list[tuple[str, str, Column]]  # label, its bracket, 0-based position in terms of ``n``
 
 
-def select_ranks(long: DataFrame, rows: int, by: list[str], wanted: Wanted, key: str) -> DataFrame:
-    """``by..., n`` and, per label, the exact value at the wanted 0-based position of the group.
+def select_ranks(long: DataFrame, by: list[str], wanted: Wanted, key: str | None = None) -> DataFrame:
+    """``by..., n`` and, per label, the exact value at the wanted 0-based position of the group; stored.
 
-    ``long`` holds ``by..., value`` and a unique ``key``, at most ``rows`` rows of them. Up to
-    ``SORT_ROWS`` rows are simply sorted.
-    Beyond that an approximate pass brackets each position first, and only the rows inside the
-    brackets are sorted: a few scans instead of a shuffle of everything.
+    ``long`` holds ``by..., value`` without NULLs. Labels that share a bracket are neighbours. With ``key``, positions
+    go by value and then key, and ``label_key`` is the key at the position, or NULL where the value is an end of its
+    bracket, which many rows may share.
     """
-    if rows > SORT_ROWS:
-        narrow = _ranks_in_brackets(long, by, wanted, key)
-        if narrow is not None:
-            return narrow
-    return _ranks_by_sort(long, by, wanted, key)
-
-
-def _ranks_by_sort(long: DataFrame, by: list[str], wanted: Wanted, key: str) -> DataFrame:
-    ranked = with_positions(long.select(*by, "value", key), [*by, "value", key])
-    # One row per group, stored so that Spark knows its size when it joins on it below.
-    bounds = materialize(ranked.groupBy(*by).agg(
-        F.min("__pos").alias("start"), F.count(F.lit(1)).alias("n")
-    ), "bounds")
-    targets = bounds.select(*[F.col(c).alias(f"__{c}") for c in by], "n", F.explode(F.array(*[
-        F.struct(F.lit(label).alias("label"), (F.col("start") + position).alias("pos")) for label, _, position in wanted
-    ])).alias("w")).select(*[f"__{c}" for c in by], "n", "w.label", F.col("w.pos").alias("__pos"))
-    hits = ranked.select("__pos", "value").join(targets, "__pos")
-    wide = hits.groupBy(*[f"__{c}" for c in by], "n").agg(*[
-        F.max(F.when(F.col("label") == label, F.col("value"))).alias(label) for label, _, _ in wanted
-    ])
-    return wide.withColumnsRenamed({f"__{c}": c for c in by})
-
-
-def _ranks_in_brackets(long: DataFrame, by: list[str], wanted: Wanted, key: str) -> DataFrame | None:
-    """As ``_ranks_by_sort``, sorting only the rows strictly inside a bracket around each position.
-
-    Bracket ends come from ``percentile_approx`` a little below and above the wanted share. Exact
-    counts then tell where a position falls: on the lower end, inside, or on the upper end. Values
-    repeated at an end are only counted. ``None`` if some bracket missed its position.
-    """
-    slack = 2 / ACCURACY
-    shares = sorted({p for _, p, _ in wanted})
-    edges = [e for p in shares for e in (max(p - slack, 0.0), min(p + slack, 1.0))]
-    sketch = long.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), F.percentile_approx("value", edges, ACCURACY).alias("q")
+    whole = isinstance(long.schema["value"].dataType, T.IntegralType)
+    sketch, quantile = (
+        (F.kll_sketch_agg_bigint, F.kll_sketch_get_quantile_bigint) if whole
+        else (F.kll_sketch_agg_double, F.kll_sketch_get_quantile_double)
     )
-    low = lambda p: F.col(f"lo{shares.index(p)}")
-    high = lambda p: F.col(f"hi{shares.index(p)}")
-    brackets = materialize(sketch.select(*by, "n", *[
-        F.col("q")[2 * i + side].alias(f"{name}{i}") for i in range(len(shares)) for side, name in enumerate(("lo", "hi"))
+    value = F.col("value").cast("bigint" if whole else "double")
+    lowest, highest = (F.lit(x).cast("bigint" if whole else "double") for x in ((-(2**63), 2**63 - 1) if whole else (-INFINITY, INFINITY)))
+    long = long.select(*by, value.alias("value"), *([key] if key else []))
+    brackets = list(dict.fromkeys(name for _, name, _ in wanted))
+    places = {name: [p for _, other, p in wanted if other == name] for name in brackets}
+    ranks = F.array(*[F.lit(k / STEPS) for k in range(STEPS + 1)])
+    grid = lambda column: sketch(column, ACCURACY)
+    around = lambda share: {
+        "lo": F.greatest(F.floor(share * STEPS) - MARGIN, F.lit(0)), "hi": F.least(F.ceil(share * STEPS) + MARGIN, F.lit(STEPS))}
+    shared = lambda place, size: place / F.greatest(size - 1, F.lit(1))
+    ends = [F.col(f"{b}_{end}") for b in brackets for end in ("lo", "hi")]
+    first = long.groupBy(*by).agg(F.count("value").alias("n"), grid("value").alias("sketch"))
+    first = first.select(*by, "n", quantile("sketch", ranks).alias("grid"))
+    state = materialize(first.select(*by, "n", *[
+        F.get("grid", step.cast("int")).alias(f"{b}_{end}") for b in brackets for end, step in around(shared(places[b][0], F.col("n"))).items()
     ]), "brackets")
-    placed = lookup_join(long.select(*by, "value", key), brackets, by, "inner")
-    value = F.col("value")
-    inside = {p: (value > low(p)) & (value < high(p)) for p in shares}
-    ends = [f"{name}{i}" for i in range(len(shares)) for name in ("lo", "hi")]
-    counts = materialize(placed.groupBy(*by, "n", *ends).agg(*[
-        F.count_if(test).alias(f"{name}{i}") for i, p in enumerate(shares) for name, test in (
-            ("below", value < low(p)), ("at_lo", value == low(p)), ("within", inside[p]),
-            ("at_hi", (value == high(p)) & (high(p) > low(p))),
-        )
-    ]), "counts")
-    rest = lambda position, i: position - F.col(f"below{i}") - F.col(f"at_lo{i}")
-    found = [
-        (F.col(f"below{i}") <= position) & (rest(position, i) < F.col(f"within{i}") + F.col(f"at_hi{i}"))
-        for i, position in ((shares.index(p), position) for _, p, position in wanted)
-    ]
-    if counts.where(~reduce(and_, found)).limit(1).count():
-        return None
-    rows = placed.select(*by, "value", key, F.explode(F.filter(
-        F.array(*[F.when(inside[p], F.lit(i)) for i, p in enumerate(shares)]), lambda i: i.isNotNull()
-    )).alias("bracket"))
-    ranked = with_positions(rows, [*by, "bracket", "value", key])
-    starts = materialize(ranked.groupBy(*by, "bracket").agg(F.min("__pos").alias("start")), "starts")
-    targets = reduce(DataFrame.unionByName, [
-        counts.where(rest(position, i).between(0, F.col(f"within{i}") - 1)).select(
-            *by, F.lit(i).alias("bracket"), F.lit(label).alias("label"), rest(position, i).alias("offset"))
-        for label, i, position in ((label, shares.index(p), position) for label, p, position in wanted)
-    ]).join(starts, [*by, "bracket"]).select(
-        *[F.col(c).alias(f"__{c}") for c in by], "label", (F.col("start") + F.col("offset")).alias("__pos")
-    )
-    hits = ranked.select("__pos", "value").join(targets, "__pos").groupBy(*[f"__{c}" for c in by]).agg(*[
-        F.max(F.when(F.col("label") == label, F.col("value"))).alias(f"__{label}") for label, _, _ in wanted
-    ]).withColumnsRenamed({f"__{c}": c for c in by})
-
-    def pick(label: str, p: float, position: Column) -> Column:
-        i = shares.index(p)
-        return F.when(rest(position, i) < 0, low(p)).when(
-            rest(position, i) < F.col(f"within{i}"), F.col(f"__{label}")
-        ).otherwise(high(p)).alias(label)
-
-    return counts.join(hits, by, "left").select(*by, "n", *[pick(*w) for w in wanted])
+    share = 2 * (MARGIN + 2) / STEPS  # of its rows that a bracket leaves, with room for the sketch's error
+    most = share * (state.agg(F.max("n")).first()[0] or 0)
+    while True:
+        reading = most <= READ
+        parts = []
+        for b in brackets:
+            low, high = F.col(f"{b}_lo"), F.col(f"{b}_hi")
+            inside = F.when((F.col("value") > low) & (F.col("value") < high), F.struct("value", key) if key else F.col("value"))
+            inner = F.when((F.col("value") > low) & (F.col("value") < high), F.col("value"))
+            held = F.collect_list(inside) if reading else grid(inner)
+            parts += [
+                F.count_if(F.col("value") < low).alias(f"{b}_below"), F.count_if(F.col("value") == low).alias(f"{b}_at"),
+                F.count(inner).alias(f"{b}_within"),
+                F.count_if((F.col("value") == high) & (high > low)).alias(f"{b}_end"),
+                held.alias(f"{b}_held"),
+            ]
+        counts = materialize(long.join(state, by).groupBy(*by, "n", *ends).agg(*parts), "counts")
+        rest = {b: [p - F.col(f"{b}_below") - F.col(f"{b}_at") for p in places[b]] for b in brackets}
+        found = {
+            b: reduce(and_, [(F.col(f"{b}_below") <= p) & (r < F.col(f"{b}_within") + F.col(f"{b}_end")) for p, r in zip(places[b], rest[b])])
+            for b in brackets
+        }
+        if reading and counts.where(~reduce(and_, found.values())).isEmpty():
+            break
+        # brackets that missed their position start again from all values; large ones are narrowed
+        moved, left = [], [F.lit(0.0)]
+        for b in brackets:
+            size, large = F.col(f"{b}_within"), F.lit(not reading) & (F.col(f"{b}_within") > READ)
+            steps = around(shared(F.greatest(F.lit(0), F.least(rest[b][0], size - 1)), size))
+            stays = {"lo": F.least(rest[b][0], *rest[b]) < 0, "hi": F.greatest(rest[b][0], *rest[b]) >= size}
+            for end, edge in (("lo", lowest), ("hi", highest)):
+                close = F.col(f"{b}_{end}")
+                if not reading:
+                    close = F.when(large & ~stays[end], F.get(quantile(f"{b}_held", ranks), steps[end].cast("int"))).otherwise(close)
+                moved.append(F.when(found[b], close).otherwise(edge).alias(f"{b}_{end}"))
+            left.append(F.when(~found[b], F.col("n")).when(large, share * size).otherwise(0.0))
+        most = counts.agg(F.max(F.greatest(*left))).first()[0] or 0
+        new = materialize(counts.select(*by, "n", *moved), "brackets")
+        discard(state, counts)
+        state = new
+    picked = []
+    for label, b, position in wanted:
+        at = position - F.col(f"{b}_below") - F.col(f"{b}_at")
+        row = F.get(F.sort_array(f"{b}_held"), at.cast("int"))
+        read = (at >= 0) & (at < F.col(f"{b}_within"))
+        edge = F.when(at < 0, F.col(f"{b}_lo")).otherwise(F.col(f"{b}_hi"))
+        picked.append(F.when(read, row["value"] if key else row).otherwise(edge).alias(label))
+        if key:
+            picked.append(F.when(read, row[key]).alias(f"{label}_key"))
+    return counts.select(*by, "n", *picked)
 
 
 def quantiles(df: DataFrame, metrics: list[str], probs: dict[str, float], by: list[str] = (),
-              key: str = "entity_id", approx: bool = False) -> DataFrame:
+              key: str = "entity_id") -> DataFrame:
     """``by..., metric, n`` and one column per named probability (linear interpolation).
 
-    Groups with a NULL key are left out. ``approx`` trades exactness for a single aggregation.
+    Groups with a NULL key are left out.
     """
     by = list(by)
-    # The metric travels as its number; sorting and shuffling names would cost more than the values.
+    # The metric travels as its number; shuffling names would cost more than the values.
     values = F.posexplode(F.array(*[F.col(m).cast("double") for m in metrics])).alias("__metric", "value")
-    long = df.select(*by, key, values).where(F.abs("value") < F.lit(INFINITY))
+    long = df.select(*by, values).where(F.abs("value") < F.lit(INFINITY))
     for column in by:
         long = long.where(F.col(column).isNotNull())
-    groups = [*by, "__metric"]
-    if approx:
-        wide = long.groupBy(*groups).agg(
-            F.count("value").alias("n"),
-            *[F.percentile_approx("value", p, 10_000).alias(name) for name, p in probs.items()],
-        )
-    else:
-        place = {name: F.lit(float(p)) * (F.col("n") - 1) for name, p in probs.items()}
-        ranks = select_ranks(long, df.count() * len(metrics), groups, [
-            (f"{name}_{side}", float(p), rounding(place[name]).cast("bigint"))
-            for name, p in probs.items() for side, rounding in (("floor", F.floor), ("ceil", F.ceil))
-        ], key)
-        wide = ranks.select(*groups, "n", *[
-            (F.col(f"{name}_floor") + (F.col(f"{name}_ceil") - F.col(f"{name}_floor"))
-             * (place[name] - F.floor(place[name]))).alias(name) for name in probs
-        ])
+    place = {name: F.lit(float(p)) * (F.col("n") - 1) for name, p in probs.items()}
+    wide = select_ranks(long, [*by, "__metric"], [
+        (f"{name}_{side}", name, rounding(place[name]).cast("bigint"))
+        for name in probs for side, rounding in (("floor", F.floor), ("ceil", F.ceil))
+    ])
     named = F.element_at(F.array(*[F.lit(m) for m in metrics]), F.col("__metric") + 1)
-    return wide.select(*by, named.alias("metric"), "n", *probs)
+    return wide.select(*by, named.alias("metric"), "n", *[
+        (F.col(f"{name}_floor") + (F.col(f"{name}_ceil") - F.col(f"{name}_floor")) * (place[name] - F.floor(place[name]))).alias(name)
+        for name in probs
+    ])
 
 
 # Labels of the four spend bands, lowest first, and the label of a lone entity.
@@ -182,55 +164,48 @@ SINGLE_BAND = "Única"
 
 def spend_band(df: DataFrame, value: str = "spend_total", key: str = "entity_id",
                labels: list[str] = BAND_LABELS, single: str = SINGLE_BAND) -> DataFrame:
-    """Adds ``band_no`` and ``spend_band``: equal-count bands by rank of ``value``, ties by key.
+    """Adds ``band_no`` and ``spend_band``: equal-count bands by rank of ``value`` (NULL lowest), ties by key.
 
     With bands 1..B and n rows, rank r falls in band ``max(1, ceil(B (r-1) / (n-1)))``; so band b ends
     at rank ``floor(b (n-1) / B) + 1``. The B-1 rows at those ranks are the cut points, and every row
     compares itself with them where it is.
     """
     bands = len(labels)
-    rows = df.select(value, key)
-    n = rows.count()
-    if n < 2:
+    number = F.col(value).cast("double")
+    number = F.when(number.isNull(), F.lit(-INFINITY)).when(F.isnan(number), F.lit(INFINITY)).otherwise(number)
+    cuts = _cuts(df.select(number.alias("value"), F.col(key).alias("key")), bands)
+    if cuts is None:
         return df.withColumns({"band_no": F.lit(1), "spend_band": F.lit(single)})
-    ends = [b * (n - 1) // bands for b in range(1, bands)]
-    number = F.lit(1)
-    for cut_value, cut_key in _rows_at(rows, value, key, ends, n):
-        cut = F.struct(F.lit(cut_value).alias(value), F.lit(cut_key).alias(key))
-        number = number + F.when(F.struct(value, key) > cut, 1).otherwise(0)
+    place = F.lit(1)
+    for cut_value, cut_key in cuts:
+        above = (number > F.lit(cut_value)) | ((number == F.lit(cut_value)) & (F.col(key) > F.lit(cut_key)))
+        place = place + F.when(above, 1).otherwise(0)
     label = F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("band_no"))
-    return df.withColumn("band_no", number).withColumn("spend_band", label)
+    return df.withColumn("band_no", place).withColumn("spend_band", label)
 
 
-def _rows_at(rows: DataFrame, value: str, key: str, positions: list[int], n: int) -> list[tuple]:
-    """The (value, key) rows at a few positions of the order by value, then key.
+def _cuts(rows: DataFrame, bands: int) -> list[tuple] | None:
+    """The (value, key) rows that end bands 1 to ``bands`` - 1; ``None`` for fewer than two rows.
 
-    Beyond ``SORT_ROWS`` rows: the value at each position first, then the key among the rows that share
-    one of those values.
+    Where a cut's value is an end of its bracket, many rows may share it; its key is then looked for among
+    the keys of those rows.
     """
-    if n <= SORT_ROWS:
-        return _sorted_rows_at(rows, value, key, positions)
-    one = rows.select(F.lit(0).alias("__all"), F.col(value).alias("value"), F.col(key).alias("__key"))
-    wanted = [(f"c{i}", p / (n - 1), F.lit(p)) for i, p in enumerate(positions)]
-    picked = select_ranks(one, n, ["__all"], wanted, "__key").first()
-    cuts = sorted({picked[label] for label, _, _ in wanted})
-    counted = one.agg(*[F.count_if(test) for c in cuts for test in (F.col("value") < F.lit(c), F.col("value") == F.lit(c))])
-    numbers = counted.first()
-    below, size = dict(zip(cuts, numbers[::2])), dict(zip(cuts, numbers[1::2]))
-    places = [(c, p - below[c]) for c, p in zip((picked[label] for label, _, _ in wanted), positions)]
-    ties = one.where(F.col("value").isin(cuts))
-    if sum(size.values()) <= SORT_ROWS:
-        before = {c: sum(size[x] for x in cuts if x < c) for c in cuts}
-        return _sorted_rows_at(ties, "value", "__key", [before[c] + place for c, place in places])
-    out = []
-    for c, place in places:
-        keys = ties.where(F.col("value") == F.lit(c)).select("__all", F.col("__key").alias("value"), "__key")
-        share = place / max(size[c] - 1, 1)
-        out.append((c, select_ranks(keys, size[c], ["__all"], [("k", share, F.lit(place))], "__key").first()["k"]))
-    return out
-
-
-def _sorted_rows_at(rows: DataFrame, value: str, key: str, positions: list[int]) -> list[tuple]:
-    ranked = with_positions(rows.select(value, key), [value, key])
-    found = {r["__pos"]: (r[value], r[key]) for r in ranked.where(F.col("__pos").isin(positions)).collect()}
-    return [found[p] for p in positions]
+    position = {b: F.floor(F.lit(b) * (F.col("n") - 1) / bands) for b in range(1, bands)}
+    wanted = [(f"c{b}", f"b{b}", place) for b, place in position.items()]
+    found = select_ranks(rows.select(F.lit(0).alias("__all"), "*"), ["__all"], wanted, "key").first()
+    if found is None or found["n"] < 2:
+        return None
+    n, cuts = found["n"], [(found[f"c{b}"], found[f"c{b}_key"]) for b in range(1, bands)]
+    tied = sorted({v for v, k in cuts if k is None})
+    if not tied:
+        return cuts
+    below = rows.agg(*[F.count_if(F.col("value") < F.lit(v)) for v in tied]).first()
+    wanted_keys = [(i, v, b * (n - 1) // bands - below[tied.index(v)]) for i, (b, (v, k)) in enumerate(zip(range(1, bands), cuts)) if k is None]
+    for i, v, place in wanted_keys:
+        keys = rows.where(F.col("value") == F.lit(v)).select(F.lit(0).alias("__all"), F.col("key").alias("value"))
+        if isinstance(keys.schema["value"].dataType, T.IntegralType):
+            at = select_ranks(keys, ["__all"], [("k", "b", F.lit(place).cast("bigint"))]).first()["k"]
+        else:  # other keys have no sketch: they are sorted over all tasks
+            at = with_positions(keys, ["value"]).where(F.col("__pos") == place).first()["value"]
+        cuts[i] = (v, at)
+    return cuts
