@@ -114,8 +114,8 @@ def mark_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     Texts are equal when they are the same after deleting blanks, tabs and line ends; null counts as empty.
     The row with most code points in its original text stays, then the one with the smallest doc_id (null
-    last). Columns: doc_id, keep_id, group_size, kept, text_sha256. Rows that repeat both doc_id and text
-    cannot be told apart and carry the same answer; ``drop_copies`` keeps one of them. No rows give no rows.
+    last). Columns: doc_id, keep_id, group_size, kept, text_sha256. Of rows that share the doc_id that stays, only
+    those with as many code points are kept. Rows that repeat both cannot be told apart and carry the same answer; ``drop_copies`` keeps one of them. No rows give no rows.
 
     Fingerprints that the merged filter counts more than once go on to a grouping by the texts themselves,
     which first shrinks within each task, so a text held by a third of the rows is sent a few times only.
@@ -129,9 +129,10 @@ def mark_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     lengths = routed.groupBy(mark, norm, "n").agg(F.min("doc_id").alias("id"), F.count("*").alias("rows"))
     first = F.min(F.struct((-F.col("n")).alias("short"), F.col("id").isNull().alias("none"), "id")).alias("first")
     groups = lengths.groupBy(mark, norm).agg(F.sum("rows").alias("rows"), first).where("rows > 1").select(
-        F.col(mark).alias("g_print"), F.sha2(norm, 256).alias("g_sha"), "rows", F.col("first.id").alias("keep")
+        F.col(mark).alias("g_print"), F.sha2(norm, 256).alias("g_sha"), "rows", F.col("first.id").alias("keep"),
+        (-F.col("first.short")).alias("keep_n"),
     )
-    marked = rows.select("doc_id", F.col(mark).alias("print"), F.sha2(norm, 256).alias("text_sha256"))
+    marked = rows.select("doc_id", "n", F.col(mark).alias("print"), F.sha2(norm, 256).alias("text_sha256"))
     same = (F.col("print") == F.col("g_print")) & (F.col("text_sha256") == F.col("g_sha"))
     keep = F.when(F.col("rows").isNull(), F.col("doc_id")).otherwise(F.col("keep"))
     return (
@@ -139,7 +140,7 @@ def mark_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         .withColumn("keep_id", keep)
         .select(
             "doc_id", "keep_id", F.coalesce("rows", F.lit(1).cast("long")).alias("group_size"),
-            F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256",
+            (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n") == F.coalesce("keep_n", "n"))).alias("kept"), "text_sha256",
         )
     )
 

@@ -211,7 +211,7 @@ ORACLE = {
     "op3_exact_dedup": f"""
         with t as (select doc_id, length(coalesce(text, '')) as n, sha256({NORMALISED}) as sha from documents)
         select doc_id, first_value(doc_id) over w as keep_id, count(*) over (partition by sha) as group_size,
-               doc_id = first_value(doc_id) over w as kept, sha as text_sha256
+               doc_id is not distinct from first_value(doc_id) over w and n = first_value(n) over w as kept, sha as text_sha256
         from t window w as (partition by sha order by n desc, doc_id nulls last)
     """,
     "op10_benchmark_decontamination": r"""
