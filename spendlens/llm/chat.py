@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterable
 
 import pyarrow as pa
@@ -36,15 +37,22 @@ def plain(value: object) -> object:
 
 
 def parsed(text: str | None) -> object:
-    """The JSON value of a text; None if it is none (also NaN, infinities and JSON too deep to read)."""
+    """The JSON value of a text; None if it is none, or has no canonical form: NaN, infinities and numbers too large for
+    a double, halves of a surrogate pair, nesting too deep to read or write."""
 
     def refuse(name: str):
         raise ValueError(name)
 
+    def number(digits: str) -> float:
+        value = float(digits)
+        return value if math.isfinite(value) else refuse(digits)
+
     try:
-        return json.loads(text, parse_constant=refuse) if text else None
+        value = json.loads(text, parse_constant=refuse, parse_float=number) if text else None
+        canonical(value).encode()
     except (ValueError, RecursionError):
         return None
+    return value
 
 
 def violations(value: object, schema: dict, at: str = "") -> list[str]:
@@ -171,26 +179,31 @@ def linked(calls: DataFrame, results: DataFrame) -> DataFrame:
 def levels(rows: DataFrame) -> DataFrame:
     """Topological level of each named call: 0 without calls to wait for, else one more than the highest of those.
 
-    Identifiers that are no calls of the conversation are not waited for. Each round settles the calls whose
-    waits are over, in all conversations at once; calls in a cycle, or after one, are never settled and get no row.
-    Rounds are as many as the longest chain; no conversation is gathered in one place.
+    Identifiers that are no calls of the conversation are not waited for. Jumps of 1, 2, 4, ... waits are made of two
+    jumps of half their length; a call's level is then the sum of the jumps that it can make one after the other,
+    longest first. So the longest chain of n calls takes about 2 log n rounds, in all conversations at once. A path as
+    long as its conversation has calls means a cycle: calls in one, or after one, get no row.
     """
     calls = rows.where("call_id is not null and conv_id is not null and status != 'orphan'").select(*KEY, "after")
+    calls = materialize(calls, "calls")
     waits = calls.select(*KEY, F.explode(F.array_distinct("after")).alias("other"))
     known = calls.select("conv_id", F.col("call_id").alias("other"))
-    waits = materialize(waits.join(known, ["conv_id", "other"], "left_semi"), "waits")
-    now = calls.select(*KEY).join(waits.select(*KEY), KEY, "left_anti")
-    done = now.withColumn("level", F.lit(0))
-    level = 0
-    while not waits.isEmpty():
-        left = waits.join(now.select("conv_id", F.col("call_id").alias("other")), ["conv_id", "other"], "left_anti")
-        left = materialize(left, "waits")
-        level += 1
-        now = materialize(waits.select(*KEY).distinct().join(left.select(*KEY), KEY, "left_anti"), "settled")
-        if now.isEmpty():
-            break
-        done, waits = done.unionByName(now.withColumn("level", F.lit(level))), left
-    return done
+    jumps = [materialize(waits.join(known, ["conv_id", "other"], "left_semi"), "waits")]
+    sizes = calls.groupBy("conv_id").agg(F.count("*").alias("size"))
+    longest = sizes.agg(F.max("size")).first()[0] or 0
+    # a path of so many waits passes some call twice
+    while not jumps[-1].isEmpty() and 1 << len(jumps) - 1 < longest:
+        half = jumps[-1]
+        on = half.select("conv_id", F.col("call_id").alias("other"), F.col("other").alias("next"))
+        jumps.append(materialize(half.join(on, ["conv_id", "other"]).select(*KEY, F.col("next").alias("other")).distinct(), "jumps"))
+    endless = jumps[-1].select(*KEY).distinct()
+    at = calls.select(*KEY).join(endless, KEY, "left_anti").select(*KEY, F.col("call_id").alias("other"), F.lit(0).alias("level"))
+    for k in reversed(range(len(jumps) - 1)):
+        step = jumps[k].select("conv_id", F.col("call_id").alias("other"), F.col("other").alias("next"))
+        gone = at.join(step, ["conv_id", "other"]).select(*KEY, F.col("next").alias("other"), (F.col("level") + (1 << k)).alias("level"))
+        gone = materialize(gone.distinct(), "gone")
+        at = materialize(gone.unionByName(at.join(gone.select(*KEY).distinct(), KEY, "left_anti")), "levels")
+    return at.select(*KEY, "level").distinct()
 
 
 def formatted(rows: DataFrame, schemas: dict[str, dict]) -> DataFrame:
