@@ -56,8 +56,9 @@ class Memo(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.tokenizer = Tokenizer.from_str(text)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer, self.whole = Tokenizer.from_str(text), Tokenizer.from_str(text)
+        self.tokenizer.encode_special_tokens = True  # chunks are in lower case, where a special token's string may be none
+        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
 
     def learn(self, chunks: set[bytes]) -> None:
         """Encode unknown chunks, many in one call: a token belongs to the chunk that its first character is in."""
@@ -88,6 +89,13 @@ class Memo(dict):
                 self[chunk.encode()] = raw[4 * a : 4 * b]
 
 
+    def special_ids(self, text: str) -> bytes | None:
+        """The ids of a text that holds a special token's string, which stands for that token; None for other texts."""
+        if not any(s in text for s in self.special):
+            return None
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def _memo(held) -> Memo:
     return Memo(held.value)
 
@@ -112,9 +120,11 @@ def encode(docs: DataFrame, tokenizer_path: str, end_id: int, doc_id: str = "doc
     def step(batches):
         memo = keep(_memo, held)
         for batch in slices(batches, "text", 3 << 20):
-            chunks = [value.encode().lower().split() for value in texts_of(batch, "text")]  # A-Z: the tokenizer does too
+            texts = texts_of(batch, "text")
+            special = [memo.special_ids(value) for value in texts]
+            chunks = [value.encode().lower().split() if s is None else [] for value, s in zip(texts, special)]  # A-Z: the tokenizer does too
             memo.learn(set().union(*chunks))
-            ids = [b"".join([*map(memo.__getitem__, words), last]) for words in chunks]
+            ids = [(s or b"") + b"".join([*map(memo.__getitem__, words), last]) for words, s in zip(chunks, special)]
             counts = pa.array([len(x) // 4 for x in ids], pa.int64())
             arrays = [batch.column("doc_id"), counts, pa.array(map(shrink, ids), pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens", "ids"])
