@@ -44,12 +44,42 @@ KNOWN = {
     "phone": r"^\(?[2-9][0-9]{2}", "secret": "^(?:AKIA|ASIA|ghp_|gho_|sk-|sk_|pk_|xox|AIza|eyJ|glpat)",
 }
 CONTEXT = 24
+#: Numbers of an array that are added up directly.
+BLOCK = 64
 LABELLERS = 5
 ROUNDS = 40
 #: A vote pattern's chance above which the classifier's spans are given out.
 ACCEPT = 0.5
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def sums_before(values: Column, levels: int = 2) -> Column:
+    """For each number of an array the sum of those before it: sums inside blocks, added to the blocks' own.
+
+    Work grows with BLOCK times the length (and its square over BLOCK ** 4), not with its square.
+    """
+    inside = lambda block: F.transform(block, lambda _, i: F.aggregate(F.slice(block, F.lit(1), i), F.lit(0), lambda t, v: t + v))
+    if not levels:
+        return inside(values)
+
+    def parted(v: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(v) - 1) / BLOCK).cast("int"))
+        blocks = F.transform(numbers, lambda k: F.slice(v, k * BLOCK + 1, F.lit(BLOCK)))
+
+        def joined(held: Column) -> Column:
+            totals = F.transform(held, lambda block: F.aggregate(block, F.lit(0), lambda t, x: t + x))
+            moved = F.zip_with(held, sums_before(totals, levels - 1), lambda block, t: F.transform(inside(block), lambda x: x + t))
+            return F.flatten(moved)
+
+        return F.when(F.size(v) <= BLOCK, inside(v)).otherwise(let(blocks, joined))
+
+    return let(values, parted)
+
+
 def located(text: Column, pattern: str) -> Column:
     """All matches, leftmost first, as structs (start, end, match) in code points.
 
@@ -57,16 +87,19 @@ def located(text: Column, pattern: str) -> Column:
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    at = F.struct(F.lit(0).alias("pos"), F.expr("cast(array() as array<struct<start:int,end:int,match:string>>)").alias("out"))
+    pairs = F.zip_with(
+        F.slice(gaps, F.lit(1), F.size(found)), found,
+        lambda g, m: F.struct(F.char_length(g).alias("gap"), F.char_length(m).alias("size"), m.alias("match")),
+    )
+
+    def placed(held: Column) -> Column:
+        def span(pair: Column, before: Column) -> Column:
+            start = before + pair["gap"]
+            return F.struct(start.alias("start"), (start + pair["size"]).alias("end"), pair["match"].alias("match"))
 
-    def add(state: Column, pair: Column) -> Column:
-        start = state["pos"] + F.char_length(pair["gap"])
-        end = start + F.char_length(pair["match"])
-        span = F.struct(start.alias("start"), end.alias("end"), pair["match"].alias("match"))
-        return F.struct(end.alias("pos"), F.concat(state["out"], F.array(span)).alias("out"))
+        return F.zip_with(held, sums_before(F.transform(held, lambda p: p["gap"] + p["size"])), span)
 
-    pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda g, m: F.struct(g.alias("gap"), m.alias("match")))
-    return F.aggregate(pairs, at, add, lambda state: state["out"])
+    return let(pairs, placed)
 
 
 def digits(match: Column) -> Column:
