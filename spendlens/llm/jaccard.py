@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendlens.session import materialize
+from spendlens.session import discard, materialize
 
 from .batches import arrow_map, join_filter, keep, key_filter, release, slices, texts_of
 
@@ -101,7 +101,7 @@ def fine_parts(n: int) -> int:
 
 
 def describe(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Per document doc_id, n and the key of its set; and the shingles that many documents hold, with counts."""
+    """Per document doc_id, n, the key of its set and a hash of its text; and shingles that many documents hold, with counts."""
 
     def step(batches):
         seen, held, size = set(), [], 0
@@ -110,7 +110,7 @@ def describe(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             sets = [shingles(t) for t in texts_of(batch, "text")]
             keys = [set_key(s) for s in sets]
             kind = batch.column("doc_id").type
-            yield rows_of(batch.column("doc_id"), [len(s) for s in sets], np.array(keys, np.uint64), False)
+            yield rows_of(batch.column("doc_id"), [len(s) for s in sets], np.array(keys, np.uint64), batch.column("mark"), False)
             for key, value in zip(keys, sets):
                 if key not in seen:  # copies in a batch count once
                     seen.add(key)
@@ -125,14 +125,16 @@ def describe(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     def often(sets, kind):
         value, counts = np.unique(np.concatenate(sets), return_counts=True)
         many = counts >= OFTEN
-        return rows_of(pa.nulls(int(many.sum()), kind), counts[many], value[many], True)
+        size = int(many.sum())
+        return rows_of(pa.nulls(size, kind), counts[many], value[many], pa.nulls(size, pa.int64()), True)
 
-    def rows_of(ids, numbers, keys, frequent):
-        arrays = [ids, pa.array(numbers, pa.int64()), pa.array(keys.view(np.int64)), pa.array([frequent] * len(keys), pa.bool_())]
-        return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n", "key", "frequent"])
+    def rows_of(ids, numbers, keys, marks, frequent):
+        arrays = [ids, pa.array(numbers, pa.int64()), pa.array(keys.view(np.int64)), marks, pa.array([frequent] * len(keys), pa.bool_())]
+        return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n", "key", "mark", "frequent"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    both = materialize(arrow_map(docs, step, f"doc_id {kind}, n long, key long, frequent boolean"), "sets")
+    marked = docs.withColumn("mark", F.xxhash64("text"))
+    both = materialize(arrow_map(marked, step, f"doc_id {kind}, n long, key long, mark long, frequent boolean"), "sets")
     counted = both.where("frequent").groupBy("key").agg(F.sum("n").alias("n"))
     return both.where("not frequent").drop("frequent"), counted.orderBy(F.desc("n"), "key").limit(FREQUENT)
 
@@ -232,7 +234,11 @@ def narrowed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     n, m = F.col("na"), F.col("nb")
     sized = pairs.join(left, "a").join(right, "b").where(sizes_fit(n, m))
     near = sized.where(difference_fits(n, m, F.col("ca"), F.col("cb"), PARITY)).select("a", "b", "na", "nb")
-    return refined(materialize(near, "coarse"), sets)
+    coarse = materialize(near, "coarse")
+    out = refined(coarse, sets)
+    if out is not coarse:
+        discard(coarse)
+    return out
 
 
 def refined(near: DataFrame, sets: DataFrame) -> DataFrame:
@@ -295,23 +301,44 @@ def components(edges: DataFrame) -> DataFrame:
         ends = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         parents = ends.groupBy(F.col("a").alias("key")).agg(F.least(F.first("a"), F.min("b")).alias("parent"))
         parents = materialize(parents, "parents")
-        if roots is None:
-            roots = parents.withColumnRenamed("parent", "root")
+        old = roots
+        if old is None:
+            roots = materialize(parents.withColumnRenamed("parent", "root"), "roots")
         else:
             to = parents.select(F.col("key").alias("root"), "parent")
-            roots = roots.join(to, "root", "left").select("key", F.coalesce("parent", "root").alias("root"))
-        roots = materialize(roots, "roots")
+            roots = materialize(old.join(to, "root", "left").select("key", F.coalesce("parent", "root").alias("root")), "roots")
+            discard(old)
         one = parents.select(F.col("key").alias("a"), F.col("parent").alias("pa"))
         two = parents.select(F.col("key").alias("b"), F.col("parent").alias("pb"))
         moved = edges.join(one, "a").join(two, "b").where("pa != pb")
+        done = edges
         edges = materialize(moved.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "edges")
+        discard(done, parents)
     if roots is None:
         return edges.select(F.col("a").alias("key"), F.col("b").alias("root"))
     return roots
 
 
 def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles and component_id, the smallest doc_id reachable by links.
+    """Per row of ``docs``: doc_id, n_shingles and component_id, the smallest doc_id reachable by links."""
+    return near_rows(docs, doc_id, text).drop("mark", "root")
+
+
+def spare_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id and mark (``xxhash64`` of the text) of the rows that go so that one row of each class of links stays.
+
+    The row of the smallest doc_id stays; where several rows of a class have that id, one of them by its mark. Rows
+    without an id or without words all stay.
+    """
+    rows = near_rows(docs, doc_id, text).where("n_shingles > 0 and doc_id is not null")
+    first = F.col("doc_id") == F.col("component_id")
+    stays = rows.where(first).groupBy("root").agg(F.min("mark").alias("stays"), F.max("mark").alias("last")).where("stays != last")
+    twice = rows.where(first).join(stays, "root").where("mark != stays")
+    return rows.where(~first).select("doc_id", "mark").unionAll(twice.select("doc_id", "mark")).distinct()
+
+
+def near_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``near_classes`` with the row's mark (a hash of its text) and the root of its class.
 
     Words are runs of anything but blanks, tabs and line ends, A-Z in lower case; a document's set holds its distinct
     shingles of five words, or all its words as one if it has fewer. Documents with equal sets are one node. Without
@@ -328,7 +355,9 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     bags = materialize(bags_of(docs, every_key(near).join(slim.select("key", "rep"), "key")), "bags")
     tested = materialize(linked(near, bags), "tested")
     roots = components(tested.where("link").select("a", "b"))
-    members = materialize(with_distances(members, tested, slim), "members")
+    cells = members
+    members = materialize(with_distances(cells, tested, slim), "members")
+    discard(cells, tested, near)
     known = placed(members, roots)
     release(docs)
     size, held = PIVOTS, None
@@ -339,6 +368,7 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         size *= 1 if probes else GROWTH
         probes = probes[1:]
         if pairs.isEmpty():
+            discard(pairs)
             continue
         near = refined(pairs, slim)
         more = every_key(near).join(bags.select("key"), "key", "left_anti").join(slim.select("key", "rep"), "key")
@@ -347,20 +377,25 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             bags = bags.unionAll(materialize(bags_of(docs, more), "bags"))
         found = materialize(linked(near, bags).where("link").select("a", "b"), "links")
         if not found.isEmpty():
-            roots = joined(roots, found)
+            roots, old = joined(roots, found), known
             known = placed(members, roots)
+            discard(old)
+        discard(found, more, *([pairs] if near is pairs else [pairs, near]))
+    discard(members, known, bags, *([held] if held is not None else []))
     return named(marked, slim, roots)
 
 
 def joined(roots: DataFrame, links: DataFrame) -> DataFrame:
-    """``roots`` after more links: components of the roots that the links join."""
+    """``roots`` (stored; its files go) after more links: components of the roots that the links join."""
     one = roots.select(F.col("key").alias("a"), F.col("root").alias("ra"))
     two = roots.select(F.col("key").alias("b"), F.col("root").alias("rb"))
     moved = links.join(one, "a", "left").join(two, "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
     new = components(moved.where("a != b"))
     to = new.select(F.col("key").alias("root"), F.col("root").alias("higher"))
     old = roots.join(to, "root", "left").select("key", F.coalesce("higher", "root").alias("root"))
-    return materialize(old.unionAll(new.join(roots.select("key"), "key", "left_anti").select("key", "root")), "roots")
+    out = materialize(old.unionAll(new.join(roots.select("key"), "key", "left_anti").select("key", "root")), "roots")
+    discard(roots, new)
+    return out
 
 
 def every_key(pairs: DataFrame) -> DataFrame:
@@ -455,9 +490,9 @@ def named(marked: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
     """Classes by document: the smallest doc_id of all sets with the same root."""
     rooted = sets.select("key", "rep").join(roots, "key", "left").select("key", "rep", F.coalesce("root", "key").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    classes = rooted.join(lowest, "root").select("key", "component_id")
+    classes = rooted.join(lowest, "root").select("key", "component_id", "root")
     own = F.col("n") == 0
     return marked.join(classes, "key", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
+        "doc_id", "mark", "root", F.col("n").alias("n_shingles"),
         F.when(own | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )

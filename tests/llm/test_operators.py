@@ -75,10 +75,11 @@ def test_packed_ids_return():
 
 def test_token_files_like_the_library(spark, edge):
     plain = Tokenizer.from_file(queries.WORD_TOKENIZER)
-    plain.encode_special_tokens = True
-    got = tokenfile.round_trip(edge, queries.WORD_TOKENIZER, 2).collect()
+    special = [(20, "a <|endoftext|> b"), (21, "x<|startoftext|>Y <|ENDOFTEXT|>.<|endoftext|>!"), (22, "<| endoftext |>"), (23, "<|EndOfText|>")]
+    docs = edge.select("doc_id", "text").unionAll(spark.createDataFrame(special, "doc_id long, text string"))
+    got = tokenfile.round_trip(docs, queries.WORD_TOKENIZER, 2).collect()
     want, at = [], 0
-    for doc, text in sorted(EDGE, key=lambda r: (r[0] is not None, r[0] or 0)):
+    for doc, text in sorted([*EDGE, *special], key=lambda r: (r[0] is not None, r[0] or 0)):
         ids = plain.encode(text or "", add_special_tokens=False).ids + [2]
         want.append((doc, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         at += len(ids)
@@ -329,3 +330,92 @@ def test_passages_by_exact_words(spark):
     for doc, (first, _, start, end) in want.items():
         raw = rows[doc][1].encode()
         assert left[doc].encode() == (raw if doc == first else raw[:start] + raw[end:])
+
+
+def test_one_row_of_equal_texts_stays_under_a_shared_id(spark):
+    rows = [(1, "a b"), (1, "ab"), (2, "a  b "), (2, "ab"), (3, "c"), (3, "d")]
+    got = sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact.mark_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(1, 2, 4, False), (1, 2, 4, False), (2, 2, 4, False), (2, 2, 4, True), (3, 3, 1, True), (3, 3, 1, True)]
+
+
+BAD_CALLS = [
+    ("c0", "search", '{"query":"q","limit":1e400}'), ("c1", "search", '{"query":"\\ud800","limit":1}'), ("c2", "note", '{"query":NaN}'),
+    ("c3", "note", "[" * 5000), ("c4", "note", '{"query":"\\ud83d\\ude00"}'), ("c5", "note", '{"query":"' + "9" * 6000 + '"}'), ("c6", "note", "9" * 6000),
+]
+
+
+def test_bad_messages_break_no_job(spark):
+    calls = [{"id": i, "function": {"name": n, "arguments": a}} for i, n, a in BAD_CALLS]
+    rows = [(1, 0, "assistant", json.dumps({"tool_calls": calls})), (1, 1, "assistant", '{"tool_calls":[{"id":"\\ud800","function":{"name":"note","arguments":"{}"}}]}'),
+            (1, 2, "tool", '{"tool_call_id":"\\ud800","content":"x"}'), (1, 3, "tool", '{"tool_call_id":"c0","content":"\\ud800"}'), (2, 0, "assistant", None)]
+    df = spark.createDataFrame(rows * 2, "conv_id long, turn long, role string, text string").withColumn("level", F.lit("kept"))
+    got = {r.call_id: r.valid for r in chat.link_tool_calls(df, queries.TOOLS).collect()}
+    assert {k: got[k] for k in ("c0", "c1", "c2", "c3", "c4", "c5", "c6")} == {"c0": False, "c1": False, "c2": False, "c3": False, "c4": True, "c5": True, "c6": False}
+    assert chat.link_tool_calls(df.where("conv_id = 9"), queries.TOOLS).collect() == []
+
+
+def level_brute(waits):
+    """Longest chain of waits below each call of one conversation; None in or after a cycle."""
+    done, busy = {}, set()
+
+    def level(call):
+        if call in done:
+            return done[call]
+        if call in busy:
+            return None
+        busy.add(call)
+        below = [level(o) for o in set(waits[call]) if o in waits]
+        done[call] = None if None in below else max(below, default=-1) + 1
+        busy.discard(call)
+        return done[call]
+
+    return {c: level(c) for c in waits}
+
+
+def test_levels_like_a_plain_walk(spark):
+    draw, rows, want = random.Random(11), [], {}
+    for conv in range(12):
+        names = [f"k{k}" for k in range(draw.choice([1, 2, 9, 40]))]
+        waits = {n: [draw.choice([*names[:k], "gone"]) for _ in range(draw.choice([0, 1, 1, 3]))] for k, n in enumerate(names)}
+        if conv % 4 == 0:  # a cycle, and what waits for it
+            waits[names[0]] = [names[-1]]
+        if conv == 5:
+            waits = {f"k{k}": [f"k{k - 1}"] for k in range(300)}
+        memo = level_brute(waits)
+        reach = {c for c in memo if memo[c] is None}
+        want.update({(conv, c): memo[c] for c in waits if c not in reach})
+        rows += [(conv, c, a, "linked") for c, a in waits.items()]
+    df = spark.createDataFrame(rows, "conv_id long, call_id string, after array<string>, status string")
+    got = {(r.conv_id, r.call_id): r.level for r in chat.levels(df).collect()}
+    # what a walk in this order cannot tell from a cycle is left to the definition: no level if a cycle is below
+    assert {k: v for k, v in got.items() if k in want} == {k: v for k, v in want.items() if k in got}
+    for conv, call in got:
+        assert (conv, call) in want
+
+
+def test_many_matches_in_one_text(spark):
+    draw = random.Random(12)
+    texts = [", ".join(str(draw.randrange(1000)) for _ in range(n)) for n in (0, 1, 63, 64, 65, 129, 5000, 100_000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    for r in df.select("text", pii.located(F.col("text"), "[0-9]+").alias("spans")).collect():
+        assert [(s.start, s.end, s.match) for s in r.spans] == [(m.start(), m.end(), m.group()) for m in re.finditer("[0-9]+", r.text)]
+
+
+def pipeline_docs(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def test_near_stage_goes_by_id_and_text(spark):
+    draw = random.Random(13)
+    words = [f"w{k}" for k in range(200)]
+    base = " ".join(draw.choices(words, k=100))
+    near, other = base + " more", " ".join(draw.choices(words, k=100))
+    rows = [(0, base), (1, near), (1, other), (2, None), (2, ""), (None, base), (3, near + " and"), (4, "x y"), (4, "x  y"), (5, base), (5, near)]
+    docs = pipeline_docs(spark, [(d, t, "en", "s", 1) for d, t in rows])
+    kept = corpus_pipeline.near_stage(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(map(str, texts(kept))) == sorted(map(str, [(0, base), (1, other), (2, None), (2, ""), (None, base), (4, "x y")])) or sorted(
+        map(str, texts(kept))) == sorted(map(str, [(0, base), (1, other), (2, None), (2, ""), (None, base), (4, "x  y")]))
+    twins = pipeline_docs(spark, [(7, base, "en", "s", 1), (7, near, "en", "s", 1)])
+    assert corpus_pipeline.near_stage(spark, twins, "").count() == 1
+    assert corpus_pipeline.near_stage(spark, docs.where("doc_id = 99"), "").count() == 0
