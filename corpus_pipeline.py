@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlens.llm import bpe, decontam, exact, jaccard, quality
-from spendlens.llm.batches import join_filter, key_filter
+from spendlens.llm.batches import join_filter, key_filter, small_batches
 from spendlens.session import materialize
 
 
@@ -29,15 +29,16 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest doc_id.
 
-    Only documents that may be among those to go are joined with them; the others pass without a shuffle.
+    Rows go by doc_id and text, so that another text under the same id stays. Only documents that may be among those to
+    go are joined with them; the others pass without a shuffle.
     """
-    classes = jaccard.near_classes(docs)
-    gone = classes.where("doc_id != component_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    gone = jaccard.spare_rows(docs).select(F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark"))
     gone = materialize(gone, "gone")
     places = key_filter(gone, "gone_id")
     sure = join_filter(docs, F.col("doc_id"), places, "left_anti")
     maybe = join_filter(docs, F.col("doc_id"), places)
-    return sure.unionAll(maybe.join(gone, maybe["doc_id"] == gone["gone_id"], "left_anti"))
+    same = (maybe["doc_id"] == gone["gone_id"]) & (F.xxhash64(maybe["text"]) == gone["gone_mark"])
+    return sure.unionAll(maybe.join(gone, same, "left_anti"))
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,6 +65,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    with small_batches(spark):
+        for name, stage in STAGES:
+            docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
