@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from operator import eq
 
 import numpy as np
@@ -31,7 +32,11 @@ MEMO_ENTRIES = 150_000
 ABSTAIN = 2
 
 #: Everything in ASCII but letters and digits parts words.
-PARTS = {c: " " for c in range(128) if not chr(c).isalnum()}
+PARTS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
+#: White space beyond ASCII, ASCII white space, and marks that make no word.
+WIDE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+BLANK = bytes(32 if chr(c).isspace() else c for c in range(128)) + bytes(range(128, 256))
+MARKS = b".,;:!?\"'()|*#$%&-"
 #: ASCII marks that running text holds few of.
 ODD = bytes(b for b in b"#$%&*+<=>@[\\]^_`{|}~/")
 #: Shares that describe a text's shape, and above which share a labeller calls the text poor.
@@ -43,10 +48,13 @@ def shape_of(text: str, words: list[str]) -> list[float]:
     equal to the one before, words that occurred before, words that are no more than marks."""
     n = max(1, len(words))
     raw = text.encode()
+    # a word that is left when all marks are deleted holds something else
+    spaced = raw if text.isascii() else WIDE_SPACE.sub(" ", text).encode()
+    solid = len(spaced.translate(BLANK, MARKS).split())
     shares = [
         sum(map(str.isupper, words)) / n, 1 - len(raw.translate(None, ODD)) / max(1, len(raw)), text.count("!") / n,
         sum(map(eq, words, words[1:])) / n, max(0, len(words) - 20) / n * (1 - len(set(words)) / n),
-        1 - sum(map(bool, map(str.strip, words, [".,;:!?\"'()|*#$%&-"] * len(words)))) / n,
+        1 - solid / n,
     ]
     return [min(4.0, share / limit) for share, limit in zip(shares, SHAPE.values())]
 
@@ -61,7 +69,7 @@ def place(feature: str) -> int:
 
 
 def words_of(text: str) -> set[str]:
-    return set(text.lower().translate(PARTS).split())
+    return set(text.lower().encode().translate(PARTS).decode().split())
 
 
 def em(patterns: np.ndarray, counts: np.ndarray, gold: int, rounds: int = 60) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +102,8 @@ def votes_of(text: str, gold: tuple[int, int] | None, lexicons: tuple[frozenset[
     poor = [1 if s > 1 else ABSTAIN for s in shape]
     poor.append(ABSTAIN if any(v == 1 for v in poor) else 0)  # nothing odd at all
     words = words_of(text)
-    parts = (words, {w[:5] for w in words if len(w) >= 4}, {w[:4] for w in words if len(w) >= 4})
+    longer = [w for w in words if len(w) >= 4]
+    parts = (words, {w[:5] for w in longer}, {w[:4] for w in longer})
     toxic = [0 if own.isdisjoint(lexicon) else 1 for own, lexicon in zip(parts, lexicons)]
     given = gold or (ABSTAIN, ABSTAIN)
     return [*poor, given[0]], [*toxic, given[1]]
@@ -253,14 +262,16 @@ class Scorer(dict):
 
     def __init__(self, model: dict):
         super().__init__()
-        self.pairs = np.stack([model["weights"]["poor"], model["weights"]["toxic"]], axis=1).astype(float)
-        self.tail = self.pairs[1 << BITS :]
+        pairs = np.stack([model["weights"]["poor"], model["weights"]["toxic"]], axis=1).astype(float)
+        self.tail = pairs[1 << BITS :]
+        used = np.flatnonzero(pairs[: 1 << BITS].any(axis=1))  # most places have no weight
+        self.weights = dict(zip(used.tolist(), (pairs[used, 0] + 1j * pairs[used, 1]).tolist()))
 
     def __missing__(self, word: str) -> complex:
-        poor, toxic = self.pairs[[place(f) for f in features_of(word)]].sum(axis=0)
         if len(self) >= MEMO_ENTRIES:
             self.clear()
-        self[word] = out = complex(poor, toxic)
+        weight = self.weights.get
+        self[word] = out = sum([weight(place(f), 0j) for f in features_of(word)], 0j)
         return out
 
     def __call__(self, text: str) -> tuple[float, float]:
