@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
@@ -62,7 +63,7 @@ def keep(make: Callable, *args):
     key = (make, *args)
     if key not in _kept:
         _kept.clear()
-        pa.default_memory_pool().release_unused()
+        give_back()
         _kept[key] = make(*args)
     return _kept[key]
 
@@ -75,10 +76,23 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def give_back() -> None:
+    """Return what this Python worker no longer uses to the system: Spark keeps idle workers, and their memory counts."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def arrow_map(df: DataFrame, step: Callable, schema: T.StructType | str) -> DataFrame:
     """``mapInArrow`` on executors that have this package."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(step, schema)
+
+    def run(batches):
+        yield from step(batches)
+        give_back()
+
+    return df.mapInArrow(run, schema)
 
 
 def add_columns(df: DataFrame, step: Callable, fields: list[T.StructField]) -> DataFrame:

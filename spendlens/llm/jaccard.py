@@ -37,7 +37,7 @@ PERCENT = 80
 #: Shingles ordered last, by their frequency: the most frequent ones. An order only; it drops nothing.
 FREQUENT = 1 << 18
 #: How many different sets of a batch of sets must hold a shingle for the batch to report it, and a batch's shingles.
-OFTEN, BATCH = 2, 6_000_000
+OFTEN, BATCH = 2, 2_000_000
 #: 64-bit parts of the coarse parity signature: bits flipped by each shingle, so that bits that differ bound the
 #: difference of two sets. A set with more shingles than PARITY * 16 also has a fine one of four bits for each or more.
 PARITY = 16
