@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .batches import add_columns, fresh, keep, slices, texts_of, with_arrays
+from .batches import add_columns, arrow_map, fresh, keep, slices, texts_of, with_arrays
 
 #: Pre-tokens whose ids a Python worker remembers; beyond that it starts anew.
 MEMO_ENTRIES = 250_000
@@ -131,14 +131,8 @@ def _memo(held) -> Memo:
     return Memo(held.value)
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> tuple[DataFrame, str]:
-    """``docs`` with each whole text's ids (binary, little-endian unsigned 32-bit), and that column's name.
-
-    ``pattern`` splits a text into pre-tokens, each encoded by itself; no special tokens. Null counts as
-    empty and has no ids. The vocabulary (a file on the driver) is broadcast; its size does not depend on data.
-    """
-    out = fresh(docs, "ids")
-    held = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+def encoder(held, pattern: str, text: str, out: str):
+    """A step that appends the ids of the texts."""
 
     def step(batches):
         find, memo = regex.compile(pattern).findall, keep(_memo, held)
@@ -146,13 +140,11 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -
             ids = [b"".join(map(memo.__getitem__, find(value))) for value in texts_of(batch, text)]
             yield with_arrays(batch, {out: pa.array(ids, pa.binary())})
 
-    return add_columns(docs, step, [T.StructField(out, T.BinaryType())]), out
+    return step
 
 
-def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids") -> tuple[DataFrame, str]:
-    """``encoded`` with the bytes that the ids stand for (binary), and that column's name. Null stays null."""
-    out = fresh(encoded, "decoded")
-    held = encoded.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+def decoder(held, ids: str, out: str):
+    """A step that appends the bytes of the ids."""
 
     def step(batches):
         table = [b""] * (max(held.value.values()) + 1)
@@ -165,15 +157,38 @@ def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids") -> tuple[DataF
             ]
             yield with_arrays(batch, {out: pa.array(raw, pa.binary())})
 
-    return add_columns(encoded, step, [T.StructField(out, T.BinaryType())]), out
+    return step
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> tuple[DataFrame, str]:
+    """``docs`` with each whole text's ids (binary, little-endian unsigned 32-bit), and that column's name.
+
+    ``pattern`` splits a text into pre-tokens, each encoded by itself; no special tokens. Null counts as
+    empty and has no ids. The vocabulary (a file on the driver) is broadcast; its size does not depend on data.
+    """
+    out = fresh(docs, "ids")
+    held = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    return add_columns(docs, encoder(held, pattern, text, out), [T.StructField(out, T.BinaryType())]), out
+
+
+def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids") -> tuple[DataFrame, str]:
+    """``encoded`` with the bytes that the ids stand for (binary), and that column's name. Null stays null."""
+    out = fresh(encoded, "decoded")
+    held = encoded.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    return add_columns(encoded, decoder(held, ids, out), [T.StructField(out, T.BinaryType())]), out
 
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256; every row and whole text of ``docs``."""
-    encoded, ids = encode(docs.select("doc_id", "text"), ranks_path, pattern)
-    slim = encoded.select("doc_id", ids)
-    decoded, raw = decode(slim, ranks_path, ids)
-    return decoded.select(
-        "doc_id", (F.octet_length(ids) / 4).cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
-        F.sha2(raw, 256).alias("decoded_sha256"),
+    docs = docs.select("doc_id", "text")
+    held = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    encoding, decoding = encoder(held, pattern, "text", "ids"), decoder(held, "ids", "decoded")
+
+    def both(batches):  # in one Python worker, which halves their number
+        yield from decoding(batch.select(["doc_id", "ids"]) for batch in encoding(batches))
+
+    schema = T.StructType([docs.schema["doc_id"], *(T.StructField(n, T.BinaryType()) for n in ("ids", "decoded"))])
+    return arrow_map(docs, both, schema).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
