@@ -126,11 +126,16 @@ banded as (
 
 BAND_NAME = "case band_no when 1 then 'Baixo' when 2 then 'Médio-baixo' when 3 then 'Médio-alto' else 'Alto' end"
 
-# Cells of the group marts: entities of one region are unknown to the join.
+# Cells of the group marts: the expenses of every tenth entity stand once more under an id that no entity has.
 CELLS = f"""{ENTITY}, {EXPENSE},
+facts as (select * from expense union all
+  select * replace (-entity_id - 1 as entity_id) from expense where entity_id % 10 = 3),
 labelled as (
-  select x.*, coalesce(e.grp, 'Desconhecido') as grp, e.name
-  from expense x left join (select * from entity where region <> 'NATION_3') e using (entity_id))"""
+  select x.*, coalesce(e.grp, 'Desconhecido') as grp, e.name from facts x left join entity e using (entity_id))"""
+PAGE_PARTS = """request_entity, request_year, page, cast(not is_empty as integer) as records,
+  case when not is_empty then id end as id, case when not is_empty then total end as total,
+  case when not is_empty then status end as status, case when has_next then 'self,next' else 'self' end as rels,
+  case when has_next then '/page,/page' else '/page' end as hrefs"""
 
 PAGES = """pages_ as (
   select o_custkey as request_entity, cast(year(o_orderdate) as integer) as request_year,
@@ -225,18 +230,27 @@ def _rounded(columns: list[str]) -> str:
 
 YEAR_TEST = f"yr > {YEARS['after']} and yr < {YEARS['before']}"
 
+SUMMARY = f"""with {MASTER} select count(*) as entities,
+        round(avg(spend_total), 6) as spend_mean, round(median(spend_total), 6) as spend_median,
+        round(quantile_cont(spend_total, 0.25), 6) as spend_q1, round(quantile_cont(spend_total, 0.75), 6) as spend_q3,
+        round(max(spend_total), 6) as spend_max, round(avg(activity), 6) as activity_mean,
+        round(median(activity), 6) as activity_median, round(max(activity), 6) as activity_max,
+        round(avg(cost_per_activity), 6) as cost_mean, round(median(cost_per_activity), 6) as cost_median,
+        round(quantile_cont(cost_per_activity, 0.75), 6) as cost_q3, round(max(cost_per_activity), 6) as cost_max
+        from master"""
+
 ORACLE: dict[str, str] = {
     "read_table": "select c_custkey, c_name, c_acctbal from customer",
-    "read_preferred": "select o_orderkey, o_custkey, o_orderstatus from orders",
+    "read_preferred": """select o_orderkey, o_custkey, o_orderstatus, kind, true as absent_is_refused
+        from orders, unnest(['parquet', 'csv']) as kinds(kind)""",
     "read_csv": "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from orders",
     "read_optional": "select doc_id, md5(text) as text_md5, lang, true as absent_is_none from documents",
     "write_table": f"with {EXPENSE} select l_orderkey, l_linenumber, l_suppkey, yr, amount from expense",
-    "write_report": f"""with {MASTER} select count(*) as entities, round(avg(spend_total), 6) as spend_mean,
-        round(max(activity), 6) as activity_max from master""",
+    "write_report": SUMMARY,
     "flatten_pages": f"""with {PAGES} select request_entity, request_year, page, cast(0 as integer) as pos, id, total, status
         from pages_ where not is_empty""",
-    "page_stop": f"with {stopped('s.is_empty')} select request_entity, request_year, page from kept",
-    "page_stop_next": f"with {stopped('s.is_empty or not s.has_next')} select request_entity, request_year, page from kept",
+    "page_stop": f"with {stopped('s.is_empty')} select {PAGE_PARTS} from kept",
+    "page_stop_next": f"with {stopped('s.is_empty or not s.has_next')} select {PAGE_PARTS} from kept",
     "cap_rows": f"""with {PAGES} select request_entity, request_year, id from pages_ where not is_empty
         qualify row_number() over (partition by request_entity, request_year order by page) <= 2""",
     "tag_rows": f"""with {PAGES} select request_entity as entity_id, request_year as yr, id, total, status
@@ -342,8 +356,8 @@ ORACLE: dict[str, str] = {
     "attach_category_columns": f"with {EXPENSE}, {SPEND} select * from spend",
     "attach_group": f"""with {CELLS} select l_orderkey, l_linenumber, l_suppkey, entity_id, amount, grp, name from labelled""",
     "attach_distance": f"""with {ENTITY}, {CENTROID}, {lambert('lat', 'lon', 'centroid')}
-        select entity_id, case when region = 'NATION_3' then 0 else round(km, 6) end as distance_km
-        from entity join far using (region)""",
+        select entity_id, round(km, 6) as distance_km from entity join far using (region)
+        union all select -entity_id - 1, 0 from entity where entity_id % 10 = 3""",
     "dedup_rows": "select distinct l_partkey, l_returnflag, l_linestatus from lineitem",
     "dedup_first": """select l_orderkey, l_linenumber, l_suppkey, l_extendedprice from lineitem
         qualify row_number() over (partition by l_orderkey, l_linenumber order by l_suppkey, l_extendedprice) = 1""",
@@ -406,14 +420,7 @@ ORACLE: dict[str, str] = {
     "group_profile_max": f"""with {group_medians({}, 'max({})')}
         select grp, cast(pos as integer) as pos, {_rounded(PROFILE)} from shown""",
     "group_profile_mean": f"with {MEAN_PROFILE} select grp, {_rounded(METRICS)} from profile",
-    "summary_stats": f"""with {MASTER} select count(*) as entities,
-        round(avg(spend_total), 6) as spend_mean, round(median(spend_total), 6) as spend_median,
-        round(quantile_cont(spend_total, 0.25), 6) as spend_q1, round(quantile_cont(spend_total, 0.75), 6) as spend_q3,
-        round(max(spend_total), 6) as spend_max, round(avg(activity), 6) as activity_mean,
-        round(median(activity), 6) as activity_median, round(max(activity), 6) as activity_max,
-        round(avg(cost_per_activity), 6) as cost_mean, round(median(cost_per_activity), 6) as cost_median,
-        round(quantile_cont(cost_per_activity, 0.75), 6) as cost_q3, round(max(cost_per_activity), 6) as cost_max
-        from master""",
+    "summary_stats": SUMMARY,
     "pearson": f"with {MODEL} select round(corr(spend_per_km, activity), 6) as r from model",
     "correlation_matrix": f"with {MASTER} {_corr_cells}",
     "linear_trend": f"""with {MASTER}, fit as (select regr_slope(activity, log_spend) as slope,

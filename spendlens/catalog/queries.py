@@ -47,7 +47,18 @@ def read_table(t: Tables) -> DataFrame:
 
 @query
 def read_preferred(t: Tables) -> DataFrame:
-    return files.read_preferred(t.spark, f"{t.folder}/orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    """The Parquet table, the CSV that is read where there is no Parquet, and the error where there is neither."""
+    names = ["o_orderkey", "o_custkey", "o_orderstatus"]
+    rows, base = t.raw("orders").select(*names), scratch_path(t.spark, "orders")
+    files.write_table(rows, f"{base}.csv", "csv")
+    try:
+        files.read_preferred(t.spark, f"{base}-absent")
+        refused = False
+    except FileNotFoundError:
+        refused = True
+    found = files.read_preferred(t.spark, f"{t.folder}/orders").select(*names, F.lit("parquet").alias("kind"))
+    other = files.read_preferred(t.spark, base, rows.schema).select(*names, F.lit("csv").alias("kind"))
+    return found.unionAll(other).withColumn("absent_is_refused", F.lit(refused))
 
 
 def _order_lines(t: Tables) -> DataFrame:
@@ -82,9 +93,9 @@ def write_table(t: Tables) -> DataFrame:
 @query
 def write_report(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "report")
-    files.write_report(stats.summary_stats(t.stored_master()), path)
-    schema = "entities bigint, spend_mean double, activity_max double"
-    return rounded(t.spark.read.schema(schema).json(path), "spend_mean", "activity_max")
+    summary = stats.summary_stats(t.stored_master())
+    files.write_report(summary, path)
+    return rounded(t.spark.read.schema(summary.schema).json(path), *[c for c in summary.columns if c != "entities"])
 
 
 @query
@@ -94,18 +105,22 @@ def flatten_pages(t: Tables) -> DataFrame:
     )
 
 
-def _page_keys(df: DataFrame) -> DataFrame:
-    return df.select("request_entity", "request_year", "page")
+def _page_parts(df: DataFrame) -> DataFrame:
+    """Pages with their whole payload."""
+    return df.select(
+        "request_entity", "request_year", "page", F.size("dados").alias("records"),
+        F.get("dados", F.lit(0)).alias("record"), F.array_join("links.rel", ",").alias("rels"), F.array_join("links.href", ",").alias("hrefs"),
+    ).select("*", "record.*").drop("record")
 
 
 @query
 def page_stop(t: Tables) -> DataFrame:
-    return _page_keys(pages.page_stop(t.pages(), "empty"))
+    return _page_parts(pages.page_stop(t.pages(), "empty"))
 
 
 @query
 def page_stop_next(t: Tables) -> DataFrame:
-    return _page_keys(pages.page_stop(t.pages(), "next"))
+    return _page_parts(pages.page_stop(t.pages(), "next"))
 
 
 @query
@@ -511,17 +526,24 @@ def attach_category_columns(t: Tables) -> DataFrame:
     return joins.attach_category_columns(totals.expense_totals(spent), totals.category_pivot(spent, CATEGORIES))
 
 
+def _with_strays(facts: DataFrame) -> DataFrame:
+    """The facts, and those of every tenth entity once more under an id that no entity has."""
+    key = F.col("entity_id")
+    return facts.withColumn("entity_id", F.explode(F.when(key % 10 == 3, F.array(key, -key - 1)).otherwise(F.array(key))))
+
+
 @query
 def attach_group(t: Tables) -> DataFrame:
-    known = t.entities().where("region <> 'NATION_3'")
     rows = t.entity_lines().select("l_orderkey", "l_linenumber", "l_suppkey", "entity_id", "amount")
-    return joins.attach_group(rows, known, ("grp", "name"))
+    return joins.attach_group(_with_strays(rows), t.entities(), ("grp", "name"))
 
 
 @query
 def attach_distance(t: Tables) -> DataFrame:
-    known = t.distances().where("region <> 'NATION_3'")
-    return rounded(joins.attach_distance(t.entities(), known).select("entity_id", "distance_km"), "distance_km")
+    """All entities, every tenth once more in a region that the lookup lacks."""
+    region = F.when(F.col("entity_id") < 0, F.lit("NOWHERE")).otherwise(F.col("region"))
+    everyone = _with_strays(t.entities()).withColumn("region", region)
+    return rounded(joins.attach_distance(everyone, t.distances()).select("entity_id", "distance_km"), "distance_km")
 
 
 # Deduplication and totals
@@ -660,28 +682,24 @@ def region_totals(t: Tables) -> DataFrame:
     return ranking.region_totals(t.master())
 
 
-def _known(t: Tables) -> DataFrame:
-    return t.entities().where("region <> 'NATION_3'")
-
-
 @query
 def group_category_matrix(t: Tables) -> DataFrame:
-    return groups.group_category_matrix(t.expenses(), _known(t), CATEGORIES)
+    return groups.group_category_matrix(_with_strays(t.expenses()), t.entities(), CATEGORIES)
 
 
 @query
 def group_category_log(t: Tables) -> DataFrame:
-    return rounded(groups.group_category_log(groups.group_category_matrix(t.expenses(), _known(t), CATEGORIES)), "log_spend")
+    return rounded(groups.group_category_log(groups.group_category_matrix(_with_strays(t.expenses()), t.entities(), CATEGORIES)), "log_spend")
 
 
 @query
 def entity_category_grid(t: Tables) -> DataFrame:
-    return groups.entity_category_grid(t.expenses(), _known(t), CATEGORIES)
+    return groups.entity_category_grid(_with_strays(t.expenses()), t.entities(), CATEGORIES)
 
 
 @query
 def year_group_series(t: Tables) -> DataFrame:
-    return groups.year_group_series(t.amounts(), _known(t), 6, **YEARS)
+    return groups.year_group_series(_with_strays(t.amounts()), t.entities(), 6, **YEARS)
 
 
 @query
@@ -768,7 +786,7 @@ def spend_hierarchy(t: Tables) -> DataFrame:
 
 @query
 def category_hierarchy(t: Tables) -> DataFrame:
-    grid = groups.entity_category_grid(t.expenses(), _known(t), CATEGORIES)
+    grid = groups.entity_category_grid(_with_strays(t.expenses()), t.entities(), CATEGORIES)
     return rounded(hierarchy.category_hierarchy(grid), "colour")
 
 

@@ -8,8 +8,7 @@ from operator import or_
 from pyspark.sql import DataFrame, Row, functions as F, types as T
 
 from ..functions.text import fill_unknown
-
-BROADCAST_ROWS = 10_000
+from ..session import materialize
 
 
 def hot_keys(counts: DataFrame, keys: list[str], rows: str) -> list[Row]:
@@ -58,17 +57,11 @@ def skew_safe_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: st
     return salted_facts.join(salted_lookup, [*keys, "__salt"], how).drop("__salt")
 
 
-def lookup_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left",
-                counts: tuple[DataFrame, str] | None = None) -> DataFrame:
-    """Join to a lookup unique per key: broadcast when counted small, salted hot keys otherwise.
-
-    The count stops after ``BROADCAST_ROWS`` + 1 rows. ``counts`` names a frame with the number of fact
-    rows per key, where one is at hand.
-    """
-    if lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return facts.join(F.broadcast(lookup), keys, how)
-    hot = hot_keys(counts[0], keys, counts[1]) if counts else None
-    return skew_safe_join(facts, lookup, keys, how, hot)
+def lookup_join(facts: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join to a lookup unique per key, stored first: Spark then knows its bytes, broadcasts it below
+    ``spark.sql.autoBroadcastJoinThreshold`` and else splits skewed partitions of the facts at run time, which it
+    cannot do next to an aggregate."""
+    return facts.join(materialize(lookup, "lookup"), keys, how)
 
 
 def attach_metrics(entities: DataFrame, *metrics: DataFrame, key: str = "entity_id") -> DataFrame:
@@ -99,6 +92,8 @@ def attach_group(facts: DataFrame, entities: DataFrame, columns: tuple[str, ...]
 
 
 def attach_distance(entities: DataFrame, distances: DataFrame) -> DataFrame:
-    """Distance of the entity's region; 0 km where the region is not in the lookup."""
-    joined = lookup_join(entities, distances.select("region", "distance_km"), ["region"])
+    """Distance of the entity's region; 0 km where the region is not in the lookup. A region that the lookup lists
+    several times has the largest of its distances."""
+    lookup = distances.groupBy("region").agg(F.max("distance_km").alias("distance_km"))
+    joined = lookup_join(entities, lookup, ["region"])
     return joined.withColumn("distance_km", F.coalesce("distance_km", F.lit(0.0)))

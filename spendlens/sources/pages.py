@@ -38,12 +38,11 @@ def page_stop(pages: DataFrame, rule: str = "empty", keys=REQUEST, stops: DataFr
 
     A minimum per request joined back, not a window: a request with a third of all pages is reduced
     map-side first. Only requests that have pages after their stop page are joined; they are few, so the
-    payloads usually stay where they are. Should they be many, the page counts of the same aggregation
-    tell which requests to salt. ``stops`` is a stored ``first_stops``, where there is one.
+    payloads usually stay where they are. ``stops`` is a stored ``first_stops``, where there is one.
     """
     stops = materialize(first_stops(pages, rule, keys), "stops") if stops is None else stops
     overrun = stops.where(F.col("last_page") > F.col("stop_page")).select(*keys, "stop_page")
-    joined = lookup_join(pages, overrun, list(keys), counts=(stops, "pages"))
+    joined = lookup_join(pages, overrun, list(keys))
     return joined.where(F.col("stop_page").isNull() | (F.col("page") <= F.col("stop_page"))).drop("stop_page")
 
 

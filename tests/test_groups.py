@@ -43,12 +43,16 @@ def test_skew_safe_join_spreads_copies_and_missing_keys(spark, spread):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_lookup_join_beyond_the_broadcast_bound(spark, monkeypatch):
+def test_lookup_join_beyond_the_broadcast_bound(spark):
     facts, lookup = spark.range(50).withColumnRenamed("id", "k"), spark.range(20).select(F.col("id").alias("k"), F.lit(1).alias("w"))
     small = joins.lookup_join(facts, lookup, ["k"])
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 5)
-    large = joins.lookup_join(facts, lookup, ["k"])
-    assert rows(small, "k") == rows(large, "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = joins.lookup_join(facts, lookup, ["k"])
+        assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
+        assert rows(small, "k") == rows(large, "k")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_attach_group_and_distance(spark):
@@ -56,7 +60,7 @@ def test_attach_group_and_distance(spark):
     entities = spark.createDataFrame([(1, "A"), (2, None)], "entity_id long, grp string")
     assert rows(joins.attach_group(facts, entities), "entity_id") == [(1, 5.0, "A"), (2, 6.0, "Desconhecido"), (9, 7.0, "Desconhecido")]
     places = spark.createDataFrame([(1, "X"), (2, "Q")], "entity_id long, region string")
-    known = spark.createDataFrame([("X", 3.0)], "region string, distance_km double")
+    known = spark.createDataFrame([("X", 3.0), ("X", 3.0)], "region string, distance_km double")
     assert rows(joins.attach_distance(places, known).select("entity_id", "distance_km"), "entity_id") == [(1, 3.0), (2, 0.0)]
 
 

@@ -47,7 +47,7 @@ def test_a_gap_keeps_a_request_pending(spark):
     assert rows(kept.select("entity_id", "id"), "id") == [(1, 1), (1, 2)] and rows(done) == [(1, 2023)]
 
 
-def test_pages_stay_in_place_or_are_salted(spark, monkeypatch):
+def test_pages_stay_in_place_or_are_sorted(spark):
     df = spark.range(900).select(
         F.when(F.col("id") < 300, 0).otherwise(F.col("id") % 40).cast("long").alias("request_entity"), F.lit(2023).alias("request_year"),
         F.col("id").alias("page"), F.expr("filter(array(named_struct('id', id, 'valorLiquido', 1D)), x -> id % 200 <> 199)").alias("dados"),
@@ -56,9 +56,12 @@ def test_pages_stay_in_place_or_are_salted(spark, monkeypatch):
     kept = pages.page_stop(df, stops=stops)
     text = kept._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
-    salted = pages.page_stop(df, stops=stops)
-    assert rows(kept.select("page"), "page") == rows(salted.select("page"), "page")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = pages.page_stop(df, stops=stops)
+        assert rows(kept.select("page"), "page") == rows(large.select("page"), "page")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     want = df.toPandas()
     first = want[want.dados.str.len() == 0].groupby("request_entity").page.min()
     limit = want.request_entity.map(first).fillna(10**9)
