@@ -348,12 +348,15 @@ def near_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     marked, frequent = describe(docs)
     sets = materialize(prefixes(docs, frequent), "prefixes")
+    release(docs)
     members = materialize(regions(sets), "regions")
+    release(docs)
     slim = sets.drop("light", "heavy")
     near = narrowed(members.select(F.col("pivot").alias("a"), F.col("key").alias("b")), slim)
     # distance to the pivot of a region; without a figure it is more than any link's
     bags = materialize(bags_of(docs, every_key(near).join(slim.select("key", "rep"), "key")), "bags")
     tested = materialize(linked(near, bags), "tested")
+    release(docs)
     roots = components(tested.where("link").select("a", "b"))
     cells = members
     members = materialize(with_distances(cells, tested, slim), "members")
