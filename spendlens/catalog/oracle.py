@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+
 from ..functions.text import DEFAULT_CATEGORY, EXPENSE_RULES, SLUG_FROM, SLUG_TO
 from ..operators.groups import PROFILE
 from ..operators.stats import METRICS
@@ -43,28 +45,40 @@ events_per as (select entity_id, count(*) as event_total from event group by 1)"
 
 EARTH = "6378.137"
 FLAT = "(1 / 298.257223563)"
-
-
-def lambert(lat: str, lon: str, source: str) -> str:
-    """CTEs ending in ``far``: rows of ``source`` plus ``km`` to the reference point."""
-    return f"""far1 as (
-  select *, atan((1 - {FLAT}) * tan(radians({lat}))) as b1,
-    atan((1 - {FLAT}) * tan(radians(cast(-15.7975 as double)))) as b2,
-    radians(cast(-47.8919 as double)) - radians({lon}) as dl from {source}),
-far2 as (
-  select *, 2 * asin(sqrt(pow(sin((b2 - b1) / 2), 2) + cos(b1) * cos(b2) * pow(sin(dl / 2), 2))) as s,
-    (b1 + b2) / 2 as p, (b2 - b1) / 2 as q from far1),
-far as (
-  select *, {EARTH} * (s - {FLAT} / 2 * (
-    (s - sin(s)) * pow(sin(p), 2) * pow(cos(q), 2) / pow(cos(s / 2), 2)
-    + (s + sin(s)) * pow(cos(p), 2) * pow(sin(q), 2) / pow(sin(s / 2), 2))) as km from far2)"""
+ROOT = f"sqrt(1 + (1 / pow(1 - {FLAT}, 2) - 1) * (1 - pow(lean, 2)) * pow(sin(start + width * {{}}), 2))"
+ROUNDS = 8
+
+
+def integral(height: str) -> str:
+    """Over the arc, in ten places; ``{}`` stands for the root."""
+    places = zip(*(v.tolist() for v in np.polynomial.legendre.leggauss(10)))
+    return "width * (" + " + ".join(f"{w / 2!r} * {height.format(ROOT.format(f'{(x + 1) / 2!r}'))}" for x, w in places) + ")"
+
+
+def geodesic(lat: str, lon: str, source: str) -> str:
+    """CTEs ending in ``far``: rows of ``source`` plus ``km`` to the reference point, by a fixed number of rounds."""
+    ctes = [f"""far0 as (
+  select *, turn as lam from (select *, sin(b1) as s1, cos(b1) as c1, sin(b2) as s2, cos(b2) as c2 from (
+    select *, atan((1 - {FLAT}) * tan(radians({lat}))) as b1,
+      atan((1 - {FLAT}) * tan(radians(cast(-15.7975 as double)))) as b2,
+      radians(cast(-47.8919 as double) - {lon}) as turn from {source})))"""]
+    for k in range(ROUNDS + 1):
+        ctes.append(f"""arc{k} as (
+  select * exclude (x, y, z), atan2(sqrt(x * x + y * y), z) as width, c1 * x / sqrt(x * x + y * y) as lean,
+    atan2(s1, c1 * y / sqrt(x * x + y * y)) as start
+  from (select *, c2 * sin(lam) as x, c1 * s2 - s1 * c2 * cos(lam) as y, s1 * s2 + c1 * c2 * cos(lam) as z from far{k}))""")
+        if k < ROUNDS:
+            slower = integral(f"(2 - {FLAT}) / (1 + (1 - {FLAT}) * {{}})")
+            ctes.append(f"far{k + 1} as (select * exclude (width, lean, start) replace (turn + {FLAT} * lean * {slower} as lam) from arc{k})")
+    ctes.append(f"far as (select *, {EARTH} * (1 - {FLAT}) * {integral('{}')} as km from arc{ROUNDS})")
+    return ",\n".join(ctes)
 
 
 CENTROID = """centroid as (
   select n_name as region, cast(-30 as double) + n_nationkey * cast(1.3 as double) as lat,
     cast(-70 as double) + n_nationkey * cast(1.2 as double) as lon from nation)"""
 
-MODEL = f"""{ENTITY}, {EXPENSE}, {ITEM}, {EVENT}, {SPEND}, {COUNTS}, {CENTROID}, {lambert('lat', 'lon', 'centroid')},
+MODEL = f"""{ENTITY}, {EXPENSE}, {ITEM}, {EVENT}, {SPEND}, {COUNTS}, {CENTROID}, {geodesic('lat', 'lon', 'centroid')},
 model as (
   select e.entity_id, name, grp, e.region, coalesce(km, 0) as distance_km,
     coalesce(spend_total, 0) as spend_total, coalesce(spend_net, 0) as spend_net,
@@ -203,6 +217,8 @@ Z = f"""z as (
       f"coalesce(({m} - avg({m}) over ()) / coalesce(nullif(stddev_pop({m}) over (), 0), 1), 0) as {m}_z" for m in METRICS
   )} from profile)"""
 
+_CENTRE = ", ".join(f"avg({m}_z) as {m}_c" for m in METRICS)
+
 
 def group_medians(renames: dict[str, str], aggregate: str = "quantile_cont({}, 0.5)") -> str:
     renamed = "grp"
@@ -322,7 +338,7 @@ ORACLE: dict[str, str] = {
     "spend_per_distance": f"with {MODEL} select entity_id, round(spend_per_km, 6) as spend_per_km from model",
     "distance_km": f"""with place as (select c_custkey, cast(-30 as double) + c_nationkey * cast(1.3 as double)
         + c_acctbal / cast(10000 as double) as lat, cast(-70 as double) + c_nationkey * cast(1.2 as double) as lon from customer),
-        {lambert('lat', 'lon', 'place')} select c_custkey, round(km, 6) as km from far""",
+        {geodesic('lat', 'lon', 'place')} select c_custkey, round(km, 6) as km from far""",
     "polygon_centroid": """with place as (select c_custkey, cast(-30 as double) + c_nationkey * cast(1.3 as double)
         + c_acctbal / cast(10000 as double) as lat, cast(-70 as double) + c_nationkey * cast(1.2 as double) as lon,
         cast(2 as double) + abs(c_acctbal) / cast(10000 as double) as w from customer)
@@ -355,7 +371,7 @@ ORACLE: dict[str, str] = {
           left join events_per using (entity_id)""",
     "attach_category_columns": f"with {EXPENSE}, {SPEND} select * from spend",
     "attach_group": f"""with {CELLS} select l_orderkey, l_linenumber, l_suppkey, entity_id, amount, grp, name from labelled""",
-    "attach_distance": f"""with {ENTITY}, {CENTROID}, {lambert('lat', 'lon', 'centroid')}
+    "attach_distance": f"""with {ENTITY}, {CENTROID}, {geodesic('lat', 'lon', 'centroid')}
         select entity_id, round(km, 6) as distance_km from entity join far using (region)
         union all select -entity_id - 1, 0 from entity where entity_id % 10 = 3""",
     "dedup_rows": "select distinct l_partkey, l_returnflag, l_linestatus from lineitem",
@@ -369,6 +385,20 @@ ORACLE: dict[str, str] = {
           greatest(amount, 0) as amount_pos, amount < 0 as is_refund
         from (select *, case when l_returnflag = 'R' then -l_extendedprice else l_extendedprice end as amount from lineitem)
           join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey""",
+    "clean_counts": f"""with {ENTITY}, {EXPENSE},
+        sent as (select l_orderkey, l_partkey, l_suppkey, l_linenumber, kind, yr, amount < 0 as twice,
+            case when l_linenumber <> 7 then entity_id end as entity_id, case when l_linenumber <> 6 then amount end as amount from expense),
+        one as (select distinct * exclude (twice) from sent),
+        kept as (select * from one where entity_id is not null and amount is not null)
+        select 'read' as counted, (select count(*) + count(*) filter (twice) from sent) as rows
+        union all select 'distinct', (select count(*) from one)
+        union all select 'keyed', (select count(*) from one where entity_id is not null)
+        union all select 'kept', (select count(*) from kept)
+        union all select 'entities', (select count(*) from entity)
+        union all select 'without_expense', (select count(*) from entity where entity_id not in (select entity_id from kept))
+        union all select 'without_distance', 0""",
+    "stored_facts": f"""with {ENTITY}, {EXPENSE}, {SPEND} select entity_id, name, grp, region, spend_total, spend_net,
+        expense_count, refund_count from entity left join spend using (entity_id)""",
     "clean_items": f"with {EXPENSE} select entity_id, l_orderkey as item_id, min(yr) as yr from expense group by 1, 2",
     "clean_items_collapsed": f"""with {ITEM} select * from item
         qualify row_number() over (partition by entity_id order by item_id, yr) = 1""",
@@ -500,6 +530,23 @@ ORACLE: dict[str, str] = {
     "group_distance": f"""with {MEAN_PROFILE}, {Z} select a.grp, b.grp as other,
         round(sqrt({' + '.join(f'pow(a.{m}_z - b.{m}_z, 2)' for m in METRICS)}), 6) as distance
         from z a join z b on a.grp < b.grp""",
+    "group_hierarchy": f"""with recursive {MEAN_PROFILE}, {Z},
+        state(step, grp, part) as (
+          select 0, grp, grp from z
+          union all
+          select s.step + 1, s.grp, case when s.part = b.b then b.a else s.part end
+          from state s, (
+            select a.part as a, b.part as b
+            from (select part, count(*) as n, {_CENTRE} from state join z using (grp) group by part) a
+            join (select part, count(*) as n, {_CENTRE} from state join z using (grp) group by part) b on a.part < b.part
+            where (select count(distinct part) from state) > 4
+            order by a.n * b.n / (a.n + b.n) * ({' + '.join(f'pow(a.{m}_c - b.{m}_c, 2)' for m in METRICS)}), a.part, b.part
+            limit 1) b),
+        cut as (select grp, part from state where step = (select max(step) from state)),
+        centre as (select part, {_CENTRE} from cut join z using (grp) group by part)
+        select grp, cast(dense_rank() over (order by part) - 1 as integer) as cluster,
+          round(sqrt({' + '.join(f'pow({m}_z - {m}_c, 2)' for m in METRICS)}), 6) as to_centre
+        from cut join z using (grp) join centre using (part)""",
     "scatter_mart": f"""with {MASTER} select entity_id, round(log_spend, 6) as log_spend, round(activity, 6) as activity,
         name, grp, region, spend_total, round(cost_per_activity, 6) as cost_per_activity from master""",
     "scatter_mart_raw": f"""with {MASTER} select entity_id, round(activity, 6) as activity, name, grp, region, spend_total,

@@ -10,7 +10,9 @@ from ..functions import geo, measures, numbers, text
 from ..operators import (
     clean, cluster, dedup, filters, groups, hierarchy, joins, order_stats, ranking, scaling, stats, totals,
 )
-from ..session import scratch_path
+from ..operators.counts import Counts
+from ..plans import tables
+from ..session import materialize, scratch_path
 from ..sources import files, pages, regions, worklist
 from ..streaming import ingest
 from .tables import CATEGORIES, DEFAULT, RULES, Tables
@@ -584,6 +586,31 @@ def clean_expenses(t: Tables) -> DataFrame:
     return clean.clean_expenses(twice)
 
 
+@query
+def clean_counts(t: Tables) -> DataFrame:
+    """Refunds twice, some keys and amounts no numbers: what cleaning read and kept, counted as it ran."""
+    line = F.col("l_linenumber")
+    rows = t.raw_expenses().withColumns({
+        "id": F.when(line == 7, "none").otherwise(F.col("entity_id").cast("string")),
+        "copy": F.explode(F.sequence(F.lit(1), F.when(F.col("amount") < 0, F.lit(2)).otherwise(F.lit(1)))),
+    }).withColumn("amount", F.when(line == 6, "n/a").otherwise(F.col("amount").cast("string"))).drop("entity_id", "copy")
+    counts = Counts()
+    spent = materialize(clean.clean_expenses(rows, counts=counts), "expenses")
+    model = tables.modelling_table(t.entities(), spent, t.items(), t.events(), t.distances())
+    materialize(tables.counted_model(model, counts), "model")
+    return counts.table(t.spark)
+
+
+@query
+def stored_facts(t: Tables) -> DataFrame:
+    """Totals and their join with the entities on facts stored by entity."""
+    def stored(df: DataFrame, label: str) -> DataFrame:
+        path = scratch_path(t.spark, label)
+        return files.write_facts(df, path, path.rsplit("/", 1)[-1].replace("-", "_"), "entity_id", 8)
+
+    return joins.attach_metrics(stored(t.entities(), "entities"), totals.expense_totals(stored(t.amounts(), "facts")))
+
+
 @query
 def clean_items(t: Tables) -> DataFrame:
     rows = t.entity_lines().select("entity_id", F.col("l_orderkey").alias("item_id"), "yr")
@@ -922,7 +949,7 @@ def group_distance(t: Tables) -> DataFrame:
 
 @query
 def group_hierarchy(t: Tables) -> DataFrame:
-    return cluster.group_hierarchy(t.stored_master()).select("grp", "cluster", "to_centre")
+    return rounded(cluster.group_hierarchy(t.stored_master()).select("grp", "cluster", "to_centre"), "to_centre")
 
 
 @query

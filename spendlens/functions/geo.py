@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
 from pyspark.sql import Column, functions as F
 
 # WGS-84 radius (km) and flattening, and the reference point (latitude, longitude).
@@ -9,27 +12,74 @@ EARTH_RADIUS_KM = 6378.137
 FLATTENING = 1 / 298.257223563
 REFERENCE_POINT = (-15.7975, -47.8919)
 
+SECOND_ECCENTRICITY = 1 / (1 - FLATTENING) ** 2 - 1  # squared
+NODES = np.polynomial.legendre.leggauss(12)
+STEPS, SETTLED = 40, 1e-14
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value worked out once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def along(arc: Column, height: Callable[[Column], Column]) -> Column:
+    """Integral of ``height(sqrt(1 + k2 sin(s) ** 2))`` from the arc's start over its width."""
+    half = arc["width"] / 2
+    total = F.lit(0.0)
+    for node, weight in zip(*(v.tolist() for v in NODES)):
+        sine = F.sin(arc["start"] + half * F.lit(1 + node))
+        total = total + F.lit(weight) * height(F.sqrt(F.lit(1.0) + arc["k2"] * sine * sine))
+    return total * half
+
+
+def great_arc(ends: Column, turn: Column) -> Column:
+    """The arc on the auxiliary sphere between reduced latitudes that lie ``turn`` apart in longitude."""
+    across = ends["c2"] * F.sin(turn)
+    up = ends["c1"] * ends["s2"] - ends["s1"] * ends["c2"] * F.cos(turn)
+    sides = F.struct(
+        across.alias("across"), up.alias("up"), F.hypot(across, up).alias("sine"),
+        (ends["s1"] * ends["s2"] + ends["c1"] * ends["c2"] * F.cos(turn)).alias("cosine"),
+    )
+
+    def measured(m: Column) -> Column:
+        unit = F.nullif(m["sine"], F.lit(0.0))
+        lean = F.coalesce(ends["c1"] * m["across"] / unit, F.lit(0.0))  # sine of the azimuth at the equator
+        return F.struct(
+            F.atan2(m["sine"], m["cosine"]).alias("width"), lean.alias("lean"),
+            F.coalesce(F.atan2(ends["s1"], ends["c1"] * m["up"] / unit), F.lit(0.0)).alias("start"),
+            (F.lit(SECOND_ECCENTRICITY) * (F.lit(1.0) - lean * lean)).alias("k2"),
+        )
+
+    return let(sides, measured)
+
 
 def distance_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Lambert's closed form for long lines; within metres of the iterative geodesic."""
+    """Length of the geodesic on the ellipsoid, to less than a millimetre.
+
+    The longitude difference on the auxiliary sphere is iterated until it moves by less than ``SETTLED``; both
+    integrals of each step are Gauss-Legendre sums. Of points nearly opposite each other (within some 100 km) the
+    iteration may not settle in ``STEPS`` steps, and the last step's length is given. NULL where a coordinate is.
+    """
     flat = F.lit(1 - FLATTENING)
     b1, b2 = (F.atan(flat * F.tan(F.radians(lat))) for lat in (lat1, lat2))
-    half = F.lit(0.5)
-    hav = F.pow(F.sin((b2 - b1) * half), F.lit(2.0)) + F.cos(b1) * F.cos(b2) * F.pow(
-        F.sin(F.radians(lon2 - lon1) * half), F.lit(2.0)
+    turn = lon2 - lon1
+    ends = F.struct(
+        F.sin(b1).alias("s1"), F.cos(b1).alias("c1"), F.sin(b2).alias("s2"), F.cos(b2).alias("c2"),
+        F.radians(turn - F.lit(360.0) * F.round(turn / F.lit(360.0))).alias("turn"),
     )
-    sigma = F.lit(2.0) * F.asin(F.sqrt(F.least(hav, F.lit(1.0))))
-    p, q = (b1 + b2) * half, (b2 - b1) * half
 
-    def square(x: Column) -> Column:
-        return x * x
+    def geodesic(e: Column) -> Column:
+        def step(state: Column, _: Column) -> Column:
+            moved = let(great_arc(e, state["turn"]), lambda arc: e["turn"] + F.lit(FLATTENING) * arc["lean"] * along(
+                arc, lambda root: F.lit(2 - FLATTENING) / (F.lit(1.0) + flat * root)))
+            next_ = let(moved, lambda to: F.struct(to.alias("turn"), F.abs(to - state["turn"]).alias("gap")))
+            return F.when(state["gap"] < SETTLED, state).otherwise(next_)
 
-    x = (sigma - F.sin(sigma)) * square(F.sin(p) * F.cos(q)) / square(F.cos(sigma * half))
-    y = (sigma + F.sin(sigma)) * square(F.cos(p) * F.sin(q)) / square(
-        F.nullif(F.sin(sigma * half), F.lit(0.0))
-    )
-    km = F.lit(EARTH_RADIUS_KM) * (sigma - F.lit(FLATTENING / 2) * (x + y))
-    return F.when(sigma == 0, F.lit(0.0)).otherwise(km)
+        first = F.struct(e["turn"].alias("turn"), F.lit(1.0).alias("gap"))
+        last = F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), first, step, lambda state: state["turn"])
+        return let(great_arc(e, last), lambda arc: F.lit(EARTH_RADIUS_KM * (1 - FLATTENING)) * along(arc, lambda root: root))
+
+    return let(ends, geodesic)
 
 
 def distance_to_reference(lat: Column, lon: Column, point: tuple[float, float] = REFERENCE_POINT) -> Column:

@@ -8,6 +8,7 @@ from ..functions.numbers import (
     INFINITY, clip_floor, coerce_number, coerce_whole, coerce_year_value, flag_refund, parse_money,
 )
 from ..functions.text import DEFAULT_CATEGORY, EXPENSE_RULES, Rules, classify_text
+from .counts import Counts
 from .dedup import dedup_first, dedup_rows
 from .filters import drop_null_key
 
@@ -69,17 +70,20 @@ def clean_entities(raw: DataFrame, order: list | None = None) -> DataFrame:
     return dedup_first(select_core(keyed), ["entity_id"], order)
 
 
-def clean_expenses(raw: DataFrame, money_text: bool = False) -> DataFrame:
+def clean_expenses(raw: DataFrame, money_text: bool = False, counts: Counts | None = None) -> DataFrame:
     """Distinct rows, integer key, year, numeric amount, floored amount and refund flag.
 
-    ``money_text`` reads text amounts written as ``R$ 1.234,56``; numeric amounts pass through.
+    ``money_text`` reads text amounts written as ``R$ 1.234,56``; numeric amounts pass through. ``counts`` counts the
+    rows read, the distinct ones, those with a key, and those kept.
     """
-    rows = coerce_year(coerce_key(resolve_key(dedup_rows(raw))))
+    watch = counts.watch if counts else lambda df, _: df
+    keyed = coerce_key(resolve_key(watch(dedup_rows(watch(raw, "read")), "distinct")))
+    rows = coerce_year(watch(keyed, "keyed"))
     if money_text and isinstance(rows.schema["amount"].dataType, T.StringType):
         rows = rows.withColumn("amount", F.when(F.col("amount").isNotNull(), parse_money(F.col("amount"))))
     # One test drops NULL, NaN and infinity; it is pushed below the shuffle, so it reads the amount once.
     rows = coerce_value(rows).where(F.abs("amount") < F.lit(INFINITY))
-    return rows.withColumns({
+    return watch(rows, "kept").withColumns({
         "amount_pos": clip_floor(F.col("amount")),
         "is_refund": flag_refund(F.col("amount")),
     })

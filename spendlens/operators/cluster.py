@@ -1,14 +1,14 @@
-"""k-means over entities and bisecting k-means over group profiles, both by Spark ML."""
+"""k-means over entities by Spark ML, and a hierarchy of group profiles."""
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.clustering import BisectingKMeans, KMeans
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.geo import let
 from ..functions.numbers import null_nonfinite
 from ..session import materialize
 from .groups import group_zscores
@@ -21,7 +21,6 @@ RESTARTS = 10
 SEED = 42
 MAX_ITERATIONS = 300
 TOLERANCE = 1e-4  # a fit stops once the squared moves of its centres sum to at most this (unit variance)
-ORIGIN_SHIFT = 10.0
 
 
 def scaled_features(df: DataFrame, features: list[str] = FEATURES) -> DataFrame:
@@ -53,13 +52,15 @@ def kmeans_sweep(df: DataFrame, features: list[str] = FEATURES, ks=SWEEP, restar
         ).fit(vectors)
 
     tasks = [(k, turn) for k in ks for turn in range(restarts)]
-    with ThreadPoolExecutor(max_workers=parallel) as pool:
-        models = list(pool.map(fit, tasks))
+    try:
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            models = list(pool.map(fit, tasks))
+    finally:
+        vectors.unpersist()
     best = {}
     for (k, _), model in zip(tasks, models):
         if k not in best or model.summary.trainingCost < best[k].summary.trainingCost:
             best[k] = model
-    vectors.unpersist()
     lowest = min(best, key=lambda k: best[k].summary.trainingCost)
     model = best[lowest]
     order = sorted(range(len(model.clusterCenters())), key=lambda i: tuple(model.clusterCenters()[i]))
@@ -79,24 +80,53 @@ def cluster_summary(labelled: DataFrame) -> DataFrame:
     )
 
 
-def group_hierarchy(df: DataFrame, n: int = 12, metrics: list[str] = METRICS, leaves: int = 4,
-                    seed: int = SEED) -> DataFrame:
-    """Group profiles ordered by similarity: split top-down into clusters, then by distance to centre.
+def agglomerated(points: Column, leaves: int) -> Column:
+    """Clusters of few points (structs of name and place): the two whose union raises the squared distances to the
+    centres least become one, until ``leaves`` are left. Structs of name (the smallest), n, centre and members.
 
-    Fewer than three groups give no rows. The profiles are moved off the origin before the split: the
-    algorithm places its two starting centres in proportion to the length of the mean, which is 0 for
-    z-scores. Distances do not change.
+    A fold inside one row, for points whose number is the size of a report.
+    """
+    start = F.transform(F.array_sort(points), lambda p: F.struct(
+        p["name"].alias("name"), F.lit(1.0).alias("n"), p["place"].alias("centre"), F.array(p["name"]).alias("members")))
+
+    def cost(a: Column, b: Column) -> Column:
+        gaps = F.zip_with(a["centre"], b["centre"], lambda x, y: (x - y) * (x - y))
+        return a["n"] * b["n"] / (a["n"] + b["n"]) * F.aggregate(gaps, F.lit(0.0), lambda t, v: t + v)
+
+    def united(a: Column, b: Column) -> Column:
+        n = a["n"] + b["n"]
+        centre = F.zip_with(a["centre"], b["centre"], lambda x, y: (x * a["n"] + y * b["n"]) / n)
+        return F.struct(a["name"].alias("name"), n.alias("n"), centre.alias("centre"),
+                        F.concat(a["members"], b["members"]).alias("members"))
+
+    def step(state: Column, _: Column) -> Column:
+        pairs = F.flatten(F.transform(state, lambda a: F.transform(
+            F.filter(state, lambda b: b["name"] > a["name"]),
+            lambda b: F.struct(cost(a, b).alias("cost"), a["name"].alias("a"), b["name"].alias("b")))))
+
+        def merged(best: Column) -> Column:
+            gone = F.filter(state, lambda c: c["name"] == best["b"])
+            rest = F.filter(state, lambda c: c["name"] != best["b"])
+            return F.transform(rest, lambda c: F.when(c["name"] == best["a"], united(c, F.get(gone, F.lit(0)))).otherwise(c))
+
+        return let(F.array_min(pairs), merged)
+
+    steps = F.array_repeat(F.lit(0), F.greatest(F.size(points) - leaves, F.lit(0)))
+    return F.aggregate(steps, start, step)
+
+
+def group_hierarchy(df: DataFrame, n: int = 12, metrics: list[str] = METRICS, leaves: int = 4) -> DataFrame:
+    """Group profiles ordered by similarity: joined bottom-up into ``leaves`` clusters, then by distance to centre.
+
+    Clusters are numbered by their smallest group name. Fewer than three groups give no rows.
     """
     scored = materialize(group_zscores(df, n, metrics), "profiles")
     z = [c for c in scored.columns if c.endswith("_z")]
-    groups = scored.limit(3).count()
-    if groups < 3:
-        return scored.limit(0).withColumns({"cluster": F.lit(0), "to_centre": F.lit(0.0)})
-    shifted = scored.withColumns({f"__{c}": F.col(c) + F.lit(ORIGIN_SHIFT) for c in z})
-    vectors = VectorAssembler(inputCols=[f"__{c}" for c in z], outputCol="__x").transform(shifted)
-    model = BisectingKMeans(k=leaves, seed=seed, featuresCol="__x", predictionCol="cluster").fit(vectors)
-    centres = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in model.clusterCenters()])
-    gaps = F.zip_with(vector_to_array("__x"), F.element_at(centres, F.col("cluster") + 1), lambda a, b: (a - b) * (a - b))
-    return model.transform(vectors).withColumn(
+    point = F.struct(F.col("grp").alias("name"), F.array(*z).alias("place"))
+    found = scored.agg(F.collect_list(point).alias("points")).where(F.size("points") >= 3)  # at most n
+    clusters = found.select(F.posexplode(agglomerated(F.col("points"), leaves)).alias("cluster", "c"))
+    members = clusters.select("cluster", "c.centre", F.explode("c.members").alias("grp"))
+    gaps = F.zip_with(F.array(*z), "centre", lambda a, b: (a - b) * (a - b))
+    return scored.join(members, "grp").withColumn(
         "to_centre", F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda a, b: a + b))
     ).select(*scored.columns, "cluster", "to_centre").orderBy("cluster", "to_centre", "grp")

@@ -17,6 +17,7 @@ from ..operators import cluster, groups, hierarchy, ranking, stats
 from ..operators.clean import (
     categorise_expenses, clean_entities, clean_events, clean_expenses, clean_items, fill_zero, pick_time_column, resolve_key,
 )
+from ..operators.counts import Counts
 from ..operators.order_stats import melt_metrics
 from ..operators.totals import category_totals
 from ..sources.files import read_optional, read_preferred, read_table, write_report, write_table
@@ -24,7 +25,7 @@ from ..sources.regions import read_regions, region_centroids, region_distances
 from ..sources.schemas import to_canonical, to_source_names
 from ..sources.worklist import build_worklist, mark_done, merge_batches, pending_work, union_entities
 from ..streaming.ingest import ingest_dataset
-from .tables import master_table, modelling_table, prepared_master
+from .tables import counted_model, master_table, modelling_table, prepared_master
 
 CLEANERS = {
     "entities": clean_entities, "expenses": clean_expenses, "items": clean_items, "events": clean_events,
@@ -74,16 +75,20 @@ def clean_job(spark: SparkSession, raw: str, out: str, regions: str | None = Non
     """Raw tables to clean tables and the modelling table.
 
     Expenses are stored by year. ``regions`` is a GeoJSON file; without it every distance is 0.
-    ``source_names`` writes the modelling table under the source's column names.
+    ``source_names`` writes the modelling table under the source's column names. ``clean_counts.json`` tells how many
+    expense rows were read, distinct, keyed and kept, and how many entities have no expense or no distance.
     """
+    counts = Counts()
     for name, clean in CLEANERS.items():
-        rows = clean(to_canonical(read_preferred(spark, f"{raw}/{name}")))
+        extra = {"counts": counts} if name == "expenses" else {}
+        rows = clean(to_canonical(read_preferred(spark, f"{raw}/{name}")), **extra)
         by_year = ("yr",) if name == "expenses" and "yr" in rows.columns else ()
         _store(rows, f"{out}/{name}_clean", partition_by=by_year)
     stored = [read_table(spark, f"{out}/{name}_clean.parquet") for name in CLEANERS]
     distances = region_distances(region_centroids(read_regions(spark, regions))) if regions else None
     model = modelling_table(*stored, distances)
-    write_table(model, f"{out}/modelling.parquet")
+    write_table(counted_model(model, counts), f"{out}/modelling.parquet")
+    write_report(counts.table(spark), f"{out}/clean_counts.json")
     model = read_table(spark, f"{out}/modelling.parquet")
     write_table(to_source_names(model) if source_names else model, f"{out}/modelling.csv", "csv")
 

@@ -10,6 +10,7 @@ from ..functions.measures import (
 from ..functions.numbers import clip_floor, coerce_number, log1p_spend, null_nonfinite
 from ..functions.text import DEFAULT_CATEGORY, categories_of, category_column, fill_unknown
 from ..operators.clean import fill_zero
+from ..operators.counts import Counts
 from ..operators.dedup import dedup_first
 from ..operators.joins import attach_distance, attach_metrics
 from ..operators.order_stats import spend_band
@@ -33,6 +34,12 @@ def modelling_table(entities: DataFrame, expenses: DataFrame, items: DataFrame,
     })
 
 
+def counted_model(model: DataFrame, counts: Counts) -> DataFrame:
+    """The modelling table, whose entities, those without expenses and those without a distance are counted."""
+    return counts.watch(
+        model, "entities", without_expense=F.col("expense_count") == 0, without_distance=F.col("distance_km") == 0)
+
+
 def master_table(entities: DataFrame, expenses: DataFrame, items: DataFrame, events: DataFrame,
                  categories: list[str] | None = None, default: str = DEFAULT_CATEGORY) -> DataFrame:
     """One row per entity: totals, one spend column per category, activity, cost, no-expense flag.

@@ -65,6 +65,17 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tu
         raise ValueError(f"unknown format: {fmt}")
 
 
+def write_facts(df: DataFrame, path: str, name: str, key: str, buckets: int) -> DataFrame:
+    """Store ``df`` at ``path`` in ``buckets`` by the hash of ``key``, as table ``name`` of the session's catalog.
+
+    Totals by the key, and joins with tables of as many buckets, then need no exchange. Rows are rebalanced by the key
+    first: few files for each bucket, and a hot key's rows are written by several tasks.
+    """
+    writer = df.hint("rebalance", key).write.mode("overwrite").bucketBy(buckets, key)
+    writer.option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def write_report(df: DataFrame, path: str) -> None:
     """Summary records as JSON lines; NULL fields are kept."""
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)

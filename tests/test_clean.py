@@ -4,9 +4,11 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from spendlens.operators import clean, filters, groups, totals
+from spendlens.operators import clean, filters, groups, joins, totals
+from spendlens.operators.counts import Counts
 from spendlens.operators.dedup import dedup_first, dedup_rows
 from spendlens.plans.tables import master_table, modelling_table, prepared_columns, prepared_master
+from spendlens.sources.files import write_facts
 from spendlens.sources.schemas import to_canonical, to_source_names
 
 
@@ -159,3 +161,30 @@ def test_source_names_round_trip(spark):
     df = spark.createDataFrame([(1, 2.0)], "idDeputado long, valorLiquido double")
     assert to_canonical(df).columns == ["entity_id", "amount"]
     assert to_source_names(to_canonical(df)).columns == df.columns
+
+
+def test_counts_are_taken_in_the_same_pass(spark):
+    raw = spark.createDataFrame(
+        [("1", "5"), ("1", "5"), ("x", "6"), ("2", "n/a"), ("3", "-1")], "id string, amount string")
+    counts = Counts()
+    assert clean.clean_expenses(raw, counts=counts).count() == 2
+    assert {r.counted: r.rows for r in counts.table(spark).collect()} == {"read": 5, "distinct": 4, "keyed": 3, "kept": 2}
+
+
+def test_facts_stored_by_entity_need_no_exchange(spark, tmp_path):
+    spent = spark.range(1000).select((F.col("id") % 50).alias("entity_id"), F.col("id").cast("double").alias("amount_pos"),
+                                     F.col("id").cast("double").alias("amount"), (F.col("id") < 0).alias("is_refund"))
+    people = spark.range(50).select(F.col("id").alias("entity_id"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        facts = write_facts(spent, str(tmp_path / "facts"), "facts_by_entity", "entity_id", 4)
+        known = write_facts(people, str(tmp_path / "people"), "people_by_entity", "entity_id", 4)
+        joined = joins.attach_metrics(known, totals.expense_totals(facts))
+        assert joined.count() == 50 and joined.agg(F.sum("spend_total")).first()[0] == 499500.0
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        plain = joins.attach_metrics(people, totals.expense_totals(spent))
+        assert "Exchange" in plain._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("drop table if exists facts_by_entity")
+        spark.sql("drop table if exists people_by_entity")

@@ -2,6 +2,7 @@
 
 import json
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F, types as T
@@ -187,3 +188,25 @@ def test_group_hierarchy(spark):
     got = {r.grp: r.cluster for r in cluster.group_hierarchy(df, leaves=2).collect()}
     assert got["A"] == got["B"] != got["C"] == got["D"]
     assert cluster.group_hierarchy(df.where("grp = 'A'")).count() == 0
+
+
+def test_group_hierarchy_like_plain_joins(spark):
+    """Against the unions chosen one by one in plain Python."""
+    random = np.random.default_rng(5)
+    data = [(i, f"g{i:02}", *random.normal(size=len(cluster.METRICS)).round(3).tolist()) for i in range(9)]
+    df = spark.createDataFrame(data, ["entity_id", "grp", *cluster.METRICS])
+    points = np.array([r[2:] for r in data])
+    points = (points - points.mean(axis=0)) / points.std(axis=0)
+    parts = [[i] for i in range(9)]
+
+    def rise(a, b):
+        spread = lambda m: ((points[m] - points[m].mean(axis=0)) ** 2).sum()
+        return spread(a + b) - spread(a) - spread(b)
+
+    while len(parts) > 3:
+        _, i, j = min((rise(parts[i], parts[j]), i, j) for j in range(len(parts)) for i in range(j))
+        parts[i] = parts[i] + parts.pop(j)
+    got = {}
+    for r in cluster.group_hierarchy(df, n=9, leaves=3).collect():
+        got.setdefault(r.cluster, []).append(int(r.grp[1:]))
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, parts))
