@@ -77,9 +77,13 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     Learns from at most ``sample`` documents of each non-null language, those with the smallest hash of their
     key; their whole texts count. Ties in frequency go by n-gram.
     """
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(key), key)
-    known = docs.where(F.col(lang).isNotNull()).select(F.col(key).alias(key), F.col(lang).alias("lang"))
-    chosen = known.withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample).select(key, "lang").distinct()
+    known = docs.where(F.col(lang).isNotNull()).select(F.col(key).alias(key), F.col(lang).alias("lang")).distinct()
+    first = [F.xxhash64(key), key]
+    deal = F.pmod(F.xxhash64(key, F.lit("deal")), F.lit(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    # a language may hold a third of all rows: its slices first, then what is left of them
+    few = known.withColumn("k", F.row_number().over(Window.partitionBy("lang", deal).orderBy(*first))).where(F.col("k") <= sample)
+    order = Window.partitionBy("lang").orderBy(*first)
+    chosen = few.withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample).select(key, "lang")
     rows = docs.select(key, F.col(text).alias("text")).join(F.broadcast(chosen), key).select("lang", "text")
 
     def step(batches):
