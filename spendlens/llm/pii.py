@@ -1,7 +1,8 @@
 """Personal data: base patterns, and more spans by weak supervision of regex, gazetteer and context labellers.
 
 DataFrame functions only. Candidates, votes, the expectation-maximisation's counts and the classifier's are all
-expressions; only counts by vote pattern (at most 3 ** labellers) reach the driver, where the rounds run on them.
+expressions; only counts by votes and traits (bounded, whatever the data) reach the driver, where the rounds run on
+them. The classifier sees traits of the span and its surroundings, not the votes, and learns from the votes' posteriors.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,7 +50,10 @@ CONTEXT = 24
 BLOCK = 64
 LABELLERS = 5
 ROUNDS = 40
-#: A vote pattern's chance above which the classifier's spans are given out.
+#: Levels of what the classifier sees of a candidate: its length, shares of digits, of capitals and of marks, the
+#: character before it, the one after it, and whether a word and a mark lead up to it.
+TRAITS = (4, 3, 3, 2, 3, 2, 2)
+#: A candidate's chance above which the classifier's spans are given out.
 ACCEPT = 0.5
 
 
@@ -140,10 +145,33 @@ def with_base(docs: DataFrame) -> DataFrame:
     return rows.select("*", *[base_spans(F.col("text"), k).alias(k) for k in BASE])
 
 
-def voted(text: Column, kind: str, span: Column) -> Column:
+def around(text: Column, span: Column) -> Column:
+    """What stands right before (lower case) and after a candidate, taken from the text once."""
+    lead, size = F.least(span["start"], F.lit(CONTEXT)), span["end"] - span["start"]
+    return let(F.substring(text, span["start"] - lead + 1, lead + size + 1), lambda w: F.struct(
+        F.lower(F.substring(w, F.lit(1), lead)).alias("before"), F.substring(w, lead + size + 1, F.lit(1)).alias("after")))
+
+
+def traits(span: Column, near: Column) -> Column:
+    """What the classifier sees of a candidate: one digit for each of TRAITS. No labeller's vote is among them."""
+    match = span["match"]
+    size = F.char_length(match)
+
+    def share(pattern: str, levels: int) -> Column:
+        return F.least(F.floor(F.length(F.regexp_replace(match, pattern, "")) * levels / size), F.lit(levels - 1)).cast("string")
+
+    return F.concat(
+        F.when(size < 12, "0").when(size < 20, "1").when(size < 32, "2").otherwise("3"),
+        share("[^0-9]", 3), share("[^A-Z]", 3), share("[A-Za-z0-9]", 2),
+        F.when(near["before"].rlike(r"(?:^|\s)$"), "0").when(near["before"].rlike(r"[=:\"'`(\[{<]$"), "1").otherwise("2"),
+        F.when(near["after"].rlike(r"^(?:$|[\s.,;:!?)])"), "0").otherwise("1"),
+        F.when(near["before"].rlike(r"[a-z]{2}[^a-z0-9\s]\s?$"), "1").otherwise("0"),
+    )
+
+
+def voted(kind: str, span: Column, before: Column) -> Column:
     """The labellers' votes on a candidate, as a string of LABELLERS characters."""
     match = span["match"]
-    before = F.lower(F.substring(text, F.greatest(F.lit(1), span["start"] + 1 - CONTEXT), F.least(span["start"], F.lit(CONTEXT))))
     size = F.char_length(match)
     n_digits = F.length(digits(match))
     mixed = {
@@ -171,10 +199,11 @@ def extra_spans(text: Column, kind: str, taken: list[Column]) -> Column:
             [~F.exists(t, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])) for t in taken],
         ),
     )
-    made = F.transform(
-        clear, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), voted(text, kind, s).alias("votes"))
-    )
-    empty = F.expr("cast(array() as array<struct<kind:string,start:int,end:int,votes:string>>)")
+    made = F.transform(clear, lambda s: let(around(text, s), lambda near: F.struct(
+        F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
+        voted(kind, s, near["before"]).alias("votes"), traits(s, near).alias("traits"),
+    )))
+    empty = F.expr("cast(array() as array<struct<kind:string,start:int,end:int,votes:string,traits:string>>)")
     return F.when(text.rlike(HINTS[kind]), made).otherwise(empty)
 
 
@@ -200,28 +229,44 @@ def reliabilities(counts: dict[str, int]) -> tuple[list[list[list[float]]], dict
     return chance, post
 
 
-def train(counts: dict[str, int], post: dict[str, float], rounds: int = 300) -> list[float]:
-    """Logistic weights (each labeller's vote for and against, then the bias) fitted to the posteriors."""
-    weights = [0.0] * (2 * LABELLERS + 1)
-    total = sum(counts.values()) or 1
-    for _ in range(rounds):
-        step = [0.0] * len(weights)
-        for p, n in counts.items():
-            on = [k for k in range(2 * LABELLERS) if p[k // 2] == "10"[k % 2]] + [2 * LABELLERS]
-            gap = post[p] - 1 / (1 + math.exp(-max(-30.0, min(30.0, sum(weights[k] for k in on)))))
-            for k in on:
-                step[k] += gap * n / total
-        weights = [w + 2.0 * s - 1e-4 * w for w, s in zip(weights, step)]
-    return weights
+def train(cells: dict[tuple[str, str], int], post: dict[str, float], rounds: int = 60) -> list[list[float]]:
+    """Logistic weights of each trait's levels, fitted to the posteriors of the candidates' votes by Newton's method.
 
-
-def classifier(found: DataFrame) -> dict[str, list[float]]:
-    """Fit the span classifier on all candidates of ``found`` (``with_extras``): weights for each kind."""
-    votes = found.select(F.explode("extras").alias("c")).groupBy("c.kind", "c.votes").count().collect()  # by pattern
+    ``cells`` counts candidates by votes and traits. The last list is the bias.
+    """
+    seen = sorted({t for _, t in cells})
+    at = {t: i for i, t in enumerate(seen)}
+    total, right = np.zeros(len(seen)), np.zeros(len(seen))
+    for (votes, t), n in cells.items():
+        total[at[t]] += n
+        right[at[t]] += n * post[votes]
+    starts = np.cumsum([0, *TRAITS])
+    rows = np.zeros((len(seen), starts[-1] + 1))
+    rows[:, -1] = 1
+    for i, t in enumerate(seen):
+        rows[i, [start + int(c) for start, c in zip(starts, t)]] = 1
+    weights = np.zeros(starts[-1] + 1)
+    for _ in range(rounds if seen else 0):
+        chance = 1 / (1 + np.exp(-np.clip(rows @ weights, -30, 30)))
+        slope = rows.T @ (right - total * chance) - weights
+        bend = (rows * (total * chance * (1 - chance))[:, None]).T @ rows + np.eye(len(weights))
+        weights += np.clip(np.linalg.solve(bend, slope), -2, 2)
+    return [weights[a:b].tolist() for a, b in zip(starts, [*starts[1:], len(weights)])]
+
+
+def classifier(found: DataFrame) -> dict[str, list[list[float]]]:
+    """Fit the span classifier on all candidates of ``found`` (``with_extras``): weights for each kind.
+
+    Candidates are counted by votes and traits, of which there are some 10 ** 5 at most, whatever the data.
+    """
+    cells = found.select(F.explode("extras").alias("c")).groupBy("c.kind", "c.votes", "c.traits").count().collect()
     models = {}
     for kind in LOOSE:
-        counts = {r["votes"]: r["count"] for r in votes if r["kind"] == kind}
-        models[kind] = train(counts, reliabilities(counts)[1])
+        own = {(r["votes"], r["traits"]): r["count"] for r in cells if r["kind"] == kind}
+        counts: dict[str, int] = {}
+        for (votes, _), n in own.items():
+            counts[votes] = counts.get(votes, 0) + n
+        models[kind] = train(own, reliabilities(counts)[1])
     return models
 
 
@@ -230,11 +275,10 @@ def with_extras(found: DataFrame) -> DataFrame:
     return found.withColumn("extras", F.concat(*[extra_spans(F.col("text"), k, taken) for k in LOOSE]))
 
 
-def accepted(votes: Column, weights: list[float]) -> Column:
-    score = F.lit(weights[-1])
-    for k in range(2 * LABELLERS):
-        hit = F.substring(votes, k // 2 + 1, 1) == "10"[k % 2]
-        score = score + F.when(hit, F.lit(weights[k])).otherwise(F.lit(0.0))
+def accepted(seen: Column, weights: list[list[float]]) -> Column:
+    score = F.lit(weights[-1][0])
+    for k, levels in enumerate(weights[:-1]):
+        score = score + F.get(F.array(*map(F.lit, levels)), F.substring(seen, k + 1, 1).cast("int"))
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-score)) > ACCEPT
 
 
@@ -248,7 +292,7 @@ def find(docs: DataFrame) -> DataFrame:
     found = with_extras(with_base(docs))
     models = classifier(found)
     fits = F.filter("extras", lambda c: reduce(
-        lambda a, b: a | b, [(c["kind"] == kind) & accepted(c["votes"], weights) for kind, weights in models.items()]
+        lambda a, b: a | b, [(c["kind"] == kind) & accepted(c["traits"], weights) for kind, weights in models.items()]
     ))
     return found.withColumn("extras", fits).drop("text")
 
