@@ -30,6 +30,8 @@ BITS = 18
 #: Words whose weights a Python worker remembers; beyond that it starts anew.
 MEMO_ENTRIES = 150_000
 ABSTAIN = 2
+#: Documents that the prior on the given label's accuracy is worth.
+TRUST = 100
 
 #: Everything in ASCII but letters and digits parts words.
 PARTS = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -75,16 +77,16 @@ def words_of(text: str) -> set[str]:
 def em(patterns: np.ndarray, counts: np.ndarray, gold: int, rounds: int = 60) -> tuple[np.ndarray, np.ndarray]:
     """Two-class latent model of vote patterns: (outcome probabilities [labeller, class, outcome], posteriors).
 
-    ``patterns`` [pattern, labeller] holds 0, 1 or ABSTAIN. An abstention is an outcome like any other. The start
-    is the label where there is one (labeller ``gold``), else whether any labeller says 1; a prior worth one
-    document in a hundred keeps ``gold`` close to what it says.
+    ``patterns`` [pattern, labeller] holds 0, 1 or ABSTAIN. An abstention is an outcome like any other. The given label
+    (labeller ``gold``) is one of the labellers: its accuracy is estimated like theirs, from a prior worth ``TRUST``
+    documents whatever their number. The start is the mean of the label and of whether any other labeller says 1.
     """
     size = patterns.shape[1]
-    hits = (np.delete(patterns, gold, axis=1) == 1).any(axis=1)
-    post = np.where(patterns[:, gold] == ABSTAIN, np.where(hits, 0.9, 0.05), np.clip(patterns[:, gold], 0.02, 0.98))
+    hits = np.where((np.delete(patterns, gold, axis=1) == 1).any(axis=1), 0.9, 0.05)
+    post = np.where(patterns[:, gold] == ABSTAIN, hits, (hits + patterns[:, gold]) / 2)
     onehot = patterns[:, :, None] == np.arange(3)
     prior = np.ones((size, 2, 3)) * 0.01
-    prior[gold, [0, 1], [0, 1]] += 0.01 * counts.sum() + 1
+    prior[gold, [0, 1], [0, 1]] += TRUST
     chance = prior
     for _ in range(rounds):
         weights = np.stack([counts * (1 - post), counts * post])

@@ -419,3 +419,47 @@ def test_near_stage_goes_by_id_and_text(spark):
     twins = pipeline_docs(spark, [(7, base, "en", "s", 1), (7, near, "en", "s", 1)])
     assert corpus_pipeline.near_stage(spark, twins, "").count() == 1
     assert corpus_pipeline.near_stage(spark, docs.where("doc_id = 99"), "").count() == 0
+
+
+def test_span_classifier_catches_planted_spans(spark):
+    """Planted keys, telephone numbers and addresses, and long words that are none, in plain sentences."""
+    random = np.random.default_rng(8)
+    pick = lambda letters, n: "".join(random.choice(list(letters), n))
+    every = "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789"
+    planted = []
+    for i in range(240):
+        span = [
+            "ghp_" + pick(every, 30), "AKIA" + pick("ABCDEFGHJKLMNPQRST23456789", 16),
+            f"({pick('23456789', 3)}) {pick('0123456789', 3)}-{pick('0123456789', 4)}", f"{pick('abcdefgh', 6)} [at] example.com",
+        ][i % 4]
+        planted.append((i, f"and then {['token', 'key', 'call', 'mail'][i % 4]}: {span} was sent on.", span))
+    plain = [(1000 + i, f"a well-known-and-widely-held view of {pick('abcdefgh', 18)} in chapter {i}", "") for i in range(240)]
+    df = spark.createDataFrame(planted + plain, "doc_id long, text string, span string")
+    found = {r.doc_id: r.extras for r in pii.find(df).select("doc_id", "extras").collect()}
+    hits = [any(text[s.start : s.end] == span for s in found[i]) for i, text, span in planted]
+    assert np.mean(hits) > 0.95
+    assert np.mean([bool(found[i]) for i, _, _ in plain]) < 0.02
+
+
+def test_span_classifier_learns_from_posteriors(spark):
+    cells = {("11111", "2110010"): 50, ("00000", "0000000"): 50}
+    high = pii.train(cells, {"11111": 0.99, "00000": 0.01})
+    score = lambda w, t: sum(level[int(c)] for level, c in zip(w, t)) + w[-1][0]
+    assert score(high, "2110010") > 0 > score(high, "0000000")
+    other = pii.train(cells, {"11111": 0.01, "00000": 0.99})  # the label model decides
+    assert score(other, "2110010") < 0 < score(other, "0000000")
+
+
+def test_noisy_labels_are_outvoted():
+    random = np.random.default_rng(4)
+    truth = random.random(40_000) < 0.25
+    votes = [np.where(random.random(truth.size) < np.where(truth, 0.75, 0.03), 1, quality.ABSTAIN) for _ in range(4)]
+    flipped = truth ^ (random.random(truth.size) < 0.2)
+    label = np.where(random.random(truth.size) < 0.6, flipped, quality.ABSTAIN)
+    rows = np.stack([*votes, label], axis=1).astype(int)
+    patterns, back, counts = np.unique(rows, axis=0, return_inverse=True, return_counts=True)
+    chance, post = quality.em(patterns, counts.astype(float), 4)
+    given = label != quality.ABSTAIN
+    right = (post[back.ravel()] > 0.5) == truth
+    assert right[given].mean() > 0.95 > 0.82 > (label[given] == truth[given]).mean()
+    assert abs(chance[4, 1, 1] / chance[4, 1, :2].sum() - 0.8) < 0.03
