@@ -925,20 +925,20 @@ def stack_dense(t: Tables) -> DataFrame:
 
 @query
 def kmeans_sweep(t: Tables) -> DataFrame:
-    labelled, _ = cluster.kmeans_sweep(t.model())
+    labelled, _ = cluster.kmeans_sweep(t.stored_model())
     return labelled.select("entity_id", "cluster")
 
 
 @query
 def kmeans_choice(t: Tables) -> DataFrame:
     """The k values tried and the one chosen: the lowest cost, which the largest k has."""
-    _, costs = cluster.kmeans_sweep(t.model())
+    _, costs = cluster.kmeans_sweep(t.stored_model())
     return costs.select("k", "chosen")
 
 
 @query
 def cluster_summary(t: Tables) -> DataFrame:
-    labelled, _ = cluster.kmeans_sweep(t.model())
+    labelled, _ = cluster.kmeans_sweep(t.stored_model())
     return rounded(
         cluster.cluster_summary(labelled), "mean_spend_per_km", "mean_activity", "mean_distance_km"
     )

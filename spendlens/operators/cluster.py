@@ -36,8 +36,9 @@ def kmeans_sweep(df: DataFrame, features: list[str] = FEATURES, ks=SWEEP, restar
     """``(labelled, costs)``: rows with ``cluster``, and the lowest cost per k.
 
     Each k is fitted with ``restarts`` seeds; the k with the lowest cost wins. The vectors are written
-    once and the fits share the cluster (Spark schedules their jobs side by side); only centres and
-    costs reach the driver. Clusters are numbered by their centre so labels do not depend on seeds.
+    once and the fits share the cluster (Spark schedules their jobs side by side); each keeps them as
+    dense blocks, so that its iterations do not unpack the stored rows again. Only centres and costs
+    reach the driver. Clusters are numbered by their centre so labels do not depend on seeds.
     """
     scored = materialize(scaled_features(df, features), "features")
     z = [f"{c}_z" for c in features]
@@ -48,7 +49,7 @@ def kmeans_sweep(df: DataFrame, features: list[str] = FEATURES, ks=SWEEP, restar
         k, turn = task
         return KMeans(
             k=k, seed=seed + turn, maxIter=MAX_ITERATIONS, tol=(TOLERANCE / k) ** 0.5,
-            featuresCol="__x", predictionCol="cluster",
+            featuresCol="__x", predictionCol="cluster", solver="block",
         ).fit(vectors)
 
     tasks = [(k, turn) for k in ks for turn in range(restarts)]

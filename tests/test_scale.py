@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from spendlens.catalog.queries import QUERIES
 from spendlens.functions import geo
+from spendlens.operators import cluster
 
 
 def test_distances_of_one_row_group_are_dealt(spark, tmp_path):
@@ -35,3 +36,16 @@ def test_integrals_along_arcs(spark, series, height):
     for (_, start, width, k2), (_, got) in zip(arcs, rows(df.select("i", geo.along(arc, series)), "i")):
         want = width / 2 * (weights * height(k2 * np.sin(start + width / 2 * (1 + nodes)) ** 2)).sum()
         assert got == pytest.approx(want, abs=5e-15)
+
+
+def test_kmeans_fits_on_blocks_of_a_stored_model(spark, monkeypatch):
+    """The fits iterate over blocks, and the joins behind the model run once."""
+    taken, fitted = [], []
+    sweep, fit = cluster.kmeans_sweep, cluster.KMeans.fit
+    monkeypatch.setattr(cluster, "kmeans_sweep", lambda df, **_: taken.append(df) or sweep(df, restarts=1))
+    monkeypatch.setattr(cluster.KMeans, "fit", lambda self, df: fitted.append(self.getSolver()) or fit(self, df))
+    summary = QUERIES["cluster_summary"](spark, "/root/testdata/sf0.001")
+    plan = taken[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+    assert fitted == ["block"] * len(cluster.SWEEP)
+    assert summary.agg(F.sum("entities")).first()[0] == taken[0].count() == 150
