@@ -1,12 +1,16 @@
 """Steps whose work per row is long, or whose passes are many."""
 
+import json
+
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from spendlens.catalog.queries import QUERIES
 from spendlens.functions import geo
+from spendlens.llm import tokenfile
 from spendlens.operators import cluster
 
 
@@ -38,14 +42,60 @@ def test_integrals_along_arcs(spark, series, height):
         assert got == pytest.approx(want, abs=5e-15)
 
 
-def test_kmeans_fits_on_blocks_of_a_stored_model(spark, monkeypatch):
+def star(spark, folder):
+    """A few rows of each table behind the model."""
+    n = spark.range(60)
+    tables = {
+        "region": spark.createDataFrame([(0, "EAST")], "r_regionkey int, r_name string"),
+        "nation": spark.createDataFrame([(0, "A", 0), (1, "B", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+        "customer": n.selectExpr("id as c_custkey", "concat('c', id) as c_name", "'X' as c_mktsegment", "cast(id % 2 as int) as c_nationkey"),
+        "orders": n.selectExpr("id as o_orderkey", "id % 50 as o_custkey", "date'1996-01-02' as o_orderdate"),
+        "lineitem": n.selectExpr(
+            "id as l_orderkey", "id as l_partkey", "id as l_suppkey", "1 as l_linenumber", "'N' as l_returnflag",
+            "double((id * id) % 97) as l_extendedprice", "date'1996-02-03' as l_shipdate"),
+        "events": n.selectExpr("id as event_id", "id % 7 as user_id", "timestamp'1996-01-02 03:04:05' as ts"),
+    }
+    for name, table in tables.items():
+        table.coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_kmeans_fits_on_blocks_of_a_stored_model(spark, tmp_path, monkeypatch):
     """The fits iterate over blocks, and the joins behind the model run once."""
+    star(spark, tmp_path)
     taken, fitted = [], []
     sweep, fit = cluster.kmeans_sweep, cluster.KMeans.fit
     monkeypatch.setattr(cluster, "kmeans_sweep", lambda df, **_: taken.append(df) or sweep(df, restarts=1))
     monkeypatch.setattr(cluster.KMeans, "fit", lambda self, df: fitted.append(self.getSolver()) or fit(self, df))
-    summary = QUERIES["cluster_summary"](spark, "/root/testdata/sf0.001")
+    summary = QUERIES["cluster_summary"](spark, str(tmp_path))
     plan = taken[0]._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "Aggregate" not in plan
     assert fitted == ["block"] * len(cluster.SWEEP)
-    assert summary.agg(F.sum("entities")).first()[0] == taken[0].count() == 150
+    assert summary.agg(F.sum("entities")).first()[0] == taken[0].count() == 60
+
+
+def test_plain_words_go_to_the_model_alone():
+    """Most words take the short way, and any chunk has the ids that the whole way gives it."""
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        memo = tokenfile.Memo(file.read())
+    sent = []
+    whole, encode = memo.tokenizer, memo._encode
+    memo._encode = lambda new: sent.extend(new) or encode(new)
+    plain = ["word", "Été", "straße", "andere", "ÿx"]
+    odd = ["don't", "a1b22", "...", "İx", "ΣΣ", "ét", "中文", "µm", "×÷", "a.b,c", "ǅ"]
+    chunks = {(w + m).encode().lower() for w in plain + odd for m in ("", ",", "!?")}
+    memo.learn(chunks)
+    memo.learn(chunks | {b"word;", b"again"})
+    assert not set(sent) & {*plain, "word;", "again"} and "Été" not in sent
+    for chunk in chunks | {b"word;", b"again"}:
+        want = whole.encode(chunk.decode(), add_special_tokens=False).ids
+        assert np.frombuffer(memo[chunk], "<u4").tolist() == want, chunk
+
+
+def test_letters_that_a_tokenizer_parts_take_the_whole_way():
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        data = json.load(file)
+    data["pre_tokenizer"]["pretokenizers"].insert(0, {"type": "Split", "pattern": {"String": "q"}, "behavior": "Isolated", "invert": False})
+    memo = tokenfile.Memo(json.dumps(data))
+    memo.learn({b"aqua"})
+    assert not memo.forms
+    assert np.frombuffer(memo[b"aqua"], "<u4").tolist() == memo.tokenizer.encode("aqua", add_special_tokens=False).ids
