@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
@@ -47,10 +48,16 @@ def kmeans_sweep(df: DataFrame, features: list[str] = FEATURES, ks=SWEEP, restar
 
     def fit(task):
         k, turn = task
-        return KMeans(
+        means = KMeans(
             k=k, seed=seed + turn, maxIter=MAX_ITERATIONS, tol=(TOLERANCE / k) ** 0.5,
             featuresCol="__x", predictionCol="cluster", solver="block",
-        ).fit(vectors)
+        )
+        try:
+            return means.fit(vectors)
+        except Py4JJavaError as error:  # Spark's blocks fail where fewer than k first centres are found; rows do not
+            if "ArrayIndexOutOfBoundsException" not in str(error.java_exception):
+                raise
+            return means.setSolver("row").fit(vectors)
 
     tasks = [(k, turn) for k in ks for turn in range(restarts)]
     try:
