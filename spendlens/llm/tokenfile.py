@@ -8,6 +8,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,6 +21,8 @@ from .batches import arrow_map, keep, slices, texts_of
 MEMO_ENTRIES = 600_000
 #: Marks that never join with a letter or digit before them.
 MARKS = b".,;:!?*#$%&|"
+#: Bytes of text whose chunks are told apart in one call.
+CALL_BYTES = 6 << 20
 #: Chunks that the tokenizer gets in one call.
 CALL_CHUNKS = 10_000
 #: Letters that no neighbour changes: a word of them alone is one piece, each letter brought to its form by itself.
@@ -80,6 +83,26 @@ class Memo(dict):
             return {}
         return {ord(c): f for c, (f,) in zip(LETTERS, forms)}
 
+    def ids_of(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text: of each different chunk of all the texts, looked up once, put together by its places."""
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts))  # A-Z: the tokenizer does too
+        every, starts = split.flatten(), split.offsets.to_numpy()
+        full = pc.greater(pc.binary_length(every), 0)  # blanks at either end of a text leave empty chunks
+        before = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])
+        coded = every.filter(full).dictionary_encode()
+        one_list = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary.cast(pa.binary()))
+        chunks = pc.binary_join(one_list, pa.scalar(b" ", pa.binary()))[0].as_py().split()
+        found = list(map(self.get, chunks))
+        new = [k for k, ids in enumerate(found) if ids is None]
+        self.learn({chunks[k] for k in new})
+        for k in new:
+            found[k] = self[chunks[k]]
+        ids = pa.array(found, pa.large_binary()).take(coded.indices)
+        sizes = pc.binary_length(ids).to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(sizes)])[before[starts - starts[0]]].tolist()
+        data = memoryview(ids.buffers()[2] or b"")
+        return [bytes(data[a:b]) for a, b in zip(ends, ends[1:])]
+
     def learn(self, chunks: set[bytes]) -> None:
         """Encode unknown chunks, many in one call: a token belongs to the chunk that its first character is in."""
         unknown = chunks.difference(self)
@@ -154,12 +177,11 @@ def encode(docs: DataFrame, tokenizer_path: str, end_id: int, doc_id: str = "doc
 
     def step(batches):
         memo = keep(_memo, held)
-        for batch in slices(batches, "text", 3 << 20):
+        for batch in slices(batches, "text", CALL_BYTES):
             texts = texts_of(batch, "text")
             special = [memo.special_ids(value) for value in texts]
-            chunks = [value.encode().lower().split() if s is None else [] for value, s in zip(texts, special)]  # A-Z: the tokenizer does too
-            memo.learn(set().union(*chunks))
-            ids = [(s or b"") + b"".join([*map(memo.__getitem__, words), last]) for words, s in zip(chunks, special)]
+            plain = pa.array([value if s is None else "" for value, s in zip(texts, special)], pa.large_string())
+            ids = [(s or found) + last for s, found in zip(special, memo.ids_of(plain))]
             counts = pa.array([len(x) // 4 for x in ids], pa.int64())
             arrays = [batch.column("doc_id"), counts, pa.array(map(shrink, ids), pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens", "ids"])

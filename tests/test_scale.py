@@ -4,6 +4,7 @@ import json
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,6 +92,31 @@ def test_plain_words_go_to_the_model_alone():
         assert np.frombuffer(memo[chunk], "<u4").tolist() == want, chunk
 
 
+def test_each_chunk_of_a_batch_is_looked_up_once(monkeypatch):
+    """A batch's repeated chunks cost one look, and each text has the ids of its own chunks, wherever blanks stand."""
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        data = file.read()
+    looked = []
+
+    class Looked(tokenfile.Memo):
+        def get(self, chunk, *rest):
+            looked.append(chunk)
+            return super().get(chunk, *rest)
+
+    blanks = "".join(map(chr, [9, 10, 11, 12, 13, 32]))
+    odd = f"a{blanks}B\x1cc\x85d\xa0e\u2003f\x00g"
+    texts = ["the cat the CAT," * 50, "", f"{blanks}the\tcat{blanks}", odd, blanks, "x the"] * 3
+    monkeypatch.setattr(tokenfile.Memo, "learn", lambda self, chunks, learn=tokenfile.Memo.learn: (looked.append(None), learn(self, chunks)))
+    memo = Looked(data)
+    for part in (pa.array(texts), pa.array(["skipped", *texts])[1:], pa.array(texts, pa.large_string())):
+        looked.clear()
+        got = memo.ids_of(part)
+        first = looked[: looked.index(None)]
+        assert len(first) == len(set(first)) == len({c for t in texts for c in t.encode().lower().split()})
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [memo.whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert memo.ids_of(pa.array([], pa.string())) == [] and memo.ids_of(pa.array(["", blanks])) == [b"", b""]
+
+
 def test_letters_that_a_tokenizer_parts_take_the_whole_way():
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
         data = json.load(file)
