@@ -187,18 +187,29 @@ def prefixes(docs: DataFrame, frequent: DataFrame) -> DataFrame:
 
 
 def regions(sets: DataFrame) -> DataFrame:
-    """Members of the document pivots' regions: pivot, key; without the pivots themselves.
+    """Members of the document pivots' regions: pivot, key, busy; without the pivots themselves.
+
+    A shingle's documents, in the order of their sizes, part wherever two neighbours' sizes allow no link: no pair across
+    such a gap has sizes closer than theirs. ``busy`` members share a part with others than the pivot; a part of two is
+    done when its pair has been compared.
 
     Regions of the frequent shingles, at most FREQUENT, get their pivots by an aggregation that shrinks in the map
     tasks and a broadcast of one row each; the others are small and get theirs in one shuffle.
     """
-    light = sets.select("key", F.explode("light").alias("s"))
-    by_cell = Window.partitionBy("s")
-    few = light.withColumn("pivot", F.min("key").over(by_cell)).where("pivot != key").select("pivot", "key")
+    light = sets.select("key", "n", F.explode("light").alias("s"))
+    by_size = Window.partitionBy("s").orderBy("n")
+    beside = light.withColumn("before", F.lag("n").over(by_size)).withColumn("after", F.lead("n").over(by_size))
+    joins = F.col("before").isNotNull() & sizes_fit(F.col("before"), F.col("n"))
+    joined_on = F.col("after").isNotNull() & sizes_fit(F.col("n"), F.col("after"))
+    paired = beside.withColumn("joins", joins).where(F.col("joins") | joined_on)
+    parted = paired.withColumn("part", F.sum(F.when(F.col("joins"), 0).otherwise(1)).over(by_size))
+    by_part = Window.partitionBy("s", "part")
+    few = parted.withColumn("pivot", F.min("key").over(by_part)).withColumn("busy", F.count("*").over(by_part) > 2)
     heavy = sets.select("key", F.explode("heavy").alias("s"))
-    tops = heavy.groupBy("s").agg(F.min("key").alias("pivot"))
-    many = heavy.join(F.broadcast(tops), "s").where("pivot != key").select("pivot", "key")
-    return few.unionAll(many).distinct()
+    tops = heavy.groupBy("s").agg(F.min("key").alias("pivot"), (F.count("*") > 2).alias("busy"))
+    many = heavy.join(F.broadcast(tops), "s")
+    both = few.select("pivot", "key", "busy").unionAll(many.select("pivot", "key", "busy"))
+    return both.where("pivot != key").groupBy("pivot", "key").agg(F.max("busy").alias("busy"))
 
 
 def sizes_fit(n: Column, m: Column) -> Column:
@@ -374,6 +385,9 @@ def near_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
             discard(pairs)
             continue
         near = refined(pairs, slim)
+        if near is not pairs and near.isEmpty():  # as in most rounds: no sets to read, nothing to compare
+            discard(pairs, near)
+            continue
         more = every_key(near).join(bags.select("key"), "key", "left_anti").join(slim.select("key", "rep"), "key")
         more = materialize(more, "more")
         if not more.isEmpty():
@@ -406,18 +420,18 @@ def every_key(pairs: DataFrame) -> DataFrame:
 
 
 def with_distances(members: DataFrame, tested: DataFrame, sets: DataFrame) -> DataFrame:
-    """Regions of three documents or more (smaller ones are done) with each member's size and distance to the pivot.
+    """Regions of three documents or more (pairs are done) with each member's size and distance to the pivot.
 
     The distance lies from ``low`` to ``high``: both are it where it was worked out, else the signatures' differing
     bits bound it from below, and it is greater than a link's.
     """
-    busy = members.groupBy("pivot").count().where("count > 1").select("pivot")
     far = tested.select(
         F.col("a").alias("pivot"), F.col("b").alias("key"),
         (1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))).alias("far"),
     )
-    own = busy.select("pivot", F.col("pivot").alias("key"), F.lit(0.0).alias("far"))
-    every = members.join(busy, "pivot", "left_semi").join(far, ["pivot", "key"], "left").unionAll(own)
+    members = members.where("busy").select("pivot", "key")
+    own = members.select("pivot", F.col("pivot").alias("key"), F.lit(0.0).alias("far")).distinct()
+    every = members.join(far, ["pivot", "key"], "left").unionAll(own)
     at = sets.select(F.col("key").alias("pivot"), F.col("n").alias("m"), F.col("coarse").alias("at"))
     sized = every.join(sets.select("key", "n", "coarse"), "key").join(at, "pivot")
     bits = differing(F.col("coarse"), F.col("at"), PARITY)
@@ -468,7 +482,10 @@ def next_pairs(
         order = Window.partitionBy("region").orderBy("key")
         ranked = rest.select("region", "key").distinct().withColumn("k", F.row_number().over(order)).where(F.col("k") <= size)
     chosen = materialize(ranked.select("region", "key"), "chosen")
-    if chosen.isEmpty() and not ranks:
+    if chosen.isEmpty():
+        if ranks and ranks[0]:  # open regions may have no member of these ranks
+            return chosen, held
+        discard(chosen)  # no region is open: an open one has a nearest member and next pivots
         return None
     reach = 1 - PERCENT / 100 + 1e-9
     columns = ("key", "n", "root", "low", "high", "coarse")

@@ -1,6 +1,7 @@
 """Steps whose work per row is long, or whose passes are many."""
 
 import json
+import random
 
 import numpy as np
 import public_tokenizers
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from spendlens.catalog.queries import QUERIES
 from spendlens.functions import geo
-from spendlens.llm import tokenfile
+from spendlens.llm import jaccard, tokenfile
 from spendlens.operators import cluster
 
 
@@ -125,3 +126,63 @@ def test_letters_that_a_tokenizer_parts_take_the_whole_way():
     memo.learn({b"aqua"})
     assert not memo.forms
     assert np.frombuffer(memo[b"aqua"], "<u4").tolist() == memo.tokenizer.encode("aqua", add_special_tokens=False).ids
+
+
+def near_brute(rows):
+    """(doc_id, n, component) by all pairs of rows."""
+    sets, parent = [], list(range(len(rows)))
+    for _, text in rows:
+        words = text.split()
+        sets.append({tuple(words[i : i + 5]) for i in range(len(words) - 4)} if len(words) >= 5 else {tuple(words)})
+
+    def find(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    for a in range(len(rows)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                parent[find(a)] = find(b)
+    lowest = {}
+    for k, (doc, _) in enumerate(rows):
+        lowest[find(k)] = min(doc, lowest.get(find(k), doc))
+    return sorted(((doc, len(sets[k]), lowest[find(k)]) for k, (doc, _) in enumerate(rows)), key=repr)
+
+
+def test_regions_part_where_sizes_allow_no_link(spark):
+    """A shingle's documents of sizes too far apart share no region, and pairs need no further rounds."""
+    rows = [(k, n, light, heavy) for k, (n, light, heavy) in enumerate([
+        (10, [1], []), (12, [1], []), (100, [1], []), (101, [1], []), (125, [1], []), (300, [1], []),  # two parts and one alone
+        (50, [2], [9]), (90, [2, 3], [9]), (91, [3], [9]), (None, [], []), (40, [], [8]), (41, [], [8])], 1)]
+    sets = spark.createDataFrame(rows, "key long, n int, light array<long>, heavy array<long>")
+    got = {(r.pivot, r.key): r.busy for r in jaccard.regions(sets).collect()}
+    assert got == {(1, 2): False, (3, 4): True, (3, 5): True, (8, 9): True, (7, 8): True, (7, 9): True, (11, 12): False}
+
+
+def test_classes_of_texts_that_share_lines(spark):
+    """Links are those of a plain comparison where many texts of many sizes share passages."""
+    draw = random.Random(5)
+    lines = [" ".join(f"l{k}-{i}" for i in range(12)) for k in range(25)]
+    rows = []
+    for k in range(80):
+        words = " ".join(draw.sample(lines, draw.choice([1, 1, 2, 4, 8, 16]))).split()
+        for _ in range(draw.choice([0, 0, 1, 3])):
+            words[draw.randrange(len(words))] = f"e{draw.randrange(9)}"
+        rows.append((k % 70, " ".join(words)))
+    for k in range(20):  # near copies of sizes that grow step by step
+        rows.append((200 + k, " ".join(f"c{i}" for i in range(40 + 4 * k))))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert sorted(map(tuple, jaccard.near_classes(df).collect()), key=repr) == near_brute(rows)
+
+
+def test_no_round_without_regions_to_part(spark, tmp_path, monkeypatch):
+    """Tables whose regions are pairs, or are linked as one, start no round: each costs plans, threads and files."""
+    stored = []
+    monkeypatch.setattr(jaccard, "materialize", lambda df, label, store=jaccard.materialize: stored.append(label) or store(df, label))
+    lone = lambda k: " ".join(f"p{k}-{i}" for i in range(30))
+    rows = [(k, lone(k // 2)) if k % 4 else (k, f"{lone(k // 2)} more") for k in range(12)]
+    rows += [(20 + k, f"{lone('x')} {'e' * k}") for k in range(1, 6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, jaccard.near_classes(df).collect()), key=repr) == near_brute(rows)
+    assert stored.count("chosen") == 1 and "pairs" not in stored
