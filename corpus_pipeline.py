@@ -1,12 +1,15 @@
 """From raw documents to token ids: quality, exact copies, near copies, benchmark passages, encoding.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before kept; all but the last return the
-columns of documents. ``run`` writes each stage as Parquet to the folder that executors share and reads it again, so
-that a lost executor costs the tasks of one stage at most.
+columns of documents. A stage of ``STAGES`` writes its result as Parquet to the folder that executors share and reads it
+again, so that a lost executor costs the tasks of one stage at most.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,12 +54,27 @@ def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def stored(name: str, stage: Callable) -> tuple[str, Callable]:
+    """``stage`` done and stored before it returns, all of it in small batches.
+
+    What a stage only plans runs with its caller's settings: 10,000 whole texts in one batch, held by the JVM and by each
+    Python worker.
+    """
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        with small_batches(spark):
+            return materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+
+    return name, run_stage
+
+
 STAGES = [
-    ("quality classifier", quality_stage),
-    ("exact dedup", exact_stage),
-    ("n-gram Jaccard join", near_stage),
-    ("benchmark decontamination", benchmark_stage),
-    ("byte-level BPE", encode_stage),
+    stored("quality classifier", quality_stage),
+    stored("exact dedup", exact_stage),
+    stored("n-gram Jaccard join", near_stage),
+    stored("benchmark decontamination", benchmark_stage),
+    stored("byte-level BPE", encode_stage),
 ]
 
 #: The classifier is trained and the ids are a tokenizer's: no SQL says what ``run`` returns.
@@ -65,7 +83,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    with small_batches(spark):
-        for name, stage in STAGES:
-            docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    for _, stage in STAGES:
+        docs = stage(spark, docs, sf_dir)
     return docs

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -309,6 +310,23 @@ def test_pipeline(spark, docs):
     assert 0 < out.count() == rows.count() <= docs.count()
 
 
+def test_pipeline_stages_hand_python_small_batches(spark, monkeypatch):
+    """A stage that its caller executes, without ``run``, still holds no more than 8 MB of text and a row at once."""
+    def sizes(docs, *_):
+        step = lambda batches: (
+            pa.RecordBatch.from_pydict({"size": [sum(map(len, b.column("text").to_pylist()))], "n": [b.num_rows]}) for b in batches
+        )
+        return docs.mapInArrow(step, "size long, n long")
+
+    monkeypatch.setattr(bpe, "round_trip", sizes)
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 4000).alias("text")).coalesce(1)
+    got = dict(corpus_pipeline.STAGES)["byte-level BPE"](spark, docs, FOLDER).collect()
+    assert sum(r.n for r in got) == 2000 and sum(r["size"] for r in got) == 40_000_000
+    assert max(r["size"] for r in got) <= (8 << 20) + 20_000
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
 def test_passages_by_exact_words(spark):
     """Passages of 30 words and 51 to 60 words in other contexts are found to the byte, those of 29 words are not."""
     draw = random.Random(11)
